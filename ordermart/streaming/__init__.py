@@ -1 +1,7 @@
+"""Streaming: intentionally empty.
 
+The source project is batch only (no streams, event-time windows, watermarks
+or state). Every operator here is a plain DataFrame function, so it can be
+applied to each micro-batch inside ``foreachBatch`` if a caller streams the
+raw tables; no operator of its own is needed for that.
+"""
