@@ -29,14 +29,16 @@ _SQL: dict[str, str] = {}
 
 # ------------------------------------------------------------ normalising
 def _norm(df: DataFrame) -> DataFrame:
-    """Every numeric column as DOUBLE rounded to 4 places (so nullable
-    integers compare the same way in both engines)."""
+    """Every numeric column as DOUBLE quantised to 4 places (so nullable
+    integers compare the same way in both engines). The quantiser is the
+    same IEEE formula in both engines, with an offset that keeps short
+    decimals (averages of prices) off the rounding boundary."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType, T.ByteType,
                                    T.ShortType, T.IntegerType, T.LongType)):
-            c = F.round(c.cast("double"), 4) + F.lit(0.0)
+            c = F.floor(c.cast("double") * F.lit(10000.0) + F.lit(O.ROUND_OFFSET)).cast("double") / F.lit(10000.0)
         out.append(c.alias(f.name))
     return df.select(*out)
 
@@ -431,6 +433,11 @@ register("fill_review", _final(_single(
     "SELECT * EXCLUDE (rmask, rs1, rs2, rs3) REPLACE (rs3 AS review_score) FROM r3",
     MART_DOUBLES, MART_INTS))(
     lambda spark, sf: impute.fill_review(_m0(spark, sf)))
+register("fill_review_masked", _final(_single(O.mean_level("m0", "q1", ["review_score"], "customer_unique_id"),
+                                              O.mean_level("q1", "q2", ["review_score"], "customer_city"),
+                                              O.mean_level("q2", "q3", ["review_score"], "customer_state")),
+                                      "SELECT * FROM q3"))(
+    lambda spark, sf: impute.fill_review(_m0(spark, sf), masked=True))
 register("fill_review_replies", _final(_single(), """SELECT * REPLACE (
   CASE WHEN review_answer_timestamp IS NULL THEN order_delivered_customer_date ELSE review_creation_date END AS review_creation_date,
   CASE WHEN review_answer_timestamp IS NULL THEN order_delivered_customer_date + to_days(999) ELSE review_answer_timestamp END AS review_answer_timestamp),
@@ -490,6 +497,12 @@ _agg_query("agg_mean", list(orderlevel.MEAN))
 _agg_query("agg_sum", ["total_price"])
 _agg_query("bad_review", ["bad_review"])
 register("order_level", _final(O.ORDER_LEVEL_SQL, "SELECT * FROM order_level", OL_DOUBLES, OL_INTS))(_ol)
+register("order_level_dedupe", O.with_ctes(
+    O.ADAPTER, O.ZIP_GEO, O.MART, O.impute_ctes(), O.FEATURES,
+    "dd AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY order_id, order_item_id "
+    f"ORDER BY {O.order_key(True)}) AS rn FROM featured) WHERE rn = 1)",
+    O.order_level_cte("dd", "dol")) + "\nSELECT * FROM dol")(
+    lambda spark, sf: pipeline.order_level(spark, sf, dedupe=True))
 
 # ============================================================ 2.11 encoding
 _STATUS_CASE = "CASE order_status " + " ".join(

@@ -60,14 +60,14 @@ def build_zip_geo(geolocation: DataFrame, customers: DataFrame, sellers: DataFra
                   materialize: bool = True) -> DataFrame:
     """The completed dimension: points, then customer zips, then seller zips (T6b).
 
-    Like the reference's CREATE TABLE, each step is materialized (reliable
+    Like the source's CREATE TABLE, the result is materialized (reliable
     checkpoint in the shared folder): the dimension is small (one row per
-    zip prefix) and read several times -- by each step and by both geo
-    joins of the mart -- so it is computed once instead of per reader.
+    zip prefix) and read by both geo joins of the mart and by every query
+    built on it, so it is computed once. Inside the one job, the repeated
+    point aggregate is a reused exchange.
     """
-    keep = (lambda d: cut_lineage(d, True)) if materialize else (lambda d: d)
-    base = keep(zip_geo_agg(geolocation))
-    with_c = keep(add_missing_zips(base, customers, "customer_zip_code_prefix",
-                                   "customer_city", "customer_state"))
-    return keep(add_missing_zips(with_c, sellers, "seller_zip_code_prefix", "seller_city",
-                                 "seller_state"))
+    base = zip_geo_agg(geolocation)
+    with_c = add_missing_zips(base, customers, "customer_zip_code_prefix",
+                              "customer_city", "customer_state")
+    out = add_missing_zips(with_c, sellers, "seller_zip_code_prefix", "seller_city", "seller_state")
+    return cut_lineage(out, True) if materialize else out

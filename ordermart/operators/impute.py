@@ -117,19 +117,34 @@ def _level_stats(S: DataFrame, key: str, cols: list[str], stale: set[str],
     return g.select("_lk", *[x for x in out])
 
 
+def _level_order(specs: list[MeanSpec]) -> list[str]:
+    """One visiting order of all level keys that keeps every spec's own
+    order (a topological sort of the "comes before" relation)."""
+    keys = []
+    for sp in specs:
+        keys += [k for k in sp.levels if k not in keys]
+    before = {k: set() for k in keys}
+    for sp in specs:
+        for i, k in enumerate(sp.levels):
+            before[k].update(sp.levels[:i])
+    order: list[str] = []
+    while len(order) < len(keys):
+        ready = [k for k in keys if k not in order and before[k] <= set(order)]
+        if not ready:
+            raise ValueError("level orders of the cascades contradict each other")
+        order.append(ready[0])
+    return order
+
+
 def cascade_means(S: DataFrame, specs: list[MeanSpec]) -> DataFrame:
     """Run mean cascades on a summary; adds ``_f_<col>`` per spec.
 
-    Level keys are visited in one global order (first appearance); each
+    Level keys are visited in one order compatible with every spec; each
     column takes part only at its own levels, so its fills stay sequential.
     Columns that share a level share one aggregate and one join.
     """
     S = S.withColumns({_fname(sp.col): F.lit(None).cast("double") for sp in specs})
-    order: list[str] = []
-    for sp in specs:
-        for k in sp.levels:
-            if k not in order:
-                order.append(k)
+    order = _level_order(specs)
     by_col = {sp.col: sp for sp in specs}
     for k in order:
         cols = [sp.col for sp in specs if k in sp.levels]

@@ -121,3 +121,28 @@ def test_review_replies(spark):
     assert a.has_review_message == 1 and a.review_creation_date == d
     assert a.review_answer_timestamp == d + dt.timedelta(days=999)
     assert b.has_review_message == 0
+
+
+def test_level_order_respects_every_spec():
+    specs = [impute.MeanSpec("a", ["customer_city", "customer_state"]),
+             impute.MeanSpec("b", ["customer_unique_id", "customer_city", "customer_state"])]
+    assert impute._level_order(specs) == ["customer_unique_id", "customer_city", "customer_state"]
+
+
+def test_combined_cascades_equal_separate(spark):
+    """impute_all shares one summary for several cascades; each column must
+    come out as if run alone."""
+    rows = _frame(seed=11)
+    keys = ["customer_unique_id", "customer_city", "customer_state"]
+    both = [impute.MeanSpec("v", ["customer_city", "customer_state"]),
+            impute.MeanSpec("w", keys, stale=True)]
+    df = spark.createDataFrame([r + (r[4],) for r in rows],
+                               "id long, customer_unique_id string, customer_city string, "
+                               "customer_state string, v double, w double")
+    S = impute.cascade_means(impute.mean_summary(df, keys, ["v", "w"]), both)
+    out = impute._apply_means(impute._null_safe_join(df, impute._fills_only(S, keys, ["v", "w"]), keys), ["v", "w"])
+    got = out.toPandas().set_index("id").sort_index()
+    pdf = pd.DataFrame(rows, columns=["id"] + keys + ["v"]).set_index("id")
+    assert np.allclose(got.v.values, pandas_mean_cascade(pdf, "v", ["customer_city", "customer_state"]).values,
+                       equal_nan=True, atol=1e-12)
+    assert np.allclose(got.w.values, pandas_stale(pdf, "v", keys).values, equal_nan=True, atol=1e-12)
