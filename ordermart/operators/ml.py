@@ -9,6 +9,8 @@ driver only loops over the 5 x 3 x 5 small fit/evaluate calls, as
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import hash_fold
+from ..plans.session import cut_lineage
 from .clean import ID_COLS, TARGET
 
 # The reference's search space and settings.
@@ -25,6 +28,7 @@ N_SPLITS = 5
 SEED = 42
 MAX_ITER = 50000
 TOL = 1e-5
+PARALLELISM = 4  # concurrent fits submitted by the driver (like CrossValidator's)
 
 
 def add_folds(df: DataFrame, key: str = "order_id", k: int = N_SPLITS, salt: str = str(SEED),
@@ -62,35 +66,48 @@ def assemble(df: DataFrame, feature_cols: list[str] | None = None) -> DataFrame:
 
 def fit(train: DataFrame, C: float, label: str = TARGET):
     """One L2 fit equal to the weighted, C-scaled objective (T23):
-    regParam = 1 / (C * n_train) with balanced weights summing to n."""
+    regParam = 1 / (C * n_train) with balanced weights summing to n, the
+    weights recomputed on this training part."""
+    train = with_weights(train, label)
     n = train.count()
     lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight",
                             regParam=1.0 / (C * max(n, 1)), elasticNetParam=0.0,
                             standardization=False, maxIter=MAX_ITER, tol=TOL)
-    return lr.fit(with_weights(train, label))
+    return lr.fit(train)
 
 
 def auc(model, data: DataFrame, label: str = TARGET) -> float:
+    """Exact ROC-AUC from probabilities (``numBins=0``: no down-sampling)."""
     ev = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol=label,
                                        metricName="areaUnderROC", numBins=0)
     return ev.evaluate(model.transform(data))
 
 
-def grid_search(train: DataFrame, grid=GRID_C, k: int = N_SPLITS, label: str = TARGET):
+def grid_search(train: DataFrame, grid=GRID_C, k: int = N_SPLITS, label: str = TARGET,
+                parallelism: int = PARALLELISM):
     """#78: inner k-fold over C (another hash salt), score ROC-AUC, refit
-    the best on the whole training part. Returns (best model, scores)."""
+    the best on the whole training part. Returns (best model, scores).
+
+    The training part is materialized once (reliable checkpoint) so the
+    k x |grid| fits read it instead of recomputing the feature pipeline;
+    the fits are submitted from a few driver threads, each a distributed
+    job.
+    """
     spark = train.sparkSession
-    train = add_folds(train, k=k, salt="inner", col="inner_fold")
-    rows = []
-    for C in grid:
-        scores = []
-        for f in range(k):
-            m = fit(train.where(F.col("inner_fold") != f), C, label)
-            scores.append(auc(m, train.where(F.col("inner_fold") == f), label))
-        rows.append((float(C), float(sum(scores) / len(scores))))
+    train = cut_lineage(add_folds(train, k=k, salt="inner", col="inner_fold"), True)
+
+    def score(task):
+        C, f = task
+        m = fit(train.where(F.col("inner_fold") != f), C, label)
+        return C, auc(m, train.where(F.col("inner_fold") == f), label)
+
+    tasks = [(float(C), f) for C in grid for f in range(k)]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        results = list(pool.map(score, tasks))
+    rows = [(C, float(sum(a for c, a in results if c == C) / k)) for C in map(float, grid)]
     best_c = max(rows, key=lambda r: (r[1], -r[0]))[0]
     scores = spark.createDataFrame(rows, "C double, mean_auc double")
-    return fit(train, best_c, label), scores
+    return fit(train.drop("inner_fold"), best_c, label), scores
 
 
 def predict(model, data: DataFrame) -> DataFrame:
@@ -131,7 +148,7 @@ def average_metrics(per_fold: DataFrame) -> DataFrame:
 
 def run_cv(table: DataFrame, k: int = N_SPLITS, grid=GRID_C, label: str = TARGET) -> DataFrame:
     """#82: outer folds -> inner grid search -> predict -> metrics per fold."""
-    data = assemble(add_folds(table, k=k)).select("order_id", label, "fold", "features")
+    data = cut_lineage(assemble(add_folds(table, k=k)).select("order_id", label, "fold", "features"), True)
     out = None
     for f in range(k):
         model, _ = grid_search(data.where(F.col("fold") != f).drop("fold"), grid, k, label)
