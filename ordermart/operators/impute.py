@@ -27,6 +27,7 @@ applies all fills in one projection.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -67,6 +68,16 @@ def _safe_div(s: Column, n: Column) -> Column:
     return F.when(n > 0, s / n)
 
 
+def _keep(S: DataFrame) -> DataFrame:
+    """Write a level's table (one row per key tuple, never the fact table)
+    to the shared checkpoint folder and continue from it.
+
+    Each level joins the table with an aggregate of itself; without the cut
+    the plan doubles per level and the driver spends its time re-planning.
+    """
+    return cut_lineage(S, True)
+
+
 # ---------------------------------------------------------------- summaries
 def mean_summary(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """One aggregate of the fact: per key tuple and column, sum / non-null
@@ -143,7 +154,7 @@ def cascade_means(S: DataFrame, specs: list[MeanSpec]) -> DataFrame:
     column takes part only at its own levels, so its fills stay sequential.
     Columns that share a level share one aggregate and one join.
     """
-    S = S.withColumns({_fname(sp.col): F.lit(None).cast("double") for sp in specs})
+    S = _keep(S.withColumns({_fname(sp.col): F.lit(None).cast("double") for sp in specs}))
     order = _level_order(specs)
     by_col = {sp.col: sp for sp in specs}
     for k in order:
@@ -164,32 +175,43 @@ def cascade_means(S: DataFrame, specs: list[MeanSpec]) -> DataFrame:
             if c in glob:
                 v = F.coalesce(v, F.col(f"_g_{c}"))
             upd[_fname(c)] = v
-        S = S.withColumns(upd).drop(*[x for x in stats.columns if x != "_lk"])
+        S = _keep(S.withColumns(upd).drop(*[x for x in stats.columns if x != "_lk"]))
     return S
 
 
 def mode_fills(df: DataFrame, col: str, levels: list[str]) -> DataFrame:
-    """#47: mode cascade on a histogram (key tuple, value, count).
-
-    Returns, per key tuple that has NULLs in ``col``, the fill ``_f_<col>``.
-    A tuple filled at level i adds its NULL count to its new value in the
-    histogram seen by level i+1 (T8). Ties -> smallest value (T13).
+    """#47: mode cascade. Returns, per key tuple that has NULLs in ``col``,
+    the fill ``_f_<col>``.
+
+    Level k sees value counts by (k, value): those of the non-NULL rows,
+    straight from the fact table (partial aggregation, so a hot key is one
+    row per task), plus the NULL rows already filled by earlier levels,
+    which come from a small table of NULL rows per key tuple. A tuple
+    filled at level i adds its NULL count to its new value at level i+1
+    (T8); ties go to the smallest value (T13).
     """
     f = _fname(col)
-    hist = df.groupBy(*levels, F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_cnt"))
-    known = hist.where(F.col("_v").isNotNull())
-    T = (hist.where(F.col("_v").isNull()).select(*levels, F.col("_cnt").alias("_z"))
-             .withColumn(f, F.lit(None).cast(df.schema[col].dataType)))
-    for k in levels:
-        h = known.select(F.col(k).alias("_lk"), "_v", "_cnt").unionByName(
-            T.where(F.col(f).isNotNull()).select(F.col(k).alias("_lk"), F.col(f).alias("_v"),
-                                                 F.col("_z").alias("_cnt")))
-        modes = (h.where(F.col("_lk").isNotNull()).groupBy("_lk", "_v")
-                  .agg(F.sum("_cnt").alias("_cnt"))
-                  .groupBy("_lk")
-                  .agg(F.min_by("_v", F.struct(-F.col("_cnt"), F.col("_v"))).alias("_mode")))
-        T = (T.join(modes, T[k] == modes["_lk"], "left")
-              .withColumn(f, F.coalesce(F.col(f), F.col("_mode"))).drop("_lk", "_mode"))
+    v = F.col(col)
+    # counts of the non-NULL rows for every level in one scan: each row is
+    # tagged once per level, then one partial aggregate (map-side combine)
+    tagged = F.explode(F.array(*[F.struct(F.lit(i).alias("_lvl"), F.col(k).cast("string").alias("_lk"))
+                                 for i, k in enumerate(levels)]))
+    known_all = _keep(df.where(v.isNotNull()).select(tagged.alias("_t"), v.alias("_v"))
+                      .where(F.col("_t._lk").isNotNull())
+                      .groupBy(F.col("_t._lvl").alias("_lvl"), F.col("_t._lk").alias("_lk"), "_v")
+                      .agg(F.count(F.lit(1)).alias("_cnt")))
+    T = _keep(df.where(v.isNull()).groupBy(*levels).agg(F.count(F.lit(1)).alias("_z"))
+              .withColumn(f, F.lit(None).cast(df.schema[col].dataType)))
+    for i, k in enumerate(levels):
+        known = known_all.where(F.col("_lvl") == i).select("_lk", "_v", "_cnt")
+        filled = (T.where(F.col(f).isNotNull() & F.col(k).isNotNull())
+                   .select(F.col(k).cast("string").alias("_lk"), F.col(f).alias("_v"),
+                           F.col("_z").alias("_cnt")))
+        modes = (known.unionByName(filled).groupBy("_lk", "_v").agg(F.sum("_cnt").alias("_cnt"))
+                 .groupBy("_lk")
+                 .agg(F.min_by("_v", F.struct(-F.col("_cnt"), F.col("_v"))).alias("_mode")))
+        T = _keep(T.join(modes, T[k].cast("string") == modes["_lk"], "left")
+                   .withColumn(f, F.coalesce(F.col(f), F.col("_mode"))).drop("_lk", "_mode"))
     return T.select(*levels, f)
 
 
@@ -314,31 +336,35 @@ def fill_review_replies(df: DataFrame) -> DataFrame:
 # ------------------------------------------------- single-operator entries
 def fill_coords(df: DataFrame) -> DataFrame:
     """#45: customer coordinates by customer city, then state."""
+    df = cut_lineage(df)  # several small jobs read it
     fills = customer_fills(df, coords=True, dimensions=False, review=False)
     return _apply_means(_null_safe_join(df, fills, CUSTOMER_KEYS), COORD_COLS)
 
 
 def fill_dates(df: DataFrame) -> DataFrame:
     """#46: the four dates by seller -> seller city -> seller state -> global."""
-    df = with_day_offsets(df)
+    df = cut_lineage(with_day_offsets(df))  # several small jobs read it
     fills = seller_fills(df, dates=True, product_info=False)
     return _apply_dates(_null_safe_join(df, fills, SELLER_KEYS))
 
 
 def fill_category(df: DataFrame) -> DataFrame:
     """#47: category mode by customer -> seller -> seller city -> seller state."""
+    df = cut_lineage(df)  # several small jobs read it
     out = _null_safe_join(df, category_fills(df), CATEGORY_KEYS)
     return _apply_means(out, [CATEGORY])
 
 
 def fill_product_info(df: DataFrame) -> DataFrame:
     """#48: text lengths by seller -> seller city -> seller state -> global."""
+    df = cut_lineage(df)  # several small jobs read it
     fills = seller_fills(df, dates=False, product_info=True)
     return _apply_means(_null_safe_join(df, fills, SELLER_KEYS), PRODUCT_INFO_COLS)
 
 
 def fill_dimensions(df: DataFrame) -> DataFrame:
     """#49: weight and sizes by customer -> customer city -> customer state."""
+    df = cut_lineage(df)  # several small jobs read it
     fills = customer_fills(df, coords=False, dimensions=True, review=False)
     return _apply_means(_null_safe_join(df, fills, CUSTOMER_KEYS), DIMENSION_COLS)
 
@@ -352,6 +378,7 @@ def fill_payment(df: DataFrame) -> DataFrame:
 def fill_review(df: DataFrame, masked: bool = False) -> DataFrame:
     """#51: review score by customer -> city -> state (stale mask unless
     ``masked=True``, which gives the conventional cascade)."""
+    df = cut_lineage(df)  # several small jobs read it
     fills = customer_fills(df, coords=False, dimensions=False, review=True, masked=masked)
     return _apply_means(_null_safe_join(df, fills, CUSTOMER_KEYS), [REVIEW])
 
@@ -361,13 +388,18 @@ def impute_all(mart: DataFrame, masked_review: bool = False) -> DataFrame:
     """#53: filters, then every fill from summaries of the same base frame.
 
     Fact-table work: one aggregate per key tuple (seller, customer,
-    category, one-row payment modes) and one null-safe join per tuple.
+    category histogram, one-row payment modes) and one null-safe join per
+    tuple; the cascades run on small per-level tables.
     """
     # five readers (four summaries + the final join): materialize once
     base = cut_lineage(with_day_offsets(has_product(delivered_only(mart))))
-    sf = seller_fills(base)
-    cf = customer_fills(base, masked=masked_review)
-    kf = category_fills(base)
+    # the three cascades are independent chains of small jobs: submit them
+    # from three driver threads so their jobs overlap on the cluster
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        jobs = [pool.submit(seller_fills, base),
+                pool.submit(customer_fills, base, masked=masked_review),
+                pool.submit(category_fills, base)]
+        sf, cf, kf = (j.result() for j in jobs)
     pm = payment_modes(base)
     out = _null_safe_join(base, sf, SELLER_KEYS)
     out = _null_safe_join(out, cf, CUSTOMER_KEYS)

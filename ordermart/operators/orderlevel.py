@@ -83,7 +83,9 @@ def order_level(df: DataFrame, dedupe: bool = False) -> DataFrame:
     key = _order_key(df)
     aggs = [F.count("order_item_id").alias("count_order_item_id")]                      # 63
     aggs += [first_non_null(src, key).alias(out) for out, src in FIRST.items()]          # 64
-    aggs.append(F.count_distinct("product_category_name").alias("nunique_product_category_name"))  # 65
+    # 65: distinct count as the size of the value set (bounded by the number
+    # of categories) so the aggregate needs no Expand of the input rows
+    aggs.append(F.size(F.collect_set("product_category_name")).alias("nunique_product_category_name"))
     aggs += [F.mode(src, True).alias(out) for out, src in MODE.items()]                 # 66
     aggs += [F.avg(src).alias(out) for out, src in MEAN.items()]                        # 67
     aggs.append(F.coalesce(F.sum("price"), F.lit(0.0)).alias("total_price"))            # 68

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,16 +57,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame, enabled: bool | None = None) -> DataFrame:
-    """Reliable checkpoint of ``df`` into the shared checkpoint folder.
+    """Materialize ``df`` as a Parquet table in the shared checkpoint folder
+    and continue from it.
 
-    ``enabled=None`` checkpoints only when the session names a checkpoint
-    folder; the result then survives executor loss without recomputing the
-    upstream joins. Never uses a local (executor-disk) checkpoint.
+    ``enabled=None`` does it only when the session names a checkpoint
+    folder. Parquet rather than ``Dataset.checkpoint()``: the table is
+    columnar and compressed, so later readers prune columns and push
+    filters instead of deserializing whole rows, and it survives executor
+    loss like any written table. Never a local (executor-disk) checkpoint.
     """
     spark = df.sparkSession
     if enabled is None:
         enabled = checkpoint_dir(spark) is not None
     if not enabled:
         return df
-    ensure_checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
