@@ -68,7 +68,9 @@ def fit(train: DataFrame, C: float, label: str = TARGET):
     """One L2 fit equal to the weighted, C-scaled objective (T23):
     regParam = 1 / (C * n_train) with balanced weights summing to n, the
     weights recomputed on this training part."""
-    train = with_weights(train, label)
+    # one materialized copy serves the count, the weights and every
+    # optimizer pass (instead of recomputing the feature pipeline)
+    train = cut_lineage(with_weights(train, label))
     n = train.count()
     lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight",
                             regParam=1.0 / (C * max(n, 1)), elasticNetParam=0.0,

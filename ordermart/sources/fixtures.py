@@ -20,8 +20,16 @@ from .schemas import ORDER_TIME_COLS
 PAYMENT_TYPE_BY_MOD4 = ["boleto", "voucher", "credit_card", "credit_card"]
 
 
+_READS: dict = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The driver table as a lazy DataFrame, one per session and path: the
+    inputs are read-only, so the file listing and footer read happen once."""
+    key = (id(spark), f"{sf_dir}/{name}.parquet")
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(key[1])
+    return _READS[key]
 
 
 def _hours(ts: Column, n: Column | int) -> Column:
