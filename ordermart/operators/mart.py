@@ -103,3 +103,20 @@ def register_mart_view(mart: DataFrame, name: str = "orders_master") -> DataFram
 def mart_source(spark, mart: DataFrame | None = None, table: str = "orders_master") -> DataFrame:
     """#2: a caller-supplied mart, else the registered table/view."""
     return mart if mart is not None else spark.table(table)
+
+
+def lookup_map(df: DataFrame, key: str, stats: DataFrame, stats_key: str, value: str,
+               out: str) -> DataFrame:
+    """#42: ``series.map(group_stat)`` -- an N:1 lookup of a per-key value.
+
+    A left join on the key; rows whose key is NULL or absent get NULL (the
+    stats table has one row per key, so no row is duplicated). AQE
+    broadcasts the stats table when its runtime size allows.
+    """
+    s = stats.select(F.col(stats_key).alias("_lk"), F.col(value).alias(out))
+    return df.join(s, df[key] == s["_lk"], "left").drop("_lk")
+
+
+def group_mean(df: DataFrame, key: str, col: str) -> DataFrame:
+    """Per-key mean of ``col`` (NULL keys dropped), the usual lookup table."""
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(col).alias(f"_mean_{col}"))
