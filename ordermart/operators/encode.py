@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.session import cut_lineage
+
 # The ordinal coding of order statuses used by the pipeline.
 STATUS_CODES = {
     "delivered": 6,
@@ -90,27 +92,30 @@ def zscore(df: DataFrame, cols: list[str] | None = None, binary: set[str] = froz
     target); they are never scaled and keep their type. The other
     candidates become DOUBLE. "More than two distinct" is decided without a
     wide COUNT DISTINCT: one pass gives min/max/mean/std, a second the flag
-    "some value differs from both min and max". Both are one-row aggregates
-    broadcast back, so the whole step stays a lazy plan.
+    "some value differs from both min and max". Like ``StandardScaler``,
+    it is a fit then a transform: each pass is one distributed aggregate
+    whose single row (four numbers and a flag per column, bounded by the
+    schema, not the data) comes back to the driver, and the transform is a
+    projection with those values as literals -- no join, no subquery.
     """
     cols = [c for c in (cols or numeric_columns(df)) if c not in binary]
     if not cols:
         return df
-    stats = df.agg(*[x for c in cols for x in (
+    df = cut_lineage(df)  # read three times: two statistics passes and the result
+    st = df.agg(*[x for c in cols for x in (
         F.min(c).cast("double").alias(f"_lo_{c}"), F.max(c).cast("double").alias(f"_hi_{c}"),
-        F.avg(c).alias(f"_mu_{c}"), F.stddev_samp(c).alias(f"_sd_{c}"))])
-    j = df.crossJoin(F.broadcast(stats))  # one row
-    flags = j.agg(*[F.max((F.col(c).cast("double") != F.col(f"_lo_{c}"))
-                          & (F.col(c).cast("double") != F.col(f"_hi_{c}"))).alias(f"_many_{c}")
-                    for c in cols])
-    j = j.crossJoin(F.broadcast(flags))  # one row
+        F.avg(c).alias(f"_mu_{c}"), F.stddev_samp(c).alias(f"_sd_{c}"))]).first().asDict()
+    fl = df.agg(*[F.max((F.col(c).cast("double") != F.lit(st[f"_lo_{c}"]))
+                        & (F.col(c).cast("double") != F.lit(st[f"_hi_{c}"]))).alias(c)
+                  for c in cols]).first().asDict()
     scaled = {}
     for c in cols:
         x = F.col(c).cast("double")
-        z = (x - F.col(f"_mu_{c}")) / (F.col(f"_sd_{c}") + F.lit(eps))
-        scaled[c] = F.when(F.coalesce(F.col(f"_many_{c}"), F.lit(False)), z).otherwise(x)
-    helper = [f"_{p}_{c}" for c in cols for p in ("lo", "hi", "mu", "sd", "many")]
-    return j.withColumns(scaled).drop(*helper)
+        if fl[c]:
+            scaled[c] = (x - F.lit(st[f"_mu_{c}"])) / (F.lit(st[f"_sd_{c}"]) + F.lit(eps))
+        else:
+            scaled[c] = x
+    return df.withColumns(scaled)
 
 
 def safe_name(s: str) -> str:

@@ -30,7 +30,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import add_fractional_days, add_whole_days, floor_days
@@ -98,9 +98,11 @@ def _level_stats(S: DataFrame, key: str, cols: list[str], stale: set[str],
     A = sum of values seen so far (originals + earlier fills x null count),
     B = their count, C = rows still NULL; the level mean is A/B (NULL for
     the NULL key, T9). Frame-wide values -- the "any NULL left" flag of the
-    stale cascade and the global mean after this level -- are windows over
-    this per-group table (one row per distinct key: cities, states), so
-    the summary is joined only once per level.
+    stale cascade and the global mean after this level -- are one-row
+    aggregates of this per-group table read as scalar subqueries (partial
+    aggregation per task, then one row per task to the final merge), so no
+    task ever holds the whole per-group table and the summary is joined
+    only once per level.
     """
     aggs = []
     for c in cols:
@@ -113,19 +115,25 @@ def _level_stats(S: DataFrame, key: str, cols: list[str], stale: set[str],
             F.sum(F.when(filled, 0).otherwise(z)).alias(f"_C_{c}"),
         ]
     g = S.groupBy(F.col(key).alias("_lk")).agg(*aggs)
-    everything = Window.partitionBy()
-    out = {}
+    g = g.withColumns({f"_m_{c}": F.when(F.col("_lk").isNotNull(),
+                                         _safe_div(F.col(f"_A_{c}"), F.col(f"_B_{c}")))
+                       for c in cols})
+    totals = []
     for c in cols:
-        m = F.when(F.col("_lk").isNotNull(), _safe_div(F.col(f"_A_{c}"), F.col(f"_B_{c}")))
-        out[f"_m_{c}"] = m
+        m = F.col(f"_m_{c}")
         if c in stale:
-            out[f"_any_{c}"] = F.max(F.col(f"_C_{c}") > 0).over(everything)
+            totals.append(F.max(F.col(f"_C_{c}") > 0).alias(f"_any_{c}"))
         if c in global_cols:
             a = F.col(f"_A_{c}") + F.when(m.isNotNull(), F.col(f"_C_{c}") * m).otherwise(0.0)
             b = F.col(f"_B_{c}") + F.when(m.isNotNull(), F.col(f"_C_{c}")).otherwise(0)
-            out[f"_g_{c}"] = _safe_div(F.sum(a).over(everything), F.sum(b).over(everything))
-    g = g.withColumns(out)
-    return g.select("_lk", *[x for x in out])
+            totals.append(_safe_div(F.sum(a), F.sum(b)).alias(f"_g_{c}"))
+    out = [f"_m_{c}" for c in cols]
+    if totals:
+        one = g.agg(*totals)
+        row = one.select(F.struct("*")).scalar()
+        g = g.withColumns({n: row[n] for n in one.columns})
+        out += one.columns
+    return g.select("_lk", *out)
 
 
 def _level_order(specs: list[MeanSpec]) -> list[str]:
@@ -295,14 +303,17 @@ def payment_modes(base: DataFrame) -> DataFrame:
 
 
 def _apply_payment(df: DataFrame, modes: DataFrame) -> DataFrame:
-    df = df.crossJoin(F.broadcast(modes))  # exactly one row
+    """The one-row modes are scalar subqueries (one merged aggregate,
+    inlined as values), not a join."""
+    row = modes.select(F.struct("_pm_type", "_pm_seq", "_pm_inst")).scalar()
+    pm = {n: row[n] for n in ("_pm_type", "_pm_seq", "_pm_inst")}
     miss = F.col("total_payment").isNull()
     return df.withColumns({
         "total_payment": F.when(miss, F.col("freight_value") + F.col("price")).otherwise(F.col("total_payment")),
-        "payment_type": F.when(miss, F.col("_pm_type")).otherwise(F.col("payment_type")),
-        "payment_sequential": F.when(miss, F.col("_pm_seq")).otherwise(F.col("payment_sequential")),
-        "payment_installments": F.when(miss, F.col("_pm_inst")).otherwise(F.col("payment_installments")),
-    }).drop("_pm_type", "_pm_seq", "_pm_inst")
+        "payment_type": F.when(miss, pm["_pm_type"]).otherwise(F.col("payment_type")),
+        "payment_sequential": F.when(miss, pm["_pm_seq"]).otherwise(F.col("payment_sequential")),
+        "payment_installments": F.when(miss, pm["_pm_inst"]).otherwise(F.col("payment_installments")),
+    })
 
 
 def _apply_dates(df: DataFrame) -> DataFrame:

@@ -40,10 +40,8 @@ def add_folds(df: DataFrame, key: str = "order_id", k: int = N_SPLITS, salt: str
 def class_weights(df: DataFrame, label: str = TARGET) -> DataFrame:
     """#77: balanced weights n / (2 * n_c) per class, one row per class."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = df.agg(F.count(F.lit(1)).alias("n_total"))
-    return (counts.crossJoin(F.broadcast(total))  # one-row side
-                  .withColumn("weight", F.col("n_total") / (F.lit(2.0) * F.col("n_rows")))
-                  .drop("n_total"))
+    total = df.agg(F.count(F.lit(1)).alias("n_total")).scalar()  # one value
+    return counts.withColumn("weight", total / (F.lit(2.0) * F.col("n_rows")))
 
 
 def with_weights(df: DataFrame, label: str = TARGET, col: str = "weight") -> DataFrame:

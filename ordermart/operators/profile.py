@@ -76,38 +76,36 @@ def target_distribution(df: DataFrame, target: str = "bad_review") -> DataFrame:
     return df.groupBy(target).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def pearson(a: str, b: str):
-    """Pairwise-complete Pearson r; NULL when a side is constant.
-
-    ``corr()`` raises DIVIDE_BY_ZERO under ANSI for a constant column, so r
-    is covariance over the product of standard deviations, all three taken
-    over the rows where both sides are present, with ``try_divide``.
-    """
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    both = x.isNotNull() & y.isNotNull()
-    xs, ys = F.when(both, x), F.when(both, y)
-    return F.try_divide(F.covar_samp(xs, ys), F.stddev_samp(xs) * F.stddev_samp(ys))
-
-
-def correlation_matrix(df: DataFrame, cols: list[str], chunk: int = 200) -> DataFrame:
+def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """#29: Pearson matrix, pairwise complete, long form (col_a, col_b, r).
 
-    ``corr(a, b)`` skips rows where either side is NULL, matching the
-    pairwise-complete definition (T4). p columns -> p(p+1)/2 aggregates in
-    chunks of ``chunk`` per ``agg`` (bounded generated code); mirrored
-    pairs are derived, not recomputed.
+    Long-form aggregate: every row emits one (pair, x, y) entry per column
+    pair a <= b, with x and y set only where both sides are present (the
+    pairwise-complete definition, T4), and one ``groupBy(pair)`` takes
+    covariance and standard deviations per pair. The partial aggregate holds
+    one buffer per pair, so the shuffle is (#pairs x #partitions) rows and
+    the generated code stays the same size whatever the number of columns
+    (a wide ``agg`` with one aggregate per pair exceeds whole-stage codegen's
+    field limit and runs interpreted). r is covariance over the product of
+    the sample standard deviations with ``try_divide``: NULL for a constant
+    side (``corr()`` raises DIVIDE_BY_ZERO under ANSI) or fewer than two
+    complete rows. Mirrored pairs are copied after the aggregate.
     """
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    parts = []
-    for s in range(0, len(pairs), chunk):
-        part = pairs[s:s + chunk]
-        wide = df.agg(*[pearson(a, b).alias(f"p{s + j}") for j, (a, b) in enumerate(part)])
-        names = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                                   F.col(f"p{s + j}").alias("r")) for j, (a, b) in enumerate(part)])
-        parts.append(wide.select(F.explode(names).alias("x")).select("x.*"))
-    upper = parts[0]
-    for p in parts[1:]:
-        upper = upper.unionByName(p)
-    mirrored = upper.where(F.col("col_a") != F.col("col_b")) \
-                    .select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "r")
-    return upper.unionByName(mirrored)
+    x = {c: F.col(c).cast("double") for c in cols}
+    entries = []
+    for i, (a, b) in enumerate(pairs):
+        both = x[a].isNotNull() & x[b].isNotNull()
+        entries.append(F.struct(F.lit(i).alias("pair"), F.when(both, x[a]).alias("x"),
+                                F.when(both, x[b]).alias("y")))
+    per_pair = (df.select(F.inline(F.array(*entries)))
+                  .groupBy("pair")
+                  .agg(F.try_divide(F.covar_samp("x", "y"),
+                                    F.stddev_samp("x") * F.stddev_samp("y")).alias("r")))
+    name_a = F.array(*[F.lit(a) for a, _ in pairs])
+    name_b = F.array(*[F.lit(b) for _, b in pairs])
+    a, b = F.element_at(name_a, F.col("pair") + 1), F.element_at(name_b, F.col("pair") + 1)
+    upper = F.struct(a.alias("col_a"), b.alias("col_b"), F.col("r"))
+    lower = F.struct(b.alias("col_a"), a.alias("col_b"), F.col("r"))
+    both_ways = F.when(a == b, F.array(upper)).otherwise(F.array(upper, lower))
+    return per_pair.select(F.inline(both_ways))

@@ -202,8 +202,8 @@ def category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct categories minus the smallest one, so the foreign-key check
     has a violation to find."""
     p = _read(spark, sf_dir, "part").select("p_type")
-    smallest = p.agg(F.min("p_type").alias("m"))
-    return (p.join(F.broadcast(smallest), F.col("p_type") != F.col("m"))  # one-row side
+    smallest = p.agg(F.min("p_type")).scalar()  # one value
+    return (p.where(F.col("p_type") != smallest)
              .select(F.col("p_type").alias("product_category_name")).distinct())
 
 
