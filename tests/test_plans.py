@@ -45,3 +45,53 @@ def test_oracle_twins_cover_queries():
     missing = set(q) - set(s)
     # rows-only by design: schema listing and the fitted-model queries
     assert missing == {"describe_frame", "grid_search", "predict", "run_cv"}
+
+
+def _executed(df) -> str:
+    df.collect()  # the final adaptive plan, subqueries included
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_row_statistics_are_subqueries_not_joins(spark):
+    """Frame-wide values (payment modes, class totals, the stale-mask flag
+    and the global mean of a cascade level) are scalar subqueries: no
+    nested-loop or cartesian join, and no window without a partition key
+    (which would put a whole per-group table into one task)."""
+    from pyspark.sql import functions as F
+    from ordermart.operators import impute, ml
+    from ordermart.sources import fixtures
+
+    rows = [("a", "x", "s1", 1.0), ("a", "x", "s1", None), ("b", "y", "s1", None),
+            ("c", None, "s2", None), ("d", "z", "s2", 5.0)]
+    df = spark.createDataFrame(rows, "cu string, ci string, st string, review_score double")
+    S = impute.mean_summary(df, ["cu", "ci", "st"], ["review_score"]) \
+              .withColumn("_f_review_score", F.lit(None).cast("double"))
+    stats = impute._level_stats(S, "ci", ["review_score"], {"review_score"}, {"review_score"})
+    plan = _executed(stats)
+    assert "Subquery" in plan
+    for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "Window"):
+        assert bad not in plan
+
+    pay = spark.createDataFrame(
+        [(1.0, 2.0, None, "boleto", 1, 2), (1.0, 3.0, 4.0, "voucher", 1, 1)],
+        "review_score double, price double, total_payment double, payment_type string, "
+        "payment_sequential int, payment_installments int").withColumn("freight_value", F.lit(1.0))
+    w = ml.class_weights(spark.createDataFrame([(0,), (1,), (1,)], "bad_review int"))
+    for d in (impute.fill_payment(pay), w,
+              fixtures.category_translation(spark, SF)):
+        plan = _executed(d)
+        assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_correlation_is_one_grouped_aggregate(spark):
+    """The correlation matrix is one long-form aggregate keyed by column
+    pair (shuffle: pairs x partitions rows), whatever the column count."""
+    df = spark.createDataFrame([(1.0, 2.0, None), (2.0, 1.0, 3.0), (3.0, 5.0, 1.0)], "a double, b double, c double")
+    from ordermart.operators import profile
+    out = profile.correlation_matrix(df, ["a", "b", "c"])
+    plan = _executed(out)
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning") == 1
+    got = {(r.col_a, r.col_b): r.r for r in out.collect()}
+    assert len(got) == 9 and got[("a", "b")] == got[("b", "a")]
+    assert abs(got[("a", "a")] - 1.0) < 1e-12
