@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.session import cut_lineage
 
 # The ordinal coding of order statuses used by the pipeline.
 STATUS_CODES = {
@@ -97,11 +96,11 @@ def zscore(df: DataFrame, cols: list[str] | None = None, binary: set[str] = froz
     whose single row (four numbers and a flag per column, bounded by the
     schema, not the data) comes back to the driver, and the transform is a
     projection with those values as literals -- no join, no subquery.
+    ``df`` is read three times; pipelines pass a materialized frame.
     """
     cols = [c for c in (cols or numeric_columns(df)) if c not in binary]
     if not cols:
         return df
-    df = cut_lineage(df)  # read three times: two statistics passes and the result
     st = df.agg(*[x for c in cols for x in (
         F.min(c).cast("double").alias(f"_lo_{c}"), F.max(c).cast("double").alias(f"_hi_{c}"),
         F.avg(c).alias(f"_mu_{c}"), F.stddev_samp(c).alias(f"_sd_{c}"))]).first().asDict()

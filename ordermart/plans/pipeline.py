@@ -44,7 +44,9 @@ def encode_and_scale(ol: DataFrame, one_hot_cols=ONE_HOT_COLS, freq_cols=FREQ_CO
     cats = {c: encode.category_values(ol, c) for c in one_hot_cols if c not in (categories or {})}
     cats.update(categories or {})
     enc = encode.one_hot(ol, one_hot_cols, cats)
-    enc = encode.frequency_encode(enc, freq_cols)
+    # z-scoring reads its input three times (two statistics passes and the
+    # result): materialize the encoded frame once instead of redoing the joins
+    enc = cut_lineage(encode.frequency_encode(enc, freq_cols))
     binary = {f"{c}_{v}" for c in one_hot_cols for v in sorted(cats[c])[1:]} | {"bad_review"}
     return encode.zscore(enc, binary=binary)
 
