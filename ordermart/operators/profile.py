@@ -35,6 +35,16 @@ def top_zips(zip_geo: DataFrame, n: int = 20) -> DataFrame:
     return zip_geo.select(geo.ZIP).orderBy(F.col(geo.ZIP).desc_nulls_first()).limit(n)
 
 
+def describe_frame(df: DataFrame) -> DataFrame:
+    """#6: the column list with types and the frame's row count (the shape a
+    printed frame ends with). The column rows come from the schema (bounded
+    by the column count); the count is a scalar subquery over the whole
+    frame, so no row reaches the driver."""
+    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
+    cols = df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
+    return cols.withColumn("n_rows", df.agg(F.count(F.lit(1))).scalar())
+
+
 def null_counts(df: DataFrame) -> DataFrame:
     """#23: NULLs per column, long form (column_name, n_null), one pass."""
     wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])

@@ -43,8 +43,8 @@ def test_filter_reaches_scan(spark, tmp_path):
 def test_oracle_twins_cover_queries():
     q, s = E.queries(), E.oracle_sql()
     missing = set(q) - set(s)
-    # rows-only by design: schema listing and the fitted-model queries
-    assert missing == {"describe_frame", "grid_search", "predict", "run_cv"}
+    # rows-only by design: the fitted-model queries
+    assert missing == {"grid_search", "predict", "run_cv"}
 
 
 def _executed(df) -> str:
