@@ -98,11 +98,11 @@ def _level_stats(S: DataFrame, key: str, cols: list[str], stale: set[str],
     A = sum of values seen so far (originals + earlier fills x null count),
     B = their count, C = rows still NULL; the level mean is A/B (NULL for
     the NULL key, T9). Frame-wide values -- the "any NULL left" flag of the
-    stale cascade and the global mean after this level -- are one-row
-    aggregates of this per-group table read as scalar subqueries (partial
-    aggregation per task, then one row per task to the final merge), so no
-    task ever holds the whole per-group table and the summary is joined
-    only once per level.
+    stale cascade and the global mean after this level -- are one one-row
+    aggregate of this per-group table (partial aggregation per task, then
+    one row per task to the final merge), fetched once and applied as
+    literals, so no task ever holds the whole per-group table and the
+    summary is joined only once per level.
     """
     aggs = []
     for c in cols:
@@ -130,8 +130,8 @@ def _level_stats(S: DataFrame, key: str, cols: list[str], stale: set[str],
     out = [f"_m_{c}" for c in cols]
     if totals:
         one = g.agg(*totals)
-        row = one.select(F.struct("*")).scalar()
-        g = g.withColumns({n: row[n] for n in one.columns})
+        row = one.first()  # one row: a flag and a mean per column
+        g = g.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in one.schema.fields})
         out += one.columns
     return g.select("_lk", *out)
 
@@ -287,6 +287,9 @@ def customer_fills(base: DataFrame, coords: bool = True, dimensions: bool = True
 
 
 CATEGORY_KEYS = ["customer_unique_id", "seller_id", "seller_city", "seller_state"]
+# the columns ``impute_all`` fills from the cascades (dates as day offsets)
+FILLED_COLS = ([f"_d_{c}" for c in DATE_COLS] + PRODUCT_INFO_COLS + COORD_COLS + DIMENSION_COLS
+               + [REVIEW, CATEGORY])
 
 
 def category_fills(base: DataFrame) -> DataFrame:
@@ -303,10 +306,11 @@ def payment_modes(base: DataFrame) -> DataFrame:
 
 
 def _apply_payment(df: DataFrame, modes: DataFrame) -> DataFrame:
-    """The one-row modes are scalar subqueries (one merged aggregate,
-    inlined as values), not a join."""
-    row = modes.select(F.struct("_pm_type", "_pm_seq", "_pm_inst")).scalar()
-    pm = {n: row[n] for n in ("_pm_type", "_pm_seq", "_pm_inst")}
+    """The modes are one row of three values (one distributed aggregate,
+    fetched once, like a fitted model's parameters) applied as literals:
+    no join, and no subquery evaluated once per referencing expression."""
+    row = modes.first()
+    pm = {f.name: F.lit(row[f.name]).cast(f.dataType) for f in modes.schema.fields}
     miss = F.col("total_payment").isNull()
     return df.withColumns({
         "total_payment": F.when(miss, F.col("freight_value") + F.col("price")).otherwise(F.col("total_payment")),
@@ -400,7 +404,8 @@ def impute_all(mart: DataFrame, masked_review: bool = False) -> DataFrame:
 
     Fact-table work: one aggregate per key tuple (seller, customer,
     category histogram, one-row payment modes) and one null-safe join per
-    tuple; the cascades run on small per-level tables.
+    tuple for the rows that have something to fill; the cascades run on
+    small per-level tables.
     """
     # five readers (four summaries + the final join): materialize once
     base = cut_lineage(with_day_offsets(has_product(delivered_only(mart))))
@@ -412,9 +417,20 @@ def impute_all(mart: DataFrame, masked_review: bool = False) -> DataFrame:
                 pool.submit(category_fills, base)]
         sf, cf, kf = (j.result() for j in jobs)
     pm = payment_modes(base)
-    out = _null_safe_join(base, sf, SELLER_KEYS)
+    # only rows with a NULL in an imputed column take part in the three
+    # fill joins (a fill never changes a non-NULL value, T15 included);
+    # the others skip them, so the joins shuffle the missing rows, not the
+    # fact table. The two parts are disjoint (the test is never NULL).
+    need = None
+    for c in FILLED_COLS:
+        e = F.col(c).isNull()
+        need = e if need is None else need | e
+    out = _null_safe_join(base.where(need), sf, SELLER_KEYS)
     out = _null_safe_join(out, cf, CUSTOMER_KEYS)
     out = _null_safe_join(out, kf, CATEGORY_KEYS)
+    rest = base.where(~need).withColumns(
+        {c: F.lit(None).cast(out.schema[c].dataType) for c in out.columns if c not in base.columns})
+    out = out.unionByName(rest)
     out = _apply_means(out, COORD_COLS + [CATEGORY] + PRODUCT_INFO_COLS + DIMENSION_COLS + [REVIEW])
     out = _apply_dates(out)
     # payment reads the original review scores: its modes come from ``base``
