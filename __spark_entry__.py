@@ -9,6 +9,7 @@ as DOUBLE rounded to 4 places.
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 from ordermart.operators import (clean, encode, features, geo, impute, mart, ml, orderlevel,
                                  profile, quality)
 from ordermart.plans import oracle as O
-from ordermart.plans import pipeline
+from ordermart.plans import pipeline, session
 from ordermart.sources import fixtures
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -626,16 +627,35 @@ register("run_cv")(lambda spark, sf: ml.run_cv(_ft(spark, sf)))
 
 
 # ============================================================ contract
+def _with_scratch(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        session.use_local_scratch(spark)
+        return fn(spark, sf_dir)
+    return run
+
+
+def _training_data():
+    """The queries of the training-data subpackage, if it is there."""
+    if importlib.util.find_spec("ordermart.llm") is None or importlib.util.find_spec("corpus_pipeline") is None:
+        return None
+    from ordermart.llm import queries as training_data
+    return training_data
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the model-ready feature table (#75) on sf0.001."""
+    session.use_local_scratch(spark)
     return pipeline.feature_table(spark, SMOKE_DIR, categories=CATS)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_Q)
+    more = _training_data()
+    return {k: _with_scratch(f) for k, f in (_Q | (more.queries() if more else {})).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB twins, each wrapped so numeric columns become DOUBLE rounded
-    to 4 places, like ``_norm`` on the Spark side."""
-    return O.normalized(_SQL)
+    """DuckDB twins. Those of the library's own operators are wrapped so that
+    numeric columns become DOUBLE rounded to 4 places, like ``_norm`` on the
+    Spark side."""
+    more = _training_data()
+    return O.normalized(_SQL) | (more.oracle_sql() if more else {})

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from ordermart.operators import ml, profile  # noqa: E402
 from ordermart.plans import pipeline  # noqa: E402
 from ordermart.plans.oracle import CATEGORIES  # noqa: E402
-from ordermart.plans.session import build_session, ensure_checkpoint_dir  # noqa: E402
+from ordermart.plans.session import build_session, use_local_scratch  # noqa: E402
 
 
 def main() -> None:
@@ -30,7 +30,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
                           app_name="ordermart-bench")
-    ensure_checkpoint_dir(spark)
+    use_local_scratch(spark)
 
     def run(df) -> None:
         df.write.format("noop").mode("overwrite").save()

@@ -30,10 +30,9 @@ def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_level(spark: SparkSession, sf_dir: str, dedupe: bool = False,
-                checkpoint: bool | None = None) -> DataFrame:
-    """#70 on the featured mart. With ``checkpoint`` (default: when the
-    session names a checkpoint folder) the one-row-per-order result is
-    materialized, because encoding and scaling read it several times."""
+                checkpoint: bool = True) -> DataFrame:
+    """#70 on the featured mart. With ``checkpoint`` the one-row-per-order
+    result is materialized, because encoding and scaling read it several times."""
     ol = orderlevel.order_level(featured(spark, sf_dir), dedupe=dedupe)
     return cut_lineage(ol, checkpoint)
 
@@ -52,7 +51,7 @@ def encode_and_scale(ol: DataFrame, one_hot_cols=ONE_HOT_COLS, freq_cols=FREQ_CO
 
 
 def feature_table(spark: SparkSession, sf_dir: str, categories: dict[str, list] | None = None,
-                  checkpoint: bool | None = None) -> DataFrame:
+                  checkpoint: bool = True) -> DataFrame:
     """#75: the reference's ``preprocess`` as one lazy plan."""
     return encode_and_scale(order_level(spark, sf_dir, checkpoint=checkpoint),
                             categories=categories)

@@ -1,4 +1,4 @@
-"""Session defaults and lineage cutting."""
+"""Session defaults and written intermediate tables."""
 
 from __future__ import annotations
 
@@ -18,7 +18,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.driver.memory": "16g",
+    "spark.driver.memory": "8g",
 }
 
 
@@ -35,42 +35,75 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder the cluster names, if any."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        spark.sparkContext.setCheckpointDir(d)
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``,
+    or the folder given to ``SparkContext.setCheckpointDir``.
+
+    There is no fallback: a folder that only one machine sees would lose
+    rows on a cluster. Without a setting this raises ``ValueError``.
+    """
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not d:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors "
+                         "share; intermediate tables are written there")
     return d
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint folder; only when none is set (tests,
-    local runs) create a private scratch folder for it."""
-    d = checkpoint_dir(spark)
-    if d is None:
-        d = tempfile.mkdtemp(prefix="ordermart-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+def use_local_scratch(spark: SparkSession) -> None:
+    """For tests and single-machine runs (``local[...]`` masters) only: name
+    a private scratch folder where none is set. Elsewhere it does nothing."""
+    sc = spark.sparkContext
+    if (sc.master.startswith("local[") or sc.master == "local") \
+            and not spark.conf.get("spark.checkpoint.dir", None) and not sc.getCheckpointDir():
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="ordermart-scratch-"))
+
+
+class Scratch:
+    """Owner of the intermediate tables written through it; ``release()``
+    removes them once the frames that read them are no longer needed."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def materialize(self, df: DataFrame) -> DataFrame:
+        path = f"{checkpoint_dir(self.spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        jvm = self.spark.sparkContext._jvm
+        for path in self.paths:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        self.paths = []
+
+
+_SCRATCH: dict[str, Scratch] = {}
+
+
+def scratch(spark: SparkSession) -> Scratch:
+    """The application's default owner."""
+    app = spark.sparkContext.applicationId
+    if app not in _SCRATCH:
+        _SCRATCH.clear()
+        _SCRATCH[app] = Scratch(spark)
+    return _SCRATCH[app]
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every table written so far by ``cut_lineage`` in this application."""
+    scratch(spark).release()
 
 
-def cut_lineage(df: DataFrame, enabled: bool | None = None) -> DataFrame:
-    """Materialize ``df`` as a Parquet table in the shared checkpoint folder
-    and continue from it.
+def cut_lineage(df: DataFrame, enabled: bool = True) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder now
+    and continue from it; ``enabled=False`` returns ``df`` unchanged.
 
-    ``enabled=None`` does it only when the session names a checkpoint
-    folder. Parquet rather than ``Dataset.checkpoint()``: the table is
-    columnar and compressed, so later readers prune columns and push
-    filters instead of deserializing whole rows, and it survives executor
-    loss like any written table. Never a local (executor-disk) checkpoint.
+    Parquet rather than ``Dataset.checkpoint()``: the table is columnar and
+    compressed, so later readers prune columns and push filters instead of
+    deserializing whole rows, and it survives executor loss like any written
+    table. Never a local (executor-disk) checkpoint.
     """
-    spark = df.sparkSession
-    if enabled is None:
-        enabled = checkpoint_dir(spark) is not None
-    if not enabled:
-        return df
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return scratch(df.sparkSession).materialize(df) if enabled else df
