@@ -120,15 +120,15 @@ class SubstringHash:
         return mix64((self.prefix[end] - self.prefix[start]) * self._powers[1][start])
 
 
-_LOWERED = np.arange(256, dtype=np.uint8)
-_LOWERED[65:91] += 32
+LOWERED = np.arange(256, dtype=np.uint8)
+LOWERED[65:91] += 32
 
 
 def word_table(column: pa.Array, is_break: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words of a text column, A-Z lower-cased: their 64-bit hashes and the
     rows' offsets among them. ``is_break``: which of 256 bytes separate words."""
     data, offsets = text_bytes(column)
-    data = _LOWERED[data]
+    data = LOWERED[data]
     inside = ~is_break[data]
     before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
     before[1:], after[:-1] = inside[:-1], inside[1:]

@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ END_ID = 2
 #: Ids from which a shard is closed; documents a select sample stands for.
 SHARD_IDS = 1 << 20
 SAMPLE = 64
-#: Distinct words whose ids a task keeps at most.
+#: Pieces of text in a generation of a task's kept ids.
 CACHED_WORDS = 400_000
 
 SHARD_SCHEMA = ("piece int, shard int, doc_ids array<bigint>, n_docs bigint, n_ids bigint, low_bits int, "
@@ -96,35 +97,97 @@ class EliasFano:
 
 
 # ------------------------------------------------------------ encoding
+_LETTERS, _MARKS = np.zeros(256, bool), np.zeros(256, bool)
+_LETTERS[97:123] = True
+_MARKS[33:127] = True
+_MARKS[[39, *range(48, 58), *range(65, 91), *range(97, 123)]] = False  # no letter, digit or apostrophe
+
+
 class Encoder:
     """Whole texts to ids with a tokenizer file.
 
-    The tokenizer's pre-tokenizer never joins characters across a blank or a
-    line feed and its normalizer never composes across them, so a text's ids
-    are those of its blank-separated words in turn; the library encodes each
-    distinct word once and the ids are kept."""
+    The pre-tokenizer never joins characters across a blank or a line feed,
+    nor a letter with a mark that follows it (but for an apostrophe); the
+    normalizer never composes across them and lower-cases A-Z one by one. So
+    a text's ids are those of its pieces between such places, and the library
+    encodes each distinct piece once. Where a text may hold a special token's
+    name (``<|``), only blanks and line feeds part the pieces.
+
+    Ids are kept for the pieces met lately, in two generations of at most
+    ``CACHED_WORDS`` each."""
+
+    _made: dict[str, Encoder] = {}
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.kept: dict[str, bytes] = {"": b""}
-        self.end = END_ID.to_bytes(self.width, "little")
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+        self.kind = f"<u{self.width}"
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that end a word
+        self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    @classmethod
+    def of(cls, path: str) -> Encoder:
+        """The process's encoder for the file: tasks that follow reuse it."""
+        if path not in cls._made:
+            cls._made[path] = cls(path)
+        return cls._made[path]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text with the end id, as little-endian integers."""
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        if len(self.kept) > CACHED_WORDS:
-            self.kept = {"": b""}
-        new = list({w for ws in split for w in ws}.difference(self.kept))
-        kind = f"<u{self.width}"
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            for w, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                self.kept[w] = np.array(e.ids, kind).tobytes()
-        get = self.kept.__getitem__
-        return [b"".join([*map(get, ws), self.end]) for ws in split]
+        data, offsets = C.text_bytes(texts)
+        data = np.where(data == 10, np.uint8(32), data)
+        if b"<|" not in data.tobytes():
+            data = C.LOWERED[data]
+            cuts = np.flatnonzero(_LETTERS[data[:-1]] & _MARKS[data[1:]]) + 1
+            data, offsets = np.insert(data, cuts, 32), offsets + np.searchsorted(cuts, offsets)
+        column = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data))
+        lists = pc.split_pattern(column, " ")
+        coded = lists.values.dictionary_encode()
+        codes = coded.indices.to_numpy()
+        ids = self._pieces(coded.dictionary.to_pylist())
+        sizes = np.array([len(b) // self.width for b in ids], np.int64)
+        flat, begins = np.frombuffer(b"".join(ids), self.kind), np.cumsum(sizes) - sizes
+        n = sizes[codes]
+        ends = np.cumsum(n)
+        every = flat[np.repeat(begins[codes] - (ends - n), n) + np.arange(ends[-1] if len(n) else 0)]
+        to = np.concatenate([[0], ends])[np.asarray(lists.offsets)]
+        end = END_ID.to_bytes(self.width, "little")
+        return [every[a:b].tobytes() + end for a, b in zip(to[:-1], to[1:])]
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        young, old = self.young, self.old
+        found = {p: b for p in pieces if (b := young.get(p) or old.get(p)) is not None}
+        found[""] = b""
+        new = [p for p in pieces if p not in found]
+        plain = [p for p in new if p.isalpha()]
+        for some in [plain[at:at + 2000] for at in range(0, len(plain), 2000)]:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.int64)
+            cuts = np.flatnonzero(self.last[ids]) + 1
+            # each piece ends a word of the tokenizer; only where one holds more words, offsets must tell
+            found.update(self._parts(some, ids, cuts) if len(cuts) == len(some) else self._by_offset(some))
+        rest = [p for p in new if not p.isalpha()]
+        for at in range(0, len(rest), 1000):
+            found.update(self._by_offset(rest[at:at + 1000]))
+        if len(young) + len(found) > CACHED_WORDS:
+            self.old, self.young = young, found
+        else:
+            young.update(found)
+        return [found[p] for p in pieces]
+
+    def _by_offset(self, some: list[str]) -> Iterator[tuple[str, bytes]]:
+        made = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+        starts = np.fromiter((a for a, _ in made.offsets), np.int64, len(made))
+        cuts = np.searchsorted(starts, np.cumsum([len(p) + 1 for p in some]))
+        return self._parts(some, np.array(made.ids, np.int64), cuts)
+
+    def _parts(self, some: list[str], ids: np.ndarray, cuts: np.ndarray) -> Iterator[tuple[str, bytes]]:
+        raw = ids.astype(self.kind).tobytes()
+        ends = (cuts * self.width).tolist()
+        return zip(some, [raw[a:b] for a, b in zip([0, *ends], ends)])
 
 
 def shards(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
@@ -132,7 +195,7 @@ def shards(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
     """The encoded shards. The texts are range-partitioned by id, then each
     task encodes its piece in order and closes a shard at ``shard_ids`` ids."""
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = Encoder.of(tokenizer)
         names = SHARD_NAMES
         ids: list[int | None] = []
         parts: list[bytes] = []
@@ -147,9 +210,9 @@ def shards(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
                 pa.array([low], pa.binary()), pa.array([high], pa.binary()), pa.array([samples], pa.binary()),
                 pa.array([encoder.width], pa.int32()), pa.array([b"".join(parts)], pa.binary())], names=names)
 
-        for batch in C.byte_chunks(batches, "text"):
+        for batch in C.byte_chunks(batches, "text", 4 * C.CHUNK_BYTES):
             piece = batch.column("piece")[0].as_py()
-            for i, b in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist())):
+            for i, b in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
                 ids.append(i)
                 parts.append(b)
                 held += len(b)
@@ -200,13 +263,14 @@ def documents_of(table: DataFrame) -> DataFrame:
                 ids = np.frombuffer(row["ids"].as_buffer(), f"<u{row['id_bytes'].as_py()}").astype("<u4")
                 crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends)]
                 yield pa.RecordBatch.from_arrays(
-                    [row["doc_ids"].values, pa.array(starts + row["start"].as_py()), pa.array(ends - starts),
-                     pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    starts = _starts(table)
-    return (table.join(starts, (F.col("piece") == F.col("s_piece")) & (F.col("shard") == F.col("s_shard")))
-            .select("doc_ids", "n_docs", "low_bits", "low", "high", "samples", "id_bytes", "ids", "start")
-            .mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"))
+                    [pa.array(np.full(n, row[c].as_py(), np.int32)) for c in ("piece", "shard")]
+                    + [row["doc_ids"].values, pa.array(starts), pa.array(ends - starts), pa.array(crc, pa.int64())],
+                    names=["piece", "shard", "doc_id", "offset", "n_tokens", "ids_crc32"])
+
+    inside = (table.select("piece", "shard", "doc_ids", "n_docs", "low_bits", "low", "high", "samples", "id_bytes", "ids")
+              .mapInArrow(read, "piece int, shard int, doc_id bigint, offset bigint, n_tokens bigint, ids_crc32 bigint"))
+    return (inside.join(_starts(table), (F.col("piece") == F.col("s_piece")) & (F.col("shard") == F.col("s_shard")))
+            .select("doc_id", (F.col("start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32"))
 
 
 def token_table(docs: DataFrame, tokenizer: str, **options) -> DataFrame:
