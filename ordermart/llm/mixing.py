@@ -84,26 +84,30 @@ def hypergeometric(total: Column, marked: Column, draws: Column, u: Column) -> C
     return C.let(given, lambda g: C.let(bounds(g), picked))
 
 
+def _left(level: int, seed: int) -> Column:
+    """The left half's quotas of a node: source by source, its share of the
+    draws that are left, out of the blocks that are left."""
+    def draw(state: Column, x: Column) -> Column:
+        taken = hypergeometric(state["total"], x["q"], state["draws"],
+                               _uniform(F.lit(seed), F.lit(level), F.col("node"), x["nr"]))
+        return C.let(taken, lambda t: F.struct(
+            (state["total"] - x["q"]).alias("total"), (state["draws"] - t).alias("draws"),
+            F.concat(state["left"], F.array(t)).alias("left")))
+
+    def split(total: Column) -> Column:
+        return F.aggregate("qs", F.struct(
+            total.alias("total"), F.floor(total / 2).alias("draws"),
+            F.array().cast("array<bigint>").alias("left")), draw, lambda s: s["left"])
+    return C.let(F.aggregate("qs", F.lit(0).cast("long"), lambda a, x: a + x["q"]), split)
+
+
 def split_tree(quotas: DataFrame, levels: int, seed: int = SEED) -> DataFrame:
     """(nr, shard, q) from (nr, quota): the quotas of 2**levels shards, whose
     sizes differ by one block at most at each split."""
     node = quotas.agg(F.sort_array(F.collect_list(F.struct("nr", F.col("quota").alias("q")))).alias("qs")) \
         .select(F.lit(0).cast("long").alias("node"), "qs")
     for level in range(levels):
-        whole = F.aggregate("qs", F.lit(0).cast("long"), lambda a, x: a + x["q"])
-
-        def draw(state: Column, x: Column, level=level) -> Column:
-            taken = hypergeometric(state["total"], x["q"], state["draws"],
-                                   _uniform(F.lit(seed), F.lit(level), F.col("node"), x["nr"]))
-            return C.let(taken, lambda t: F.struct(
-                (state["total"] - x["q"]).alias("total"), (state["draws"] - t).alias("draws"),
-                F.concat(state["left"], F.array(t)).alias("left")))
-
-        def left(total: Column) -> Column:
-            return F.aggregate("qs", F.struct(
-                total.alias("total"), F.floor(total / 2).alias("draws"),
-                F.array().cast("array<bigint>").alias("left")), draw, lambda s: s["left"])
-        node = (node.withColumn("left", C.let(whole, left))
+        node = (node.withColumn("left", _left(level, seed))
                 .select("node", F.explode(F.array(
                     F.struct(F.lit(0).alias("side"), F.zip_with(
                         "qs", "left", lambda x, l: F.struct(x["nr"].alias("nr"), l.alias("q"))).alias("qs")),
