@@ -6,8 +6,8 @@ among its ``SEED_BYTES``-byte substrings (winnowing), so equal strings share
 their seed and their place around it:
 
 1. the seeds of all texts are counted; those found once are done with;
-2. occurrences of a seed whose whole context (all strings around it) is equal
-   repeat as a whole;
+2. occurrences of a seed whose whole context (all strings with this seed) is
+   equal repeat as a whole;
 3. the other contexts of a seed go into suffix arrays, group by group: a
    string repeats if a neighbour in the suffix array shares its length.
 
@@ -17,9 +17,13 @@ prefixes found by previous-smaller pointers; then, in ascending order, each
 suffix puts the one before it, and its pointer chain, next in its group. No
 renaming, no recursion.
 
-A seed with more than ``GROUP`` different contexts (a hot passage's edge) is
-split: its strings are dealt one by one by their hash and place, and those met
-twice repeat, which is the same condition.
+Before that, contexts that share no string with another one are left out and
+the others cut to the bytes that a shared string can reach: by keys of the
+bytes around the seed. For a seed with more than ``GROUP`` contexts (a hot
+passage's edge) these keys are counted by partial sums over the cluster; cut
+contexts that are equal repeat as a whole, and the different ones are few. If
+they are not, their strings are dealt one by one by hash and place, and those
+met twice repeat, which is the same condition.
 
 Cases. NULL or empty text: no byte. Shorter texts repeat nowhere. Repeated
 rows repeat as a whole (from ``length`` bytes). NULL doc_id: as any. Matches
@@ -29,6 +33,7 @@ never cross documents. Empty table: empty result.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +49,8 @@ SEED_BYTES = 100
 #: Most contexts of a seed in one suffix array; symbols in a suffix array.
 GROUP = 2000
 SYMBOLS = 1 << 14
+#: Places before a seed that one key of a candidate stands for.
+STEP = 6
 _U = np.uint64
 
 
@@ -156,10 +163,11 @@ def repeated(segments: list[tuple[int, bytes, bytes]], around: int) -> list[tupl
 
 # ------------------------------------------------------------ seeds
 def _seeds(column: pa.Array, length: int, width: int) -> tuple[np.ndarray, ...]:
-    """Selected seeds: row, position, hash, hash of the context."""
+    """Selected seeds: row, position, context bytes before and after the seed,
+    hash, hash of the context (all strings that have this seed)."""
     data, offsets = C.text_bytes(column)
     if len(data) < length:
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2
+        return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),) * 2
     h = C.SubstringHash(data)
     n = len(data) - width + 1
     seed = h.of(np.arange(n), np.arange(width, width + n))
@@ -173,12 +181,11 @@ def _seeds(column: pa.Array, length: int, width: int) -> tuple[np.ndarray, ...]:
     back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
     least = np.minimum(back[:n - span + 1], to[span - 1:n])  # of the string that starts there
     row = np.repeat(np.arange(len(column)), np.diff(offsets))
-    whole = row[:len(data) - length + 1] == row[length - 1:]  # strings inside a text
-    at = np.unique(least[whole] & _U((1 << bits) - 1)).astype(np.int64)
+    begins = np.flatnonzero(row[:len(data) - length + 1] == row[length - 1:])  # of strings inside a text
+    at, first, times = np.unique((least[begins] & _U((1 << bits) - 1)).astype(np.int64), return_index=True, return_counts=True)
+    lo, hi = begins[first], begins[first + times - 1] + length  # the strings that have this seed, together
     r = row[at]
-    lo = np.maximum(at - (length - width), offsets[r])
-    hi = np.minimum(at + length, offsets[r + 1])
-    return r, at - offsets[r], seed[at], C.mix64(h.of(lo, hi) + (at - lo).astype(np.uint64), 6)
+    return (r, at - offsets[r], at - lo, hi - at - width, seed[at], C.mix64(h.of(lo, hi) + (at - lo).astype(np.uint64), 6))
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,19 +197,18 @@ def seeds(rows: DataFrame, length: int, width: int, columns: tuple[str, ...]) ->
     context, key, at."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _chunks(batches):
-            r, at, seed, context = _seeds(batch.column("text"), length, width)
+            r, at, back, ahead, seed, context = _seeds(batch.column("text"), length, width)
             key = batch.column("key").to_numpy(zero_copy_only=False)[r]
-            made = {"seed": seed.view(np.int64), "context": context.view(np.int64), "key": key, "at": at.astype(np.int32)}
+            made = {"seed": seed.view(np.int64), "context": context.view(np.int64), "key": key, "at": at.astype(np.int32),
+                    "back": back.astype(np.int16), "ahead": ahead.astype(np.int16)}
             yield pa.RecordBatch.from_arrays([pa.array(made[c]) for c in columns], names=list(columns))
 
-    kinds = {"seed": "bigint", "context": "bigint", "key": "bigint", "at": "int"}
+    kinds = {"seed": "bigint", "context": "bigint", "key": "bigint", "at": "int", "back": "smallint", "ahead": "smallint"}
     return rows.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in columns))
 
 
-def _segments(texts: DataFrame, length: int, width: int) -> DataFrame:
-    """From (text, places): of each place (seed, at, key): the bytes before and after the seed."""
-    around = length - width
-
+def _segments(texts: DataFrame, width: int) -> DataFrame:
+    """From (text, places): of each place the context's bytes before and after the seed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _chunks(batches):
             out: list[tuple] = []
@@ -210,7 +216,7 @@ def _segments(texts: DataFrame, length: int, width: int) -> DataFrame:
                 raw = text.encode()
                 for p in places:
                     a = p["at"]
-                    out.append((p["seed"], p["n"], key, a, raw[max(0, a - around):a], raw[a + width:a + length]))
+                    out.append((p["seed"], p["n"], key, a, raw[a - p["back"]:a], raw[a + width:a + width + p["ahead"]]))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out) if out else [()] * 6, (
                 pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))],
                 names=["seed", "n", "key", "at", "before", "after"])
@@ -218,6 +224,29 @@ def _segments(texts: DataFrame, length: int, width: int) -> DataFrame:
     return texts.mapInArrow(run, "seed bigint, n bigint, key bigint, at int, before binary, after binary")
 
 
+def candidates(rows: list[tuple], around: int, step: int = STEP) -> list[tuple]:
+    """The rows (..., before, after) of one seed that may share a string with
+    another, cut to the bytes that shared strings can reach. A shared string
+    with ``b`` bytes before the seed, a <= b < a + step, shares the a bytes
+    before it and all but step - 1 bytes of the rest after it."""
+    count: dict[tuple, int] = {}
+    keys = []
+    for r in rows:
+        before, after = r[-2], r[-1]
+        own = [(a, before[len(before) - a:], after[:max(0, around - a - step + 1)]) for a in range(0, around + 1, step)
+               if len(before) >= a and len(after) >= around - a - step + 1]
+        keys.append(own)
+        for k in own:
+            count[k] = count.get(k, 0) + 1
+    out = []
+    for r, own in zip(rows, keys):
+        met = [k[0] for k in own if count[k] > 1]
+        if met:
+            before, after = r[-2], r[-1]
+            out.append((*r[:-2], before[max(0, len(before) - met[-1] - step + 1):], after[:around - met[0]]))
+    return out
+
+
 def _sorted_out(segments: DataFrame, length: int, width: int) -> DataFrame:
     """(key, lo, hi) of the repeated strings around the seeds, by suffix arrays
     over whole groups (rows sorted by seed), several groups in an array."""
@@ -230,16 +259,20 @@ def _sorted_out(segments: DataFrame, length: int, width: int) -> DataFrame:
             pa.int64(), pa.int32(), pa.int32()))], names=["key", "lo", "hi"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
         rows: list[tuple] = []
-        size, seed = 0, None
-        for batch in batches:
-            for r in zip(*(c.to_pylist() for c in batch.columns)):
-                if r[0] != seed and size >= SYMBOLS:
+        size = 0
+        for r in itertools.chain((r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns))), [None]):
+            if group and (r is None or r[0] != group[0][0]):
+                some = candidates(group, around)
+                rows += some
+                size += sum(len(x[4]) + len(x[5]) + 2 for x in some)
+                group = []
+                if size >= SYMBOLS:
                     yield spans(rows)
                     rows, size = [], 0
-                seed = r[0]
-                rows.append(r)
-                size += len(r[4]) + len(r[5]) + 2
+            if r is not None:
+                group.append(r)
         if rows:
             yield spans(rows)
 
@@ -247,9 +280,53 @@ def _sorted_out(segments: DataFrame, length: int, width: int) -> DataFrame:
             .mapInArrow(run, "key bigint, lo int, hi int"))
 
 
+def _cut_hot(segments: DataFrame, length: int, width: int, step: int = 2 * STEP) -> DataFrame:
+    """``candidates`` for seeds with very many contexts, by partial sums and a
+    join: the segments that may share a string, cut to what it can reach."""
+    around = length - width
+    from_ = F.ceil(F.greatest(F.lit(0), around - step + 1 - F.length("after")) / step).cast("int") * step
+    to = F.floor(F.length("before") / step).cast("int") * step
+    places = F.filter(F.sequence(from_, F.greatest(from_, to), F.lit(step)), lambda a: a <= to)
+    keyed = (segments.select("seed", "key", "at", "before", "after", F.explode(places).alias("a"))
+             .withColumn("part", F.concat(F.expr("substring(before, length(before) - a + 1, a)"),
+                                          F.expr(f"substring(after, 1, greatest(0, {around - step + 1} - a))")))
+             .select("seed", "key", "at", "a", F.xxhash64("part").alias("h1"), F.xxhash64(F.lit(1), "part").alias("h2")))
+    shared = keyed.groupBy("seed", "a", "h1", "h2").agg(F.count("*").alias("c")).where("c > 1") \
+        .select(*[F.col(c).alias(f"t_{c}") for c in ("seed", "a", "h1", "h2")])
+    reach = (keyed.join(shared, (F.col("seed") == F.col("t_seed")) & (F.col("a") == F.col("t_a"))
+                        & (F.col("h1") == F.col("t_h1")) & (F.col("h2") == F.col("t_h2")), "left_semi")
+             .groupBy("seed", "key", "at").agg(F.min("a").alias("least"), F.max("a").alias("most"))
+             .select(F.col("seed").alias("r_seed"), F.col("key").alias("r_key"), F.col("at").alias("r_at"), "least", "most"))
+    kept = F.least(F.length("before"), F.col("most") + step - 1)
+    return (segments.join(reach, (F.col("seed") == F.col("r_seed")) & (F.col("key") == F.col("r_key")) & (F.col("at") == F.col("r_at")))
+            .withColumn("kept", kept)
+            .select("seed", "n", "key", "at", F.expr("substring(before, length(before) - kept + 1, kept)").alias("before"),
+                    F.expr(f"substring(after, 1, {around} - least)").alias("after")))
+
+
+def _hot(segments: DataFrame, length: int, width: int, group: int) -> DataFrame:
+    """(key, lo, hi) for seeds with very many contexts. Once cut, equal
+    segments repeat as a whole; the different ones that are left are few, and
+    sorted like those of other seeds (or dealt one by one if not)."""
+    cut = cut_lineage(_cut_hot(segments, length, width)
+                      .withColumn("c1", F.xxhash64("before", "after")).withColumn("c2", F.xxhash64("after", "before")))
+    kinds = cut_lineage(cut.groupBy("seed", "c1", "c2").agg(
+        F.sum("n").alias("n"), F.min(F.struct("key", "at")).alias("one"), F.first("before").alias("before"), F.first("after").alias("after")))
+    equal = (cut.where("n = 1").join(kinds.where("n > 1").select(*[F.col(c).alias(f"k_{c}") for c in ("seed", "c1", "c2")]),
+                      (F.col("seed") == F.col("k_seed")) & (F.col("c1") == F.col("k_c1")) & (F.col("c2") == F.col("k_c2")), "left_semi")
+             .select("key", (F.col("at") - F.length("before")).cast("int").alias("lo"),
+                     (F.col("at") + width + F.length("after")).cast("int").alias("hi")))
+    sizes = kinds.groupBy(F.col("seed").alias("z_seed")).agg(F.count("*").alias("size"))
+    left = (kinds.join(sizes, F.col("seed") == F.col("z_seed"))
+            .select("seed", "n", "one.key", "one.at", "before", "after", "size"))
+    own = _sorted_out(left.where(F.col("size") <= 4 * group).drop("size"), length, width)
+    dealt = _dealt(left.where(F.col("size") > 4 * group).drop("size"), length, width)
+    return equal.unionByName(own).unionByName(dealt)
+
+
 def _dealt(segments: DataFrame, length: int, width: int) -> DataFrame:
-    """The same for seeds with very many contexts: each string by its hash and
-    place, counted with partial sums."""
+    """The same where even cut segments are very many: each string by its hash
+    and place, counted with partial sums."""
     around = length - width
     lengths = F.sequence(F.greatest(F.lit(0), around - F.length("after")), F.length("before"))
     strings = (segments.where(F.length("before") + F.length("after") >= around)
@@ -272,25 +349,25 @@ def spans(rows: DataFrame, length: int = LENGTH, width: int = SEED_BYTES, group:
     long = rows.where(F.octet_length("text") >= length)
     twice = cut_lineage(seeds(long, length, width, ("seed",)).groupBy("seed").agg(F.count("*").alias("n"))
                         .where("n > 1").select(F.col("seed").alias("again")))
-    found = cut_lineage(seeds(long, length, width, ("seed", "context", "key", "at"))
+    found = cut_lineage(seeds(long, length, width, ("seed", "context", "key", "at", "back", "ahead"))
                         .join(twice, F.col("seed") == F.col("again"), "left_semi"))
     holders = cut_lineage(long.join(found.select(F.col("key").alias("k")).distinct(), F.col("key") == F.col("k"), "left_semi"))
-    contexts = cut_lineage(found.groupBy("seed", "context").agg(F.count("*").alias("n"), F.min(F.struct("key", "at")).alias("one")))
+    contexts = cut_lineage(found.groupBy("seed", "context").agg(F.count("*").alias("n"), F.min(F.struct("key", "at", "back", "ahead")).alias("one")))
     equal = (found.join(contexts.where("n > 1").select(F.col("seed").alias("s"), F.col("context").alias("c")),
                         (F.col("seed") == F.col("s")) & (F.col("context") == F.col("c")), "left_semi")
-             .select("key", F.greatest(F.lit(0), F.col("at") - (length - width)).cast("int").alias("lo"),
-                     (F.col("at") + length).cast("int").alias("hi")))
+             .select("key", (F.col("at") - F.col("back")).cast("int").alias("lo"),
+                     (F.col("at") + F.col("ahead") + width).cast("int").alias("hi")))
     groups = (contexts.groupBy("seed").agg(F.count("*").alias("size"), F.min("n").alias("least"))
               .where("size > 1 and least = 1").select(F.col("seed").alias("s"), "size"))
     open_ = contexts.join(groups, F.col("seed") == F.col("s")).select("seed", "n", "one", "size")
     places = open_.groupBy(F.col("one.key").alias("p_key")).agg(
-        F.collect_list(F.struct("seed", "n", F.col("one.at").alias("at"), "size")).alias("places"))
+        F.collect_list(F.struct("seed", "n", "one.at", "one.back", "one.ahead")).alias("places"))
     # one text for a key: equal rows have equal texts
     texts = holders.dropDuplicates(["key"]).join(places, F.col("key") == F.col("p_key")).select("key", "text", "places")
-    pieces = cut_lineage(_segments(texts, length, width).join(
+    pieces = cut_lineage(_segments(texts, width).join(
         groups, F.col("seed") == F.col("s")).select("seed", "n", "key", "at", "before", "after", "size"))
     own = _sorted_out(pieces.where(F.col("size") <= group).drop("size"), length, width)
-    hot = _dealt(pieces.where(F.col("size") > group).drop("size"), length, width)
+    hot = _hot(pieces.where(F.col("size") > group).drop("size"), length, width, group)
     return equal.unionByName(own).unionByName(hot), holders
 
 
