@@ -7,12 +7,14 @@ that share a band are candidates, and every link is confirmed on the full
 shingle sets.
 
 Equal sets collapse first to one representative. Candidates are compared in
-three rounds, each followed by connected components: every document with the
-smallest representative it shares a band with; with the smallest of each
-further band; then, in bands whose members are still in several components,
-the members outside the band's largest component with all others. A pair of
-one band is left out only if its two documents are connected already, so no
-component loses a link, and a large group costs one comparison a document.
+three rounds, each followed by connected components. A band's pivot is its member
+with most company in all its bands (in a group of edited copies, one with few
+edits). Every document meets the best pivot of its bands; then the pivots of
+its other bands; then, in bands whose members are still in several components,
+the members outside the band's largest component meet the others. A pair of
+one band is left out only if its two documents are connected already, or if
+they cannot be similar enough by bounds on what two sets can share. So no
+component loses a link.
 
 Bands: 28 of 4 coordinates. A pair of similarity s is missed with the
 probability (1 - s**4)**28: 4e-7 at 0.8.
@@ -26,6 +28,7 @@ result. Extra columns are not read.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,8 +41,9 @@ from ordermart.plans.session import cut_lineage
 
 BANDS, ROWS = 28, 4
 PERCENT = 80
-#: Words in a shingle.
+#: Words in a shingle; 64-bit words in a set's bit map (a power of two).
 WIDTH = 5
+MAP_WORDS = 16
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[9, 10, 11, 12, 13, 32]] = True
@@ -193,11 +197,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             .agg(F.min("node").alias("rep"), F.first("keys").alias("keys")))
     reps = cut_lineage(sets)
     members = reps.select("rep", F.explode("keys").alias("key"))
-    shared = members.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    bucketed = cut_lineage(members.join(shared.select(F.col("key").alias("k"), "pivot"), F.col("key") == F.col("k"))
-                           .select("key", "pivot", "rep"))
-    stars = bucketed.where("rep != pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
-    stars = cut_lineage(stars)
+    shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    bands = cut_lineage(members.join(shared.select(F.col("key").alias("k"), "n"), F.col("key") == F.col("k"))
+                        .select("key", "n", "rep"))
+    # a band's pivot: the member with most company in all its bands, that is, the closest to the others
+    company = bands.groupBy(F.col("rep").alias("c_rep")).agg(F.sum("n").alias("company"))
+    ranked = bands.join(company, F.col("rep") == F.col("c_rep")).select("key", "rep", F.struct("company", -F.col("rep")).alias("rank"))
+    pivots = ranked.groupBy(F.col("key").alias("k")).agg(F.max_by("rep", "rank").alias("pivot"), F.max("rank").alias("pivot_rank"))
+    bucketed = cut_lineage(bands.join(pivots, F.col("key") == F.col("k")).select("key", "pivot", "pivot_rank", "rep"))
+    stars = cut_lineage(bucketed.where("rep != pivot").groupBy(F.col("rep").alias("a"), F.col("pivot").alias("b"))
+                        .agg(F.max("pivot_rank").alias("rank")))
     wanted = bucketed.select("rep").distinct().join(reps.select(F.col("rep").alias("r"), "h1"), F.col("rep") == F.col("r")) \
         .select(F.col("rep"), F.col("h1").alias("rep_h1"))
     full = cut_lineage(
@@ -206,12 +215,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .dropDuplicates(["node", "h1"]))
 
     labels = cut_lineage(reps.select(F.col("rep").alias("node")).distinct().withColumn("root", F.col("node")))
-    first = stars.groupBy("a").agg(F.min("b").alias("b"))
+    first = stars.groupBy("a").agg(F.max_by("b", "rank").alias("b"))
     labels = components(labels, _links(first, full, percent))
-    more = _apart(stars, labels).join(first.withColumnsRenamed({"a": "fa", "b": "fb"}),
+    more = _apart(stars.select("a", "b"), labels).join(first.withColumnsRenamed({"a": "fa", "b": "fb"}),
                                       (F.col("a") == F.col("fa")) & (F.col("b") == F.col("fb")), "left_anti")
     labels = components(labels, _links(more, full, percent))
-    labels = components(labels, _links(_rest(bucketed, labels), full, percent))
+    labels = components(labels, _links(_rest(bucketed, labels, full, percent), full, percent))
     return _classes(sig, reps, labels)
 
 
@@ -223,17 +232,46 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
             .where("ra != rb").select("a", "b"))
 
 
-def _rest(bucketed: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of one band in different components: members outside the band's
-    largest component, with all others of the band."""
-    named = bucketed.join(labels, F.col("rep") == F.col("node")).select("key", "rep", "root")
+def _rest(bucketed: DataFrame, labels: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Pairs that may still link two components of a band, one of them outside
+    the band's largest component.
+
+    Two bounds leave out pairs that cannot link, and no other. Among the sets
+    of open bands, ordered by how many of them hold a shingle, similar sets
+    share one of their first (rarest) shingles; and they share no more than
+    what each has in common with any other set and, by its bit map, with this."""
+    named = bucketed.select("key", "rep").join(labels, F.col("rep") == F.col("node"))
     groups = named.groupBy("key", "root").agg(F.count("*").alias("n"))
     most = (groups.groupBy("key").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("n", "root")).alias("main"))
             .where("roots > 1").select(F.col("key").alias("k"), "main"))
-    open_ = cut_lineage(named.join(most, F.col("key") == F.col("k")).select("key", "rep", "root", "main"))
-    strays = open_.where("root != main").select(F.col("key").alias("sk"), F.col("rep").alias("srep"), F.col("root").alias("sroot"))
-    return (open_.join(strays, (F.col("key") == F.col("sk")) & (F.col("root") != F.col("sroot")))
-            .select(F.least("rep", "srep").alias("a"), F.greatest("rep", "srep").alias("b")).distinct())
+    nodes = (named.join(most, F.col("key") == F.col("k")).groupBy("rep")
+             .agg(F.first("root").alias("root"), F.max(F.col("root") != F.col("main")).alias("stray")))
+    inside = cut_lineage(full.join(nodes, F.col("node") == F.col("rep"))
+                         .select("node", "h1", "root", "stray", "items", F.size("items").alias("n")))
+    single = inside.select("node", "h1", "root", "stray", "n", F.explode("items").alias("item"))
+    known = single.groupBy(F.col("item").alias("of")).agg(F.count("*").alias("c"))
+    word = F.shiftright("item", 6).bitwiseAND(F.lit(MAP_WORDS - 1))
+    ordered = (single.join(known, F.col("item") == F.col("of")).groupBy("node", "h1", "root", "stray", "n")
+               .agg(F.sort_array(F.collect_list(F.struct("c", "item"))).alias("r"),
+                    *[F.coalesce(F.bit_or(F.when((F.col("c") > 1) & (word == k), F.expr("shiftleft(1L, cast(item & 63 as int))"))),
+                                 F.lit(0)).cast("long").alias(f"m{k}") for k in range(MAP_WORDS)])
+               .withColumn("most", F.col("n") - F.size(F.filter("r", lambda x: x["c"] == 1)))
+               .where(100 * F.col("most") >= percent * F.col("n")))
+    first = F.slice("r", F.lit(1), F.col("n") - F.floor((percent * F.col("n") + 99) / 100).cast("int") + 1)
+    maps = [f"m{k}" for k in range(MAP_WORDS)]
+    open_ = cut_lineage(ordered.select("node", "root", "stray", "n", "most", *maps, F.explode(F.filter(first, lambda x: x["c"] > 1)).alias("x"))
+                        .select("node", "root", "stray", "n", "most", *maps, "x.item"))
+    strays = open_.where("stray").select(*[F.col(c).alias(f"s_{c}") for c in ("item", "node", "root", "n", "most", *maps)])
+
+    def shared(mine: str, other: str) -> Column:
+        """At most so many of one set's shingles are in the other: each bit
+        that only its map has stands for a shingle that the other lacks."""
+        lost = [F.bit_count(F.col(f"{mine}m{k}").bitwiseAND(F.bitwise_not(F.col(f"{other}m{k}")))) for k in range(MAP_WORDS)]
+        return F.col(f"{mine}most") - functools.reduce(lambda x, y: x + y, lost)
+
+    return (open_.join(strays, (F.col("item") == F.col("s_item")) & (F.col("root") != F.col("s_root"))
+                       & ((100 + percent) * F.least(shared("", "s_"), shared("s_", "")) >= percent * (F.col("n") + F.col("s_n"))))
+            .select(F.least("node", "s_node").alias("a"), F.greatest("node", "s_node").alias("b")).distinct())
 
 
 def _classes(sig: DataFrame, reps: DataFrame, labels: DataFrame) -> DataFrame:
