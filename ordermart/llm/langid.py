@@ -19,6 +19,7 @@ by the number of languages, not of documents.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,10 +35,12 @@ BUCKETS = 1 << 14
 GRAMS = (2, 3, 4)
 SMOOTH = 0.5
 AMBIGUOUS = 0.65
+#: N-grams from which a text's are counted by bucket.
+LONG = 3000
 SEED = 3
 
 _LETTER = regex.compile(r"\p{L}")
-_NO_LETTERS = regex.compile(r"[^\p{L}]+")
+_NO_LETTERS = re.compile(r"[\W\d_]+")
 _U = np.uint64
 
 
@@ -72,8 +75,8 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lengths = np.array([len(b) for b in clean], np.int64)
     ends = np.cumsum(lengths)
     data = np.frombuffer(b"".join(clean), np.uint8).astype(np.uint64)
-    row = np.repeat(np.arange(len(clean)), lengths)
-    left = np.repeat(ends, lengths) - np.arange(len(data))  # bytes to the text's end
+    row = np.repeat(np.arange(len(clean), dtype=np.int32), lengths)
+    left = np.repeat(ends.astype(np.int32), lengths) - np.arange(len(data), dtype=np.int32)  # bytes to the text's end
     out, rows = [], []
     with np.errstate(over="ignore"):
         packed = data.copy()
@@ -123,7 +126,7 @@ class Model:
                 n[at[lang], bucket] += k
         share = (n + SMOOTH) / (n.sum(axis=1, keepdims=True) + SMOOTH * BUCKETS)  # languages weigh alike
         self.code = codewords(len(self.langs))
-        self.weights = np.zeros((BUCKETS, self.code.shape[1]), np.float32)
+        self.weights = np.zeros((BUCKETS, self.code.shape[1]))
         for b in range(self.code.shape[1]):
             on = self.code[:, b] > 0
             self.weights[:, b] = np.log(share[on].mean(axis=0)) - np.log(share[~on].mean(axis=0))
@@ -131,11 +134,21 @@ class Model:
         self.importance = np.ones(self.code.shape[1])
 
     def margins(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Mean weight per n-gram and bit; rows with a letter."""
+        """Mean weight per n-gram and bit; rows with a letter. A long text is
+        counted by bucket first, short ones are summed n-gram by n-gram."""
         buckets, rows, known = grams(texts)
         size = np.bincount(rows, minlength=len(texts))
-        out = np.stack([np.bincount(rows, self.weights[buckets, b], len(texts)) for b in range(self.weights.shape[1])]
-                       or [np.zeros(len(texts))], axis=1)[:, :self.weights.shape[1]]
+        out = np.zeros((len(texts), self.weights.shape[1]))
+        if self.weights.shape[1]:
+            order = np.argsort(rows, kind="stable")
+            buckets, ends = buckets[order], np.cumsum(size)
+            long = size > LONG
+            for i in np.flatnonzero(long):
+                out[i] = np.bincount(buckets[ends[i] - size[i]:ends[i]], minlength=BUCKETS) @ self.weights
+            short = np.repeat(~long, size)
+            some, at = buckets[short], rows[order][short]
+            for b in range(self.weights.shape[1]):
+                out[:, b] += np.bincount(at, self.weights[some, b], len(texts))
         return out / np.maximum(size, 1)[:, None], known
 
     def decode(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
