@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from ordermart.llm import common as C
 from ordermart.llm.rules import SYMBOLS
+from ordermart.plans.session import cut_lineage
 
 GOOD, BAD, NONE = "g", "b", "-"
 ROUNDS = 200
@@ -219,8 +220,9 @@ def _calibration(rows: DataFrame, posterior: dict[str, float], weights: np.ndarr
 def score(docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Per document: the ``carry`` columns, votes, weak_label (posterior of its
     votes), score (0 to 1), kept (score of one half at least)."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry], F.lit(0).alias("_")).alias("row"),
-                       votes(F.col(f"`{text}`")).alias("votes"), F.col(f"`{text}`").alias("text"))
+    rows = cut_lineage(  # four passes read the votes beside the texts
+        docs.select(F.struct(*[F.col(f"`{c}`") for c in carry], F.lit(0).alias("_")).alias("row"),
+                    votes(F.col(f"`{text}`")).alias("votes"), F.col(f"`{text}`").alias("text")))
     patterns = {r["votes"]: r["n"] for r in rows.groupBy("votes").agg(F.count("*").alias("n")).collect()}
     posterior = expectation_maximisation(patterns)
     some = rows.select("votes", "text")
