@@ -36,7 +36,7 @@ END_ID = 2
 SHARD_IDS = 1 << 20
 SAMPLE = 64
 #: Pieces of text in a generation of a task's kept ids.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 
 SHARD_SCHEMA = ("piece int, shard int, doc_ids array<bigint>, n_docs bigint, n_ids bigint, low_bits int, "
                 "low binary, high binary, samples binary, id_bytes int, ids binary")
@@ -210,7 +210,7 @@ def shards(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
                 pa.array([low], pa.binary()), pa.array([high], pa.binary()), pa.array([samples], pa.binary()),
                 pa.array([encoder.width], pa.int32()), pa.array([b"".join(parts)], pa.binary())], names=names)
 
-        for batch in C.byte_chunks(batches, "text", 4 * C.CHUNK_BYTES):
+        for batch in C.byte_chunks(batches, "text", 2 * C.CHUNK_BYTES):
             piece = batch.column("piece")[0].as_py()
             for i, b in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
                 ids.append(i)
