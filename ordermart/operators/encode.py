@@ -30,33 +30,34 @@ def label_encode(df: DataFrame, cols: list[str], mapping: dict = STATUS_CODES) -
     return df.withColumns({c: F.try_element_at(m, F.col(c)) for c in cols})
 
 
-def category_values(df: DataFrame, col: str, max_categories: int = 1000) -> list:
-    """Sorted distinct non-NULL values of ``col``.
-
-    The output schema of one-hot coding depends on them, so they are
-    fetched once -- a bounded aggregate (error above ``max_categories``),
-    never the column itself.
-    """
-    vals = (df.where(F.col(col).isNotNull()).select(col).distinct()
-              .orderBy(col).limit(max_categories + 1).collect())
-    if len(vals) > max_categories:
-        raise ValueError(f"{col}: more than {max_categories} categories; pass them explicitly")
+def category_values(df: DataFrame, col: str, max_categories: int | None = None) -> list:
+    """Sorted distinct non-NULL values of ``col``, fetched once: the output
+    schema of one-hot coding depends on them. A caller may pass
+    ``max_categories`` to get an error instead of a very wide result."""
+    found = df.where(F.col(col).isNotNull()).select(col).distinct().orderBy(col)
+    vals = (found if max_categories is None else found.limit(max_categories + 1)).collect()
+    if max_categories is not None and len(vals) > max_categories:
+        raise ValueError(f"{col}: more than {max_categories} categories")
     return [r[0] for r in vals]
 
 
 def one_hot(df: DataFrame, cols: list[str], categories: dict[str, list] | None = None,
-            max_categories: int = 1000) -> DataFrame:
+            max_categories: int | None = None) -> DataFrame:
     """#72: ``{col}_{value}`` 0/1 columns for the sorted categories minus the
     first; NULL -> all zeros; the source column is dropped (T20).
 
-    Pass ``categories`` for a stable schema; otherwise they are read from
-    the data (one small aggregate per column).
+    The categories are read from the data (one small aggregate per column).
+    Pass ``categories`` for a stable schema; a value of the data that is not
+    among them is an error when the result is computed, never all zeros.
     """
     categories = categories or {}
     out = df
     for c in cols:
-        vals = sorted(categories.get(c) or category_values(df, c, max_categories))
-        dummies = {f"{c}_{v}": F.coalesce(F.col(c) == F.lit(v), F.lit(False)).cast("int")
+        given = categories.get(c)
+        vals = sorted(given if given is not None else category_values(df, c, max_categories))
+        known = F.col(c).isNull() | F.col(c).isin(vals)
+        unlisted = F.raise_error(F.concat(F.lit(f"{c}: value not among the categories: "), F.col(c).cast("string"))).cast("int")
+        dummies = {f"{c}_{v}": F.when(known, F.coalesce(F.col(c) == F.lit(v), F.lit(False)).cast("int")).otherwise(unlisted)
                    for v in vals[1:]}
         out = out.withColumns(dummies).drop(c)
     return out

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .schemas import CLEAN, RAW, TABLES
 
@@ -21,14 +22,20 @@ DEFAULT_FILES = {
 
 
 def read_table(spark: SparkSession, path: str, name: str, fmt: str = "csv") -> DataFrame:
-    """One raw table with its explicit schema (no inference pass over the data).
+    """One raw table, its columns bound by name; extra columns are ignored and
+    a missing one is an error.
 
-    CSV: time columns stay text (cleaned by ``operators.clean``); Parquet is
-    read with its own types and then projected to the known columns.
+    CSV: read as text (quoted line breaks and doubled quotes allowed), then
+    cast to the schema; time columns stay text (cleaned by
+    ``operators.clean``). Parquet is read with its own types.
     """
     if fmt == "csv":
-        return (spark.read.schema(RAW[name]).option("header", True)
-                .option("mode", "FAILFAST").csv(path))
+        df = (spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
+              .option("mode", "FAILFAST").csv(path))
+        missing = [f.name for f in RAW[name].fields if f.name not in df.columns]
+        if missing:
+            raise ValueError(f"{path}: no column {', '.join(missing)}")
+        return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in RAW[name].fields])
     df = spark.read.format(fmt).load(path)
     cols = [f.name for f in CLEAN[name].fields if f.name in df.columns]
     return df.select(*cols)
