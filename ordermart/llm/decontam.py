@@ -27,7 +27,6 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ordermart.llm import common as C
 from ordermart.plans.session import cut_lineage
@@ -155,32 +154,35 @@ class SuffixAutomaton:
         spans.append((a, b))
 
 
-def _automata(benchmark: DataFrame, item_id: str, text: str, window: int) -> Iterator[list]:
-    """The items in lists of about AUTOMATON_WORDS words at most, dealt by hash."""
+def _automata(benchmark: DataFrame, item_id: str, text: str) -> Iterator[tuple[list, bool]]:
+    """The items in lists of about AUTOMATON_WORDS words at most, dealt by hash,
+    and whether a list is the last."""
     items = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("item"), F.col(f"`{text}`").alias("text"))
     n = items.agg(F.sum(F.regexp_count("text", F.lit(TOKEN)))).first()[0] or 0
     deals = max(1, math.ceil(n / AUTOMATON_WORDS))
     for k in range(deals):
         rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(deals)) == k).collect()
-        yield [(r["item"], tokens(r["text"])) for r in rows]
+        yield [(r["item"], tokens(r["text"])) for r in rows], k == deals - 1
 
 
-def _spans(docs: DataFrame, items: list, window: int) -> DataFrame:
-    """Adds to ``spans``, ``items`` and ``n_words`` of the rows what one automaton finds."""
+def _spans(docs: DataFrame, items: list, window: int, cut: bool) -> DataFrame:
+    """Adds to ``spans``, ``items`` and ``n_words`` of the rows what one automaton
+    finds; with ``cut`` the marked words leave the text."""
     sent = docs.sparkSession.sparkContext.broadcast(items)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = SuffixAutomaton(sent.value, window)
         for batch in C.byte_chunks(batches, "text"):
-            n, spans, found = [], [], []
+            n, spans, found, texts = [], [], [], []
             for t, s, f in zip(*(batch.column(c).to_pylist() for c in ("text", "spans", "items"))):
                 ws = tokens(t)
                 new, names = automaton.hits(ws)
                 n.append(len(ws))
                 spans.append(_merged(s, new))
                 found.append(sorted(names.difference([None]).union(f or [])))
+                texts.append(_without(t, spans[-1]) if cut and spans[-1] else t)
             columns = {"spans": pa.array(spans, pa.list_(pa.int64())), "items": pa.array(found, pa.list_(pa.string())),
-                       "n_words": pa.array(n, pa.int64())}
+                       "n_words": pa.array(n, pa.int64()), "text": pa.array(texts, pa.string())}
             yield pa.RecordBatch.from_arrays(
                 [columns.get(c, batch.column(c)) for c in batch.schema.names], names=batch.schema.names)
 
@@ -199,15 +201,17 @@ def _merged(flat: list[int] | None, new: list[tuple[int, int]]) -> list[int]:
 
 
 def searched(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: tuple[str, ...] | None = None,
-             item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """Per document: row (struct of the ``keep`` columns, all by default), text,
-    n_words, spans (marked words as flat pairs), items (ids, sorted), n_hit."""
+             item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, cut: bool = False) -> DataFrame:
+    """Per document: row (struct of the ``keep`` columns, all by default), text
+    (without the marked words if ``cut``), n_words, spans (marked words as flat
+    pairs), items (ids, sorted), n_hit. Cutting is part of the search, so that
+    a task needs one Python worker and sends the texts to it once."""
     keep = tuple(docs.columns) if keep is None else keep
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep], F.lit(0).alias("_")).alias("row"),
                       F.col(f"`{text}`").alias("text"), F.lit(None).cast("array<bigint>").alias("spans"),
                       F.lit(None).cast("array<string>").alias("items"), F.lit(0).cast("long").alias("n_words"))
-    for k, items in enumerate(_automata(benchmark, item_id, item_text, window)):
-        out = _spans(cut_lineage(out) if k else out, items, window)  # one automaton in a task at a time
+    for k, (items, last) in enumerate(_automata(benchmark, item_id, item_text)):
+        out = _spans(cut_lineage(out) if k else out, items, window, cut and last)  # one automaton in a task at a time
     n_hit = F.aggregate("spans", F.struct(F.lit(0).cast("long").alias("n"), F.lit(-1).cast("long").alias("sign")),
                         lambda a, x: F.struct((a["n"] + a["sign"] * x).alias("n"), (-a["sign"]).alias("sign")),
                         lambda a: a["n"])
@@ -233,16 +237,8 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
     """The documents, all columns, marked spans removed from the text;
     documents with more than ``max_coverage`` of their words marked go."""
     others = tuple(c for c in docs.columns if c != text)
-    found = searched(docs, benchmark, text, others, item_id, item_text, window)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            new = [_without(t, s) if s else t
-                   for t, s in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(new, pa.string())], names=["row", "text"])
-
-    done = (found.where(F.col("n_hit") <= max_coverage * F.col("n_words")).select("row", "text", "spans")
-            .mapInArrow(cut, T.StructType([found.schema["row"], found.schema["text"]])))
+    found = searched(docs, benchmark, text, others, item_id, item_text, window, cut=True)
+    done = found.where(F.col("n_hit") <= max_coverage * F.col("n_words"))
     return done.select(*[(F.col("text") if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
