@@ -5,18 +5,18 @@ over the column *as already filled by the earlier levels* (T8); NULL keys
 never match (T9); a mode ignores NULLs and breaks ties by the smallest value
 (T13); the review cascade overwrites with a mask taken once (T15).
 
-Scale design: the fact table (the mart) is aggregated **once** per key
-tuple into a summary with, per column, (sum, non-null count, null count) or
-a value histogram. The levels run on that summary:
-
-* a row that is filled at level i contributes ``fill x n_null`` to the sum
-  and ``n_null`` to the count seen by level i+1, which reproduces the
-  sequential cascade exactly;
-* each level is a ``groupBy(level key)`` on the summary joined back to it
-  (small, broadcast by AQE when it fits) -- never a window over the fact
-  table, so a hot key (a state holding a third of the rows) is just one
-  pre-aggregated summary row;
-* the global level is a one-row aggregate.
+Scale design: only key tuples that have something to fill are carried from
+level to level -- a small table with a NULL count per tuple and column. Per
+level,
+
+* sums and counts of the original values come from one partial aggregate of
+  the fact table by the level's key (never a window, so a hot key is one
+  pre-aggregated row per task);
+* the tuples filled earlier add ``fill x n_null`` to that sum and ``n_null``
+  to that count, which reproduces the sequential cascade exactly;
+* the level's means go back to the tuples, and only those are written;
+* the global level is a one-row aggregate of the fact table plus what the
+  tuples' fills add.
 
 The fact table is then joined once to the fill values of the tuples that
 have NULLs, on the null-safe key tuple. The fill operators read disjoint
@@ -27,6 +27,7 @@ applies all fills in one projection.
 
 from __future__ import annotations
 
+import functools
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -36,11 +37,13 @@ from pyspark.sql import functions as F
 from ..functions.exprs import add_fractional_days, add_whole_days, floor_days
 from ..plans.session import cut_lineage
 
+# The columns the cascades fill and their keys.
 DATE_COLS = ["order_approved_at", "order_delivered_carrier_date",
              "order_delivered_customer_date", "order_estimated_delivery_date"]
 PURCHASE = "order_purchase_timestamp"
 SELLER_KEYS = ["seller_id", "seller_city", "seller_state"]
 CUSTOMER_KEYS = ["customer_unique_id", "customer_city", "customer_state"]
+PLACE_KEYS = ["customer_city", "customer_state"]
 COORD_COLS = ["customer_lat", "customer_lng"]
 PRODUCT_INFO_COLS = ["product_description_lenght", "product_name_lenght"]
 DIMENSION_COLS = ["product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"]
@@ -69,71 +72,76 @@ def _safe_div(s: Column, n: Column) -> Column:
 
 
 def _keep(S: DataFrame) -> DataFrame:
-    """Write a level's table (one row per key tuple, never the fact table)
-    to the shared checkpoint folder and continue from it.
+    """Write a level's table (NULL-bearing key tuples, or their level keys) to
+    the shared checkpoint folder and continue from it.
 
     Each level joins the table with an aggregate of itself; without the cut
     the plan doubles per level and the driver spends its time re-planning.
     """
-    return cut_lineage(S, True)
+    return cut_lineage(S)
 
 
 # ---------------------------------------------------------------- summaries
-def mean_summary(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
-    """One aggregate of the fact: per key tuple and column, sum / non-null
-    count / null count. Map-side partial aggregation keeps the shuffle at
-    (#tuples x #partitions) rows whatever the skew."""
+def _any_null(cols: list[str]) -> Column:
+    return functools.reduce(lambda x, y: x | y, [F.col(c).isNull() for c in cols])
+
+
+def null_tuples(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """Key tuples with a NULL in a column, and how many rows miss each (``_z_<col>``)."""
+    return (df.where(_any_null(cols)).groupBy(*keys)
+            .agg(*[F.count_if(F.col(c).isNull()).alias(f"_z_{c}") for c in cols]))
+
+
+def _known(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """Sum and count of the original values per group of ``key``; map-side
+    partial aggregation, whatever the skew."""
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        aggs += [F.sum(x).alias(f"_s_{c}"), F.count(x).alias(f"_n_{c}"),
-                 F.count_if(x.isNull()).alias(f"_z_{c}")]
-    return df.groupBy(*keys).agg(*aggs)
+        aggs += [F.sum(x).alias(f"_s_{c}"), F.count(x).alias(f"_n_{c}")]
+    return df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_kk")).agg(*aggs)
 
 
-def _level_stats(S: DataFrame, key: str, cols: list[str], stale: set[str],
+def _level_stats(df: DataFrame, S: DataFrame, key: str, cols: list[str], stale: set[str],
                  global_cols: set[str]) -> DataFrame:
-    """Per group of ``key`` (the NULL key kept as its own group):
-
-    A = sum of values seen so far (originals + earlier fills x null count),
-    B = their count, C = rows still NULL; the level mean is A/B (NULL for
-    the NULL key, T9). Frame-wide values -- the "any NULL left" flag of the
-    stale cascade and the global mean after this level -- are one one-row
-    aggregate of this per-group table (partial aggregation per task, then
-    one row per task to the final merge), fetched once and applied as
-    literals, so no task ever holds the whole per-group table and the
-    summary is joined only once per level.
+    """Per group of ``key`` that has a tuple in S (the NULL key its own group):
+    the level mean ``_m_`` (NULL for the NULL key, T9).
+
+    Frame-wide values -- the "any NULL left" flag of the stale cascade and the
+    global mean after this level -- are one-row aggregates, fetched once and
+    applied as literals.
     """
     aggs = []
     for c in cols:
-        f = F.col(_fname(c))
-        filled = f.isNotNull()
-        z = F.col(f"_z_{c}")
-        aggs += [
-            F.sum(F.coalesce(F.col(f"_s_{c}"), F.lit(0.0)) + F.when(filled, z * f).otherwise(0.0)).alias(f"_A_{c}"),
-            F.sum(F.col(f"_n_{c}") + F.when(filled, z).otherwise(0)).alias(f"_B_{c}"),
-            F.sum(F.when(filled, 0).otherwise(z)).alias(f"_C_{c}"),
-        ]
-    g = S.groupBy(F.col(key).alias("_lk")).agg(*aggs)
-    g = g.withColumns({f"_m_{c}": F.when(F.col("_lk").isNotNull(),
-                                         _safe_div(F.col(f"_A_{c}"), F.col(f"_B_{c}")))
-                       for c in cols})
-    totals = []
-    for c in cols:
-        m = F.col(f"_m_{c}")
-        if c in stale:
-            totals.append(F.max(F.col(f"_C_{c}") > 0).alias(f"_any_{c}"))
-        if c in global_cols:
-            a = F.col(f"_A_{c}") + F.when(m.isNotNull(), F.col(f"_C_{c}") * m).otherwise(0.0)
-            b = F.col(f"_B_{c}") + F.when(m.isNotNull(), F.col(f"_C_{c}")).otherwise(0)
-            totals.append(_safe_div(F.sum(a), F.sum(b)).alias(f"_g_{c}"))
+        f, z = F.col(_fname(c)), F.col(f"_z_{c}")
+        aggs += [F.sum(F.when(f.isNotNull(), z * f).otherwise(0.0)).alias(f"_A_{c}"),
+                 F.sum(F.when(f.isNotNull(), z).otherwise(0)).alias(f"_B_{c}"),
+                 F.sum(F.when(f.isNotNull(), 0).otherwise(z)).alias(f"_C_{c}")]
+    earlier = S.groupBy(F.col(key).alias("_lk")).agg(*aggs)
+    g = earlier.join(_known(df, key, cols), F.col("_lk") == F.col("_kk"), "left").drop("_kk")
+    g = g.withColumns({f"_m_{c}": F.when(F.col("_lk").isNotNull(), _safe_div(
+        F.coalesce(f"_s_{c}", F.lit(0.0)) + F.col(f"_A_{c}"), F.coalesce(f"_n_{c}", F.lit(0)) + F.col(f"_B_{c}")))
+        for c in cols})
+    g = g.select("_lk", *[f"{x}{c}" for c in cols for x in ("_m_", "_A_", "_B_", "_C_")])
     out = [f"_m_{c}" for c in cols]
-    if totals:
-        one = g.agg(*totals)
-        row = one.first()  # one row: a flag and a mean per column
-        g = g.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in one.schema.fields})
-        out += one.columns
-    return g.select("_lk", *out)
+    if not stale and not global_cols:
+        return g.select("_lk", *out)
+    g = _keep(g)  # read by the frame-wide aggregate and by the join
+    totals = [F.max(F.col(f"_C_{c}") > 0).alias(f"_any_{c}") for c in cols if c in stale]
+    for c in (c for c in cols if c in global_cols):
+        m = F.col(f"_m_{c}")
+        totals += [F.sum(F.col(f"_A_{c}") + F.when(m.isNotNull(), F.col(f"_C_{c}") * m).otherwise(0.0)).alias(f"_s_{c}"),
+                   F.sum(F.col(f"_B_{c}") + F.when(m.isNotNull(), F.col(f"_C_{c}")).otherwise(0)).alias(f"_n_{c}")]
+    row = g.agg(*totals).first()
+    literals = {f"_any_{c}": F.lit(row[f"_any_{c}"]).cast("boolean") for c in cols if c in stale}
+    if global_cols:
+        all_ = df.agg(*[x for c in global_cols for x in (
+            F.sum(F.col(c).cast("double")).alias(f"_s_{c}"), F.count(c).alias(f"_n_{c}"))]).first()
+        for c in global_cols:
+            total = (all_[f"_s_{c}"] or 0.0) + (row[f"_s_{c}"] or 0.0)
+            n = all_[f"_n_{c}"] + (row[f"_n_{c}"] or 0)
+            literals[f"_g_{c}"] = F.lit(total / n if n else None).cast("double")
+    return g.select("_lk", *out).withColumns(literals)
 
 
 def _level_order(specs: list[MeanSpec]) -> list[str]:
@@ -155,21 +163,23 @@ def _level_order(specs: list[MeanSpec]) -> list[str]:
     return order
 
 
-def cascade_means(S: DataFrame, specs: list[MeanSpec]) -> DataFrame:
-    """Run mean cascades on a summary; adds ``_f_<col>`` per spec.
+def cascade_means(df: DataFrame, keys: list[str], specs: list[MeanSpec]) -> DataFrame:
+    """Run mean cascades over ``df``: per key tuple with something to fill,
+    ``_f_<col>`` per spec.
 
     Level keys are visited in one order compatible with every spec; each
     column takes part only at its own levels, so its fills stay sequential.
     Columns that share a level share one aggregate and one join.
     """
-    S = _keep(S.withColumns({_fname(sp.col): F.lit(None).cast("double") for sp in specs}))
+    S = _keep(null_tuples(df, keys, [sp.col for sp in specs])
+              .withColumns({_fname(sp.col): F.lit(None).cast("double") for sp in specs}))
     order = _level_order(specs)
     by_col = {sp.col: sp for sp in specs}
     for k in order:
         cols = [sp.col for sp in specs if k in sp.levels]
         stale = {c for c in cols if by_col[c].stale and by_col[c].levels[0] != k}
         glob = {c for c in cols if by_col[c].global_level and by_col[c].levels[-1] == k}
-        stats = _level_stats(S, k, cols, stale, glob)
+        stats = _level_stats(df, S, k, cols, stale, glob)
         S = S.join(stats, S[k].eqNullSafe(stats["_lk"]), "left").drop("_lk")
         upd = {}
         for c in cols:
@@ -184,7 +194,7 @@ def cascade_means(S: DataFrame, specs: list[MeanSpec]) -> DataFrame:
                 v = F.coalesce(v, F.col(f"_g_{c}"))
             upd[_fname(c)] = v
         S = _keep(S.withColumns(upd).drop(*[x for x in stats.columns if x != "_lk"]))
-    return S
+    return S.select(*keys, *[_fname(sp.col) for sp in specs])
 
 
 def mode_fills(df: DataFrame, col: str, levels: list[str]) -> DataFrame:
@@ -224,23 +234,28 @@ def mode_fills(df: DataFrame, col: str, levels: list[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ apply
+#: Parts into which rows without any key are dealt for a fill join.
+NO_KEY_PARTS = 64
+
+
 def _null_safe_join(df: DataFrame, fills: DataFrame, keys: list[str]) -> DataFrame:
-    r = fills.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
+    """Fill values to the rows by their key tuple, NULL matching NULL. Rows
+    whose keys are all NULL (they may be many) are dealt into parts, to each
+    of which goes a copy of their one fill row."""
+    def no_key() -> Column:
+        return functools.reduce(lambda x, y: x & y, [F.col(k).isNull() for k in keys])
+
+    others = [c for c in df.columns if c not in keys]
+    part = F.when(no_key(), F.pmod(F.xxhash64(*others), F.lit(NO_KEY_PARTS)).cast("int")).otherwise(F.lit(0))
+    parts = F.when(no_key(), F.sequence(F.lit(0), F.lit(NO_KEY_PARTS - 1))).otherwise(F.array(F.lit(0)))
+    r = fills.withColumn("_r_part", F.explode(parts)) \
+             .select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_r_part",
                      *[c for c in fills.columns if c.startswith("_f_")])
-    cond = None
+    left = df.withColumn("_part", part)
+    cond = F.col("_part") == F.col("_r_part")
     for k in keys:
-        e = df[k].eqNullSafe(r[f"_k_{k}"])
-        cond = e if cond is None else cond & e
-    return df.join(r, cond, "left").drop(*[f"_k_{k}" for k in keys])
-
-
-def _fills_only(S: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
-    """Keep only the tuples that have something to fill."""
-    any_null = None
-    for c in cols:
-        e = F.col(f"_z_{c}") > 0
-        any_null = e if any_null is None else any_null | e
-    return S.where(any_null).select(*keys, *[_fname(c) for c in cols])
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return left.join(r, cond, "left").drop("_part", "_r_part", *[f"_k_{k}" for k in keys])
 
 
 def delivered_only(df: DataFrame) -> DataFrame:
@@ -259,31 +274,29 @@ def with_day_offsets(df: DataFrame) -> DataFrame:
 
 
 def seller_fills(base: DataFrame, dates: bool = True, product_info: bool = True) -> DataFrame:
-    """#46 and #48: one summary on (seller_id, seller_city, seller_state)."""
+    """#46 and #48: cascades on (seller_id, seller_city, seller_state)."""
     specs = []
     if dates:
         specs += [MeanSpec(f"_d_{c}", SELLER_KEYS, True) for c in DATE_COLS]
     if product_info:
         specs += [MeanSpec(c, SELLER_KEYS, True) for c in PRODUCT_INFO_COLS]
-    cols = [s.col for s in specs]
-    S = cascade_means(mean_summary(base, SELLER_KEYS, cols), specs)
-    return _fills_only(S, SELLER_KEYS, cols)
+    return cascade_means(base, SELLER_KEYS, specs)
 
 
-def customer_fills(base: DataFrame, coords: bool = True, dimensions: bool = True,
-                   review: bool = True, masked: bool = False) -> DataFrame:
-    """#45, #49 and #51: one summary on (customer_unique_id, city, state),
-    one join per level for all of them."""
+def coord_fills(base: DataFrame) -> DataFrame:
+    """#45: cascades on (customer_city, customer_state)."""
+    return cascade_means(base, PLACE_KEYS, [MeanSpec(c, PLACE_KEYS) for c in COORD_COLS])
+
+
+def customer_fills(base: DataFrame, dimensions: bool = True, review: bool = True,
+                   masked: bool = False) -> DataFrame:
+    """#49 and #51: cascades on (customer_unique_id, city, state)."""
     specs = []
-    if coords:
-        specs += [MeanSpec(c, ["customer_city", "customer_state"]) for c in COORD_COLS]
     if dimensions:
         specs += [MeanSpec(c, CUSTOMER_KEYS) for c in DIMENSION_COLS]
     if review:
         specs.append(MeanSpec(REVIEW, CUSTOMER_KEYS, stale=not masked))
-    cols = [s.col for s in specs]
-    S = cascade_means(mean_summary(base, CUSTOMER_KEYS, cols), specs)
-    return _fills_only(S, CUSTOMER_KEYS, cols)
+    return cascade_means(base, CUSTOMER_KEYS, specs)
 
 
 CATEGORY_KEYS = ["customer_unique_id", "seller_id", "seller_city", "seller_state"]
@@ -352,8 +365,7 @@ def fill_review_replies(df: DataFrame) -> DataFrame:
 def fill_coords(df: DataFrame) -> DataFrame:
     """#45: customer coordinates by customer city, then state."""
     df = cut_lineage(df)  # several small jobs read it
-    fills = customer_fills(df, coords=True, dimensions=False, review=False)
-    return _apply_means(_null_safe_join(df, fills, CUSTOMER_KEYS), COORD_COLS)
+    return _apply_means(_null_safe_join(df, coord_fills(df), PLACE_KEYS), COORD_COLS)
 
 
 def fill_dates(df: DataFrame) -> DataFrame:
@@ -380,7 +392,7 @@ def fill_product_info(df: DataFrame) -> DataFrame:
 def fill_dimensions(df: DataFrame) -> DataFrame:
     """#49: weight and sizes by customer -> customer city -> customer state."""
     df = cut_lineage(df)  # several small jobs read it
-    fills = customer_fills(df, coords=False, dimensions=True, review=False)
+    fills = customer_fills(df, review=False)
     return _apply_means(_null_safe_join(df, fills, CUSTOMER_KEYS), DIMENSION_COLS)
 
 
@@ -394,38 +406,32 @@ def fill_review(df: DataFrame, masked: bool = False) -> DataFrame:
     """#51: review score by customer -> city -> state (stale mask unless
     ``masked=True``, which gives the conventional cascade)."""
     df = cut_lineage(df)  # several small jobs read it
-    fills = customer_fills(df, coords=False, dimensions=False, review=True, masked=masked)
+    fills = customer_fills(df, dimensions=False, masked=masked)
     return _apply_means(_null_safe_join(df, fills, CUSTOMER_KEYS), [REVIEW])
 
 
 # ------------------------------------------------------------- composite
 def impute_all(mart: DataFrame, masked_review: bool = False) -> DataFrame:
-    """#53: filters, then every fill from summaries of the same base frame.
-
-    Fact-table work: one aggregate per key tuple (seller, customer,
-    category histogram, one-row payment modes) and one null-safe join per
-    tuple for the rows that have something to fill; the cascades run on
-    small per-level tables.
-    """
-    # five readers (four summaries + the final join): materialize once
+    """#53: filters, then every fill from small tables of the same base frame,
+    which is written once (this call runs jobs)."""
+    # several readers (the cascades, the payment modes, the final joins): write once
     base = cut_lineage(with_day_offsets(has_product(delivered_only(mart))))
-    # the three cascades are independent chains of small jobs: submit them
-    # from three driver threads so their jobs overlap on the cluster
-    with ThreadPoolExecutor(max_workers=3) as pool:
+    # the cascades are independent chains of small jobs: submit them from
+    # driver threads so that their jobs overlap on the cluster
+    with ThreadPoolExecutor(max_workers=4) as pool:
         jobs = [pool.submit(seller_fills, base),
+                pool.submit(coord_fills, base),
                 pool.submit(customer_fills, base, masked=masked_review),
                 pool.submit(category_fills, base)]
-        sf, cf, kf = (j.result() for j in jobs)
+        sf, gf, cf, kf = (j.result() for j in jobs)
     pm = payment_modes(base)
-    # only rows with a NULL in an imputed column take part in the three
-    # fill joins (a fill never changes a non-NULL value, T15 included);
-    # the others skip them, so the joins shuffle the missing rows, not the
-    # fact table. The two parts are disjoint (the test is never NULL).
-    need = None
-    for c in FILLED_COLS:
-        e = F.col(c).isNull()
-        need = e if need is None else need | e
+    # only rows with a NULL in an imputed column take part in the fill joins
+    # (a fill never changes a non-NULL value, T15 included); the others skip
+    # them, so the joins shuffle the missing rows, not the fact table. The two
+    # parts are disjoint (the test is never NULL).
+    need = _any_null(FILLED_COLS)
     out = _null_safe_join(base.where(need), sf, SELLER_KEYS)
+    out = _null_safe_join(out, gf, PLACE_KEYS)
     out = _null_safe_join(out, cf, CUSTOMER_KEYS)
     out = _null_safe_join(out, kf, CATEGORY_KEYS)
     rest = base.where(~need).withColumns(

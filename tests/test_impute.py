@@ -45,8 +45,7 @@ def _frame(n=400, seed=7):
 def _spark_fill(spark, rows, specs, keys):
     df = spark.createDataFrame(rows, "id long, customer_unique_id string, customer_city string, "
                                      "customer_state string, v double")
-    S = impute.cascade_means(impute.mean_summary(df, keys, ["v"]), specs)
-    fills = impute._fills_only(S, keys, ["v"])
+    fills = impute.cascade_means(df, keys, specs)
     out = impute._apply_means(impute._null_safe_join(df, fills, keys), ["v"])
     return out.toPandas().set_index("id").sort_index()["v"]
 
@@ -139,8 +138,8 @@ def test_combined_cascades_equal_separate(spark):
     df = spark.createDataFrame([r + (r[4],) for r in rows],
                                "id long, customer_unique_id string, customer_city string, "
                                "customer_state string, v double, w double")
-    S = impute.cascade_means(impute.mean_summary(df, keys, ["v", "w"]), both)
-    out = impute._apply_means(impute._null_safe_join(df, impute._fills_only(S, keys, ["v", "w"]), keys), ["v", "w"])
+    fills = impute.cascade_means(df, keys, both)
+    out = impute._apply_means(impute._null_safe_join(df, fills, keys), ["v", "w"])
     got = out.toPandas().set_index("id").sort_index()
     pdf = pd.DataFrame(rows, columns=["id"] + keys + ["v"]).set_index("id")
     assert np.allclose(got.v.values, pandas_mean_cascade(pdf, "v", ["customer_city", "customer_state"]).values,

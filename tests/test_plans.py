@@ -65,9 +65,9 @@ def test_one_row_statistics_need_no_join_or_global_window(spark):
     rows = [("a", "x", "s1", 1.0), ("a", "x", "s1", None), ("b", "y", "s1", None),
             ("c", None, "s2", None), ("d", "z", "s2", 5.0)]
     df = spark.createDataFrame(rows, "cu string, ci string, st string, review_score double")
-    S = impute.mean_summary(df, ["cu", "ci", "st"], ["review_score"]) \
+    S = impute.null_tuples(df, ["cu", "ci", "st"], ["review_score"]) \
               .withColumn("_f_review_score", F.lit(None).cast("double"))
-    stats = impute._level_stats(S, "ci", ["review_score"], {"review_score"}, {"review_score"})
+    stats = impute._level_stats(df, S, "ci", ["review_score"], {"review_score"}, {"review_score"})
     plan = _executed(stats)
     for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "Window"):
         assert bad not in plan
