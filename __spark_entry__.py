@@ -30,21 +30,21 @@ _SQL: dict[str, str] = {}
 
 # ------------------------------------------------------------ normalising
 def _norm(df: DataFrame) -> DataFrame:
-    """Every numeric column as DOUBLE quantised to 4 places (so nullable
-    integers compare the same way in both engines). The quantiser is the
-    same IEEE formula in both engines, with an offset that keeps short
-    decimals (averages of prices) off the rounding boundary."""
+    """Every numeric column as DOUBLE quantised to 4 places: integer columns
+    with NULLs reach pandas as integers from one engine and as floats from
+    the other. The quantiser is the same IEEE formula in both engines, with an
+    offset that keeps short decimals (averages of prices) off the rounding
+    boundary."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType, T.ByteType,
-                                   T.ShortType, T.IntegerType, T.LongType)):
+        if isinstance(f.dataType, T.NumericType):
             c = F.floor(c.cast("double") * F.lit(10000.0) + F.lit(O.ROUND_OFFSET)).cast("double") / F.lit(10000.0)
         out.append(c.alias(f.name))
     return df.select(*out)
 
 
-def _final(ctes: str, select: str, doubles=(), ints=()) -> str:
+def _final(ctes: str, select: str) -> str:
     """A complete statement; numeric normalisation is added by ``oracle_sql``."""
     return f"{ctes}\n{select}"
 
@@ -59,21 +59,9 @@ def register(name: str, sql: str | None = None):
 
 
 # ------------------------------------------------------------ frame types
-MART_DOUBLES = ["customer_lat", "customer_lng", "product_name_lenght", "product_description_lenght",
-                "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm",
-                "seller_lat", "seller_lng", "price", "freight_value", "total_payment", "review_score"]
-MART_INTS = ["order_item_id", "payment_sequential", "payment_installments"]
-IMPUTED_INTS = MART_INTS + ["has_review_message"]
-FEAT_EXTRA_DOUBLES = ["order_approval_time_h", "product_dimensions", "seller_customer_distance",
-                      "review_to_answer_time_h"]
-FEAT_EXTRA_INTS = ["order_delivery_time", "order_delay_time", "seller_delay", "delivery_review_time"]
-FEATURED_DOUBLES = [c for c in MART_DOUBLES if c not in O.RAW_DROP] + FEAT_EXTRA_DOUBLES
-FEATURED_INTS = IMPUTED_INTS + FEAT_EXTRA_INTS
 OL_DOUBLES = ["product_description_length", "product_name_length", "avg_product_dimensions",
               "avg_product_weight_g", "avg_seller_customer_distance", "total_price", "avg_price",
               "avg_freight_value", "order_approval_time_h", "avg_seller_delay"]
-OL_INTS = ["count_order_item_id", "nunique_product_category_name", "payment_installments",
-           "order_delivery_time", "order_delay_time", "bad_review"]
 
 CATS = O.CATEGORIES
 
@@ -99,7 +87,7 @@ def _ol(spark, sf):
     return pipeline.order_level(spark, sf)
 
 
-M0_SQL = with_m0 = O.with_ctes(O.ADAPTER, O.ZIP_GEO, O.MART,
+M0_SQL = O.with_ctes(O.ADAPTER, O.ZIP_GEO, O.MART,
                                "m0 AS (SELECT * FROM orders_master WHERE order_status = 'delivered' AND product_id IS NOT NULL)")
 
 # ============================================================ 2.1 sources
@@ -125,15 +113,14 @@ def _union(dfs):
     return out
 
 
-register("mart_source", _final(O.BASE, "SELECT * FROM orders_master", MART_DOUBLES, MART_INTS))(
+register("mart_source", _final(O.BASE, "SELECT * FROM orders_master"))(
     lambda spark, sf: mart.mart_source(spark, _mart(spark, sf)))
-register("zip_geo_table", _final(O.with_ctes(O.ADAPTER, O.ZIP_GEO), "SELECT * FROM zip_geo",
-                                 ["lat", "lng"]))(_zip_geo)
+register("zip_geo_table", _final(O.with_ctes(O.ADAPTER, O.ZIP_GEO), "SELECT * FROM zip_geo"))(_zip_geo)
 
 
 @register("append_zips", _final(O.with_ctes(O.ADAPTER, O.ZIP_GEO),
                                 "SELECT * FROM zip_geo WHERE geolocation_zip_code_prefix NOT IN "
-                                "(SELECT geolocation_zip_code_prefix FROM zg_base)", ["lat", "lng"]))
+                                "(SELECT geolocation_zip_code_prefix FROM zg_base)"))
 def _append_zips(spark, sf):
     t = _t(spark, sf)
     base = geo.zip_geo_agg(t["geolocation"])
@@ -141,31 +128,33 @@ def _append_zips(spark, sf):
 
 
 @register("mart_view", _final(O.BASE, "SELECT order_status, CAST(count(*) AS BIGINT) AS n_rows, "
-                              "count(DISTINCT order_id) AS n_orders FROM orders_master GROUP BY 1",
-                              ints=["n_orders"]))
+                              "count(DISTINCT order_id) AS n_orders FROM orders_master GROUP BY 1"))
 def _mart_view(spark, sf):
     mart.register_mart_view(_mart(spark, sf), "orders_master")
     return spark.sql("SELECT order_status, count(*) AS n_rows, count(DISTINCT order_id) AS n_orders "
                      "FROM orders_master GROUP BY order_status")
 
 
-def _mart_type(c: str) -> str:
-    """The mart's column types as FIXTURES.md states them."""
-    if c in MART_DOUBLES:
-        return "double"
-    if c == "order_item_id":
-        return "bigint"
-    if c in MART_INTS:
-        return "int"
-    if c.endswith(("_timestamp", "_date", "_at")):
-        return "timestamp_ntz"
-    return "string"
-
-
-_DESCRIBE_SQL = _final(O.BASE, "SELECT t.position, t.column_name, t.data_type, n.n_rows FROM (VALUES "
-                       + ", ".join(f"({i}, '{c}', '{_mart_type(c)}')" for i, c in enumerate(mart.MART_COLS))
-                       + ") AS t(position, column_name, data_type), "
-                       "(SELECT CAST(count(*) AS BIGINT) AS n_rows FROM orders_master) AS n")
+# The mart as FIXTURES.md states it.
+_MART_TYPES = {
+    "order_id": "string", "customer_unique_id": "string", "customer_city": "string", "customer_state": "string",
+    "customer_lat": "double", "customer_lng": "double", "order_status": "string",
+    "order_purchase_timestamp": "timestamp_ntz", "order_approved_at": "timestamp_ntz",
+    "order_delivered_carrier_date": "timestamp_ntz", "order_delivered_customer_date": "timestamp_ntz",
+    "order_estimated_delivery_date": "timestamp_ntz", "order_item_id": "bigint", "product_id": "string",
+    "product_category_name": "string", "product_name_lenght": "double", "product_description_lenght": "double",
+    "product_weight_g": "double", "product_length_cm": "double", "product_height_cm": "double",
+    "product_width_cm": "double", "seller_id": "string", "seller_city": "string", "seller_state": "string",
+    "seller_lat": "double", "seller_lng": "double", "shipping_limit_date": "timestamp_ntz", "price": "double",
+    "freight_value": "double", "payment_sequential": "int", "payment_type": "string", "payment_installments": "int",
+    "total_payment": "double", "review_score": "double", "review_comment_title": "string",
+    "review_comment_message": "string", "review_creation_date": "timestamp_ntz",
+    "review_answer_timestamp": "timestamp_ntz"}
+# Only the status has no NULL by its definition.
+_DESCRIBE_SQL = _final(O.BASE, "SELECT t.*, n.n_rows FROM (VALUES "
+                       + ", ".join(f"({i}, '{c}', '{t}', {c != 'order_status'})" for i, (c, t) in enumerate(_MART_TYPES.items()))
+                       + ") AS t(position, column_name, data_type, nullable), "
+                       "(SELECT count(*) AS n_rows FROM orders_master) AS n")
 
 
 @register("describe_frame", _DESCRIBE_SQL)
@@ -189,8 +178,7 @@ register("drop_geo_cols", O.with_ctes(O.ADAPTER)
     lambda spark, sf: clean.drop_geo_cols(_t(spark, sf)["customers"], "customer"))
 register("mart_projection", _final(O.BASE, "SELECT order_id, customer_unique_id, customer_city, "
                                    "customer_state, customer_lat, customer_lng, seller_id, seller_city, "
-                                   "seller_state, seller_lat, seller_lng, total_payment FROM orders_master",
-                                   ["customer_lat", "customer_lng", "seller_lat", "seller_lng", "total_payment"]))(
+                                   "seller_state, seller_lat, seller_lng, total_payment FROM orders_master"))(
     lambda spark, sf: _mart(spark, sf).select(
         "order_id", "customer_unique_id", "customer_city", "customer_state", "customer_lat",
         "customer_lng", "seller_id", "seller_city", "seller_state", "seller_lat", "seller_lng",
@@ -237,17 +225,20 @@ register("fk_sellers_zip", _fk_sql("raw_sellers", "seller_zip_code_prefix", "zip
 
 # ============================================================ 2.4 profiling
 register("zip_duplicates", O.with_ctes(O.ADAPTER) + """
-SELECT count(*) AS total_rows, count(DISTINCT geolocation_zip_code_prefix) AS unique_values,
-       count(*) - count(DISTINCT geolocation_zip_code_prefix) AS duplicates_count FROM raw_geolocation""")(
+SELECT sum(n) AS total_rows, count(zip) AS unique_values, sum(n) - count(zip) AS duplicates_count
+FROM (SELECT geolocation_zip_code_prefix AS zip, count(*) AS n FROM raw_geolocation GROUP BY zip)""")(
     lambda spark, sf: profile.zip_duplicates(_t(spark, sf)["geolocation"]))
-register("orphan_customers", O.with_ctes(O.ADAPTER) + """
-SELECT count(*) AS n_rows FROM raw_customers c LEFT JOIN raw_geolocation g
-  ON c.customer_zip_code_prefix = g.geolocation_zip_code_prefix WHERE g.geolocation_zip_code_prefix IS NULL""")(
+
+
+def _orphans_sql(entity: str, who: str) -> str:
+    return O.with_ctes(O.ADAPTER) + (f"\nSELECT count(*) AS n_rows FROM {entity} ANTI JOIN raw_geolocation "
+                                     f"ON {who}_zip_code_prefix = geolocation_zip_code_prefix")
+
+
+register("orphan_customers", _orphans_sql("raw_customers", "customer"))(
     lambda spark, sf: profile.orphan_count(_t(spark, sf)["customers"], "customer_zip_code_prefix",
                                            _t(spark, sf)["geolocation"]))
-register("orphan_sellers", O.with_ctes(O.ADAPTER) + """
-SELECT count(*) AS n_rows FROM raw_sellers s LEFT JOIN raw_geolocation g
-  ON s.seller_zip_code_prefix = g.geolocation_zip_code_prefix WHERE g.geolocation_zip_code_prefix IS NULL""")(
+register("orphan_sellers", _orphans_sql("raw_sellers", "seller"))(
     lambda spark, sf: profile.orphan_count(_t(spark, sf)["sellers"], "seller_zip_code_prefix",
                                            _t(spark, sf)["geolocation"]))
 register("top_zips", O.with_ctes(O.ADAPTER, O.ZIP_GEO) + """
@@ -260,10 +251,10 @@ register("null_counts", O.BASE + "\n" + "\nUNION ALL ".join(
     for c in _MART_COLS))(lambda spark, sf: profile.null_counts(_mart(spark, sf)))
 register("rows_missing", _final(O.BASE, "\nUNION ALL ".join(
     f"SELECT '{c}' AS missing_column, * FROM orders_master WHERE {c} IS NULL"
-    for c in profile.ROWS_MISSING_COLS), MART_DOUBLES, MART_INTS))(
+    for c in ("order_approved_at", "order_delivered_customer_date", "customer_lat", "product_category_name",
+              "product_weight_g", "review_score", "total_payment", "product_name_lenght", "product_description_lenght"))))(
     lambda spark, sf: profile.rows_missing(_mart(spark, sf)))
-register("status_rows", _final(O.BASE, "SELECT * FROM orders_master WHERE order_status IN ('canceled', 'unavailable')",
-                               MART_DOUBLES, MART_INTS))(
+register("status_rows", _final(O.BASE, "SELECT * FROM orders_master WHERE order_status IN ('canceled', 'unavailable')"))(
     lambda spark, sf: clean.status_rows(_mart(spark, sf)))
 
 _CARD = ["most_common_product_category_name", "payment_type", "customer_state", "customer_city",
@@ -291,87 +282,74 @@ def _corr_sql() -> str:
         sel.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, {r} AS r")
         if a != b:
             sel.append(f"SELECT '{b}' AS col_a, '{a}' AS col_b, {r} AS r")
-    return _final(O.ORDER_LEVEL_SQL, "\nUNION ALL ".join(sel), ["r"])
+    return _final(O.ORDER_LEVEL_SQL, "\nUNION ALL ".join(sel))
 
 
 register("correlation_matrix", _corr_sql())(
     lambda spark, sf: profile.correlation_matrix(_ol(spark, sf), _CORR))
 
 # ============================================================ 2.5 geo
-register("zip_geo_agg", _final(O.with_ctes(O.ADAPTER, O.ZIP_GEO), "SELECT * FROM zg_base", ["lat", "lng"]))(
+register("zip_geo_agg", _final(O.with_ctes(O.ADAPTER, O.ZIP_GEO), "SELECT * FROM zg_base"))(
     lambda spark, sf: geo.zip_geo_agg(_t(spark, sf)["geolocation"]))
 register("zip_geo_add_customers", _final(O.with_ctes(O.ADAPTER, O.ZIP_GEO),
                                          "SELECT * FROM zg_c WHERE geolocation_zip_code_prefix NOT IN "
-                                         "(SELECT geolocation_zip_code_prefix FROM zg_base)", ["lat", "lng"]))(
+                                         "(SELECT geolocation_zip_code_prefix FROM zg_base)"))(
     lambda spark, sf: geo.add_missing_zips(geo.zip_geo_agg(_t(spark, sf)["geolocation"]),
                                            _t(spark, sf)["customers"], "customer_zip_code_prefix",
                                            "customer_city", "customer_state")
     .join(geo.zip_geo_agg(_t(spark, sf)["geolocation"]).select(geo.ZIP), geo.ZIP, "left_anti"))
 register("zip_geo_add_sellers", _final(O.with_ctes(O.ADAPTER, O.ZIP_GEO),
                                        "SELECT * FROM zip_geo WHERE geolocation_zip_code_prefix NOT IN "
-                                       "(SELECT geolocation_zip_code_prefix FROM zg_c)", ["lat", "lng"]))(
+                                       "(SELECT geolocation_zip_code_prefix FROM zg_c)"))(
     lambda spark, sf: _append_zips(spark, sf).join(
         _t(spark, sf)["customers"].select(F.col("customer_zip_code_prefix").alias(geo.ZIP)).distinct(),
         geo.ZIP, "left_anti"))
 
 # ============================================================ 2.6 joins
+_ITEM_KEYS = ("order_id", "order_item_id")
+
 register("join_customers", O.with_ctes(O.ADAPTER) + """
-SELECT o.order_id, c.customer_unique_id, c.customer_zip_code_prefix
-FROM raw_orders o LEFT JOIN raw_customers c ON o.customer_id = c.customer_id""")(
-    lambda spark, sf: _t(spark, sf)["orders"].join(
-        _t(spark, sf)["customers"].select("customer_id", "customer_unique_id", "customer_zip_code_prefix"),
-        "customer_id", "left").select("order_id", "customer_unique_id", "customer_zip_code_prefix"))
-register("join_items", _final(O.with_ctes(O.ADAPTER), """
-SELECT o.order_id, oi.order_item_id, oi.product_id, oi.seller_id, oi.price
-FROM raw_orders o LEFT JOIN raw_order_items oi ON o.order_id = oi.order_id""", ["price"], ["order_item_id"]))(
-    lambda spark, sf: _t(spark, sf)["orders"].select("order_id").join(
-        _t(spark, sf)["order_items"].select("order_id", "order_item_id", "product_id", "seller_id", "price"),
-        "order_id", "left"))
-register("join_products", _final(O.with_ctes(O.ADAPTER), """
-SELECT oi.order_id, oi.order_item_id, p.product_id, p.product_category_name, p.product_weight_g
-FROM raw_order_items oi LEFT JOIN raw_products p ON oi.product_id = p.product_id""",
-    ["product_weight_g"], ["order_item_id"]))(
-    lambda spark, sf: (lambda it, p: it.join(p, it["product_id"] == p["_pid"], "left").select(
-        "order_id", "order_item_id", F.col("_pid").alias("product_id"), "product_category_name",
-        "product_weight_g"))(
-        _t(spark, sf)["order_items"],
-        _t(spark, sf)["products"].select(F.col("product_id").alias("_pid"), "product_category_name",
-                                         "product_weight_g")))
-register("join_sellers", _final(O.with_ctes(O.ADAPTER), """
-SELECT oi.order_id, oi.order_item_id, s.seller_id, s.seller_zip_code_prefix
-FROM raw_order_items oi LEFT JOIN raw_sellers s ON oi.seller_id = s.seller_id""", ints=["order_item_id"]))(
-    lambda spark, sf: (lambda it, s: it.join(s, it["seller_id"] == s["_sid"], "left").select(
-        "order_id", "order_item_id", F.col("_sid").alias("seller_id"), "seller_zip_code_prefix"))(
-        _t(spark, sf)["order_items"],
-        _t(spark, sf)["sellers"].select(F.col("seller_id").alias("_sid"), "seller_zip_code_prefix")))
-register("join_payments", _final(O.with_ctes(O.ADAPTER), """
-SELECT o.order_id, op.payment_sequential, op.payment_type, op.payment_value
-FROM raw_orders o LEFT JOIN raw_payments op ON o.order_id = op.order_id""", ["payment_value"],
-    ["payment_sequential"]))(
-    lambda spark, sf: _t(spark, sf)["orders"].select("order_id").join(
-        _t(spark, sf)["payments"].select("order_id", "payment_sequential", "payment_type", "payment_value"),
-        "order_id", "left"))
-register("join_reviews", _final(O.with_ctes(O.ADAPTER), """
-SELECT o.order_id, ore.review_score, ore.review_creation_date
-FROM raw_orders o LEFT JOIN raw_reviews ore ON o.order_id = ore.order_id""", ["review_score"]))(
-    lambda spark, sf: _t(spark, sf)["orders"].select("order_id").join(
-        _t(spark, sf)["reviews"].select("order_id", "review_score", "review_creation_date"),
-        "order_id", "left"))
-register("join_customer_geo", _final(O.with_ctes(O.ADAPTER, O.ZIP_GEO), """
-SELECT c.customer_id, z.city AS customer_city, z.geo_state AS customer_state, z.lat AS customer_lat,
-       z.lng AS customer_lng
-FROM raw_customers c LEFT JOIN zip_geo z ON c.customer_zip_code_prefix = z.geolocation_zip_code_prefix""",
-    ["customer_lat", "customer_lng"]))(
-    lambda spark, sf: mart._with_geo(_t(spark, sf)["customers"].select("customer_id", "customer_zip_code_prefix"),
-                                     "customer_zip_code_prefix", _zip_geo(spark, sf), "customer"))
-register("join_seller_geo", _final(O.with_ctes(O.ADAPTER, O.ZIP_GEO), """
-SELECT s.seller_id, z.city AS seller_city, z.geo_state AS seller_state, z.lat AS seller_lat,
-       z.lng AS seller_lng
-FROM raw_sellers s LEFT JOIN zip_geo z ON s.seller_zip_code_prefix = z.geolocation_zip_code_prefix""",
-    ["seller_lat", "seller_lng"]))(
-    lambda spark, sf: mart._with_geo(_t(spark, sf)["sellers"].select("seller_id", "seller_zip_code_prefix"),
-                                     "seller_zip_code_prefix", _zip_geo(spark, sf), "seller"))
-register("orders_master", _final(O.BASE, "SELECT * FROM orders_master", MART_DOUBLES, MART_INTS))(_mart)
+SELECT order_id, customer_unique_id, customer_zip_code_prefix FROM raw_orders LEFT JOIN raw_customers USING (customer_id)""")(
+    lambda spark, sf: mart.with_customers(_t(spark, sf)["orders"], _t(spark, sf)["customers"])
+    .select("order_id", "customer_unique_id", "customer_zip_code_prefix"))
+register("join_items", O.with_ctes(O.ADAPTER) + """
+SELECT order_id, order_item_id, product_id, seller_id, price FROM raw_orders LEFT JOIN raw_order_items USING (order_id)""")(
+    lambda spark, sf: mart.with_items(_t(spark, sf)["orders"], _t(spark, sf)["order_items"])
+    .select(*_ITEM_KEYS, "product_id", "seller_id", "price"))
+register("join_products", O.with_ctes(O.ADAPTER) + """
+SELECT order_id, order_item_id, good.product_id, product_category_name, product_weight_g
+FROM raw_order_items AS line LEFT JOIN raw_products AS good ON good.product_id = line.product_id""")(
+    lambda spark, sf: mart.with_products(_t(spark, sf)["order_items"], _t(spark, sf)["products"])
+    .select(*_ITEM_KEYS, "product_id", "product_category_name", "product_weight_g"))
+register("join_sellers", O.with_ctes(O.ADAPTER) + """
+SELECT order_id, order_item_id, shop.seller_id, seller_zip_code_prefix
+FROM raw_order_items AS line LEFT JOIN raw_sellers AS shop ON shop.seller_id = line.seller_id""")(
+    lambda spark, sf: mart.with_sellers(_t(spark, sf)["order_items"], _t(spark, sf)["sellers"])
+    .select(*_ITEM_KEYS, "seller_id", "seller_zip_code_prefix"))
+register("join_payments", O.with_ctes(O.ADAPTER) + """
+SELECT order_id, payment_sequential, payment_type, payment_value AS total_payment
+FROM raw_orders LEFT JOIN raw_payments USING (order_id)""")(
+    lambda spark, sf: mart.with_payments(_t(spark, sf)["orders"], _t(spark, sf)["payments"])
+    .select("order_id", "payment_sequential", "payment_type", "total_payment"))
+register("join_reviews", O.with_ctes(O.ADAPTER) + """
+SELECT order_id, review_score, review_creation_date FROM raw_orders LEFT JOIN raw_reviews USING (order_id)""")(
+    lambda spark, sf: mart.with_reviews(_t(spark, sf)["orders"], _t(spark, sf)["reviews"])
+    .select("order_id", "review_score", "review_creation_date"))
+
+
+def _placed_sql(entity: str, who: str) -> str:
+    return O.with_ctes(O.ADAPTER, O.ZIP_GEO) + f"""
+SELECT {who}_id, place.city AS {who}_city, place.geo_state AS {who}_state, place.lat AS {who}_lat, place.lng AS {who}_lng
+FROM {entity} LEFT JOIN zip_geo AS place ON place.geolocation_zip_code_prefix = {who}_zip_code_prefix"""
+
+
+register("join_customer_geo", _placed_sql("raw_customers", "customer"))(
+    lambda spark, sf: mart.with_geo(_t(spark, sf)["customers"].select("customer_id", "customer_zip_code_prefix"),
+                                    "customer_zip_code_prefix", _zip_geo(spark, sf), "customer"))
+register("join_seller_geo", _placed_sql("raw_sellers", "seller"))(
+    lambda spark, sf: mart.with_geo(_t(spark, sf)["sellers"].select("seller_id", "seller_zip_code_prefix"),
+                                    "seller_zip_code_prefix", _zip_geo(spark, sf), "seller"))
+register("orders_master", _final(O.BASE, "SELECT * FROM orders_master"))(_mart)
 
 
 @register("lookup_map", M0_SQL + """
@@ -384,10 +362,9 @@ def _lookup(spark, sf):
                            "_mean_price", "seller_mean_price").drop("price")
 
 # ============================================================ 2.7 filters
-register("delivered_only", _final(O.BASE, "SELECT * FROM orders_master WHERE order_status = 'delivered'",
-                                  MART_DOUBLES, MART_INTS))(
+register("delivered_only", _final(O.BASE, "SELECT * FROM orders_master WHERE order_status = 'delivered'"))(
     lambda spark, sf: impute.delivered_only(_mart(spark, sf)))
-register("has_product", _final(M0_SQL, "SELECT * FROM m0", MART_DOUBLES, MART_INTS))(_m0)
+register("has_product", _final(M0_SQL, "SELECT * FROM m0"))(_m0)
 
 # ============================================================ 2.8 imputation
 
@@ -401,7 +378,7 @@ def _single(*blocks: str) -> str:
 _C = ["customer_lat", "customer_lng"]
 register("fill_coords", _final(_single(O.mean_level("m0", "a1", _C, "customer_city"),
                                        O.mean_level("a1", "a2", _C, "customer_state")),
-                               "SELECT * FROM a2", MART_DOUBLES, MART_INTS))(
+                               "SELECT * FROM a2"))(
     lambda spark, sf: impute.fill_coords(_m0(spark, sf)))
 _DAYS = ", ".join(f"floor(date_diff('microsecond', order_purchase_timestamp, {c}) / 86400000000.0) AS {d}"
                   for c, d in zip(O.DATES, O.DAYS))
@@ -413,24 +390,24 @@ register("fill_dates", _final(_single(f"b0 AS (SELECT *, {_DAYS} FROM m0)",
                                       O.mean_level("b2", "b3", O.DAYS, "seller_state"),
                                       O.mean_level("b3", "b4", O.DAYS, None),
                                       f"b5 AS (SELECT * EXCLUDE ({', '.join(O.DAYS)}) REPLACE ({_REDATE}) FROM b4)"),
-                              "SELECT * FROM b5", MART_DOUBLES, MART_INTS))(
+                              "SELECT * FROM b5"))(
     lambda spark, sf: impute.fill_dates(_m0(spark, sf)))
 register("fill_category", _final(_single(O.mode_level("m0", "c1", "product_category_name", "customer_unique_id"),
                                          O.mode_level("c1", "c2", "product_category_name", "seller_id"),
                                          O.mode_level("c2", "c3", "product_category_name", "seller_city"),
                                          O.mode_level("c3", "c4", "product_category_name", "seller_state")),
-                                 "SELECT * FROM c4", MART_DOUBLES, MART_INTS))(
+                                 "SELECT * FROM c4"))(
     lambda spark, sf: impute.fill_category(_m0(spark, sf)))
 register("fill_product_info", _final(_single(O.mean_level("m0", "p1", O.PINFO, "seller_id"),
                                              O.mean_level("p1", "p2", O.PINFO, "seller_city"),
                                              O.mean_level("p2", "p3", O.PINFO, "seller_state"),
                                              O.mean_level("p3", "p4", O.PINFO, None)),
-                                     "SELECT * FROM p4", MART_DOUBLES, MART_INTS))(
+                                     "SELECT * FROM p4"))(
     lambda spark, sf: impute.fill_product_info(_m0(spark, sf)))
 register("fill_dimensions", _final(_single(O.mean_level("m0", "x1", O.DIMS, "customer_unique_id"),
                                            O.mean_level("x1", "x2", O.DIMS, "customer_city"),
                                            O.mean_level("x2", "x3", O.DIMS, "customer_state")),
-                                   "SELECT * FROM x3", MART_DOUBLES, MART_INTS))(
+                                   "SELECT * FROM x3"))(
     lambda spark, sf: impute.fill_dimensions(_m0(spark, sf)))
 
 
@@ -446,7 +423,7 @@ register("fill_payment", _final(_single(
     "CASE WHEN m0.total_payment IS NULL THEN pm.pt ELSE m0.payment_type END AS payment_type, "
     "CASE WHEN m0.total_payment IS NULL THEN pm.ps ELSE m0.payment_sequential END AS payment_sequential, "
     "CASE WHEN m0.total_payment IS NULL THEN pm.pi ELSE m0.payment_installments END AS payment_installments"
-    ") FROM m0 CROSS JOIN pm)"), "SELECT * FROM y1", MART_DOUBLES, MART_INTS))(
+    ") FROM m0 CROSS JOIN pm)"), "SELECT * FROM y1"))(
     lambda spark, sf: impute.fill_payment(_m0(spark, sf)))
 register("fill_review", _final(_single(
     "r1 AS (SELECT *, review_score IS NULL AS rmask, CASE WHEN review_score IS NULL THEN "
@@ -458,8 +435,7 @@ register("fill_review", _final(_single(
     "r3 AS (SELECT *, CASE WHEN rmask AND (SELECT bool_or(rs2 IS NULL) FROM r2) THEN "
     "(CASE WHEN customer_state IS NOT NULL THEN avg(rs2) OVER (PARTITION BY customer_state) END) "
     "ELSE rs2 END AS rs3 FROM r2)"),
-    "SELECT * EXCLUDE (rmask, rs1, rs2, rs3) REPLACE (rs3 AS review_score) FROM r3",
-    MART_DOUBLES, MART_INTS))(
+    "SELECT * EXCLUDE (rmask, rs1, rs2, rs3) REPLACE (rs3 AS review_score) FROM r3"))(
     lambda spark, sf: impute.fill_review(_m0(spark, sf)))
 register("fill_review_masked", _final(_single(O.mean_level("m0", "q1", ["review_score"], "customer_unique_id"),
                                               O.mean_level("q1", "q2", ["review_score"], "customer_city"),
@@ -469,18 +445,17 @@ register("fill_review_masked", _final(_single(O.mean_level("m0", "q1", ["review_
 register("fill_review_replies", _final(_single(), """SELECT * REPLACE (
   CASE WHEN review_answer_timestamp IS NULL THEN order_delivered_customer_date ELSE review_creation_date END AS review_creation_date,
   CASE WHEN review_answer_timestamp IS NULL THEN order_delivered_customer_date + to_days(999) ELSE review_answer_timestamp END AS review_answer_timestamp),
-  CAST(review_comment_message IS NOT NULL AS INTEGER) AS has_review_message FROM m0""", MART_DOUBLES, IMPUTED_INTS))(
+  CAST(review_comment_message IS NOT NULL AS INTEGER) AS has_review_message FROM m0"""))(
     lambda spark, sf: impute.fill_review_replies(_m0(spark, sf)))
-register("impute_all", _final(O.IMPUTED, "SELECT * FROM imputed", MART_DOUBLES, IMPUTED_INTS))(
+register("impute_all", _final(O.IMPUTED, "SELECT * FROM imputed"))(
     lambda spark, sf: pipeline.imputed(spark, sf))
 
 # ============================================================ 2.9 features
 _FEAT_ON_MART = O.with_ctes(O.ADAPTER, O.ZIP_GEO, O.MART, O.features_cte("orders_master", "fm", None))
 
 
-def _feature_query(name: str, is_double: bool):
-    sql = _final(_FEAT_ON_MART, f"SELECT order_id, order_item_id, payment_sequential, {name} FROM fm",
-                 [name] if is_double else [], ["order_item_id", "payment_sequential"] + ([] if is_double else [name]))
+def _feature_query(name: str):
+    sql = _final(_FEAT_ON_MART, f"SELECT order_id, order_item_id, payment_sequential, {name} FROM fm")
 
     def fn(spark, sf):
         m = _mart(spark, sf)
@@ -491,15 +466,13 @@ def _feature_query(name: str, is_double: bool):
 
 for _n in ["order_approval_time_h", "order_delivery_time", "order_delay_time", "product_dimensions",
            "seller_delay", "seller_customer_distance", "delivery_review_time", "review_to_answer_time_h"]:
-    _feature_query(_n, _n in FEAT_EXTRA_DOUBLES)
+    _feature_query(_n)
 
-register("add_features", _final(O.FEATURED, "SELECT * FROM featured", FEATURED_DOUBLES, FEATURED_INTS))(
+register("add_features", _final(O.FEATURED, "SELECT * FROM featured"))(
     lambda spark, sf: pipeline.featured(spark, sf))
-register("drop_raw_cols", _final(O.FEATURED, "SELECT order_id, order_item_id, payment_sequential, "
-                                 "seller_delay FROM featured", ints=["order_item_id", "payment_sequential",
-                                                                     "seller_delay"]))(
-    lambda spark, sf: clean.drop_raw_cols(features.add_features(pipeline.imputed(spark, sf), drop_raw=False))
-    .select("order_id", "order_item_id", "payment_sequential", "seller_delay"))
+register("drop_raw_cols", O.with_ctes(O.ADAPTER, O.ZIP_GEO, O.MART, O.features_cte("orders_master", "fm", "kept"))
+         + "\nSELECT * FROM kept")(
+    lambda spark, sf: clean.drop_raw_cols(features.add_features(_mart(spark, sf), drop_raw=False)))
 
 # ============================================================ 2.10 order level
 _RAW_OL = O.with_ctes(O.ADAPTER, O.ZIP_GEO, O.MART, O.features_cte("orders_master", "fm", None),
@@ -511,9 +484,7 @@ def _raw_ol(spark, sf):
 
 
 def _agg_query(name: str, cols: list[str]):
-    d = [c for c in cols if c in OL_DOUBLES]
-    i = [c for c in cols if c in OL_INTS]
-    register(name, _final(_RAW_OL, f"SELECT order_id, {', '.join(cols)} FROM rol", d, i))(
+    register(name, _final(_RAW_OL, f"SELECT order_id, {', '.join(cols)} FROM rol"))(
         lambda spark, sf: _raw_ol(spark, sf).select("order_id", *cols))
 
 
@@ -524,7 +495,7 @@ _agg_query("agg_mode", list(orderlevel.MODE))
 _agg_query("agg_mean", list(orderlevel.MEAN))
 _agg_query("agg_sum", ["total_price"])
 _agg_query("bad_review", ["bad_review"])
-register("order_level", _final(O.ORDER_LEVEL_SQL, "SELECT * FROM order_level", OL_DOUBLES, OL_INTS))(_ol)
+register("order_level", _final(O.ORDER_LEVEL_SQL, "SELECT * FROM order_level"))(_ol)
 register("order_level_dedupe", O.with_ctes(
     O.ADAPTER, O.ZIP_GEO, O.MART, O.impute_ctes(), O.FEATURES,
     "dd AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY order_id, order_item_id "
@@ -533,18 +504,16 @@ register("order_level_dedupe", O.with_ctes(
     lambda spark, sf: pipeline.order_level(spark, sf, dedupe=True))
 
 # ============================================================ 2.11 encoding
-_STATUS_CASE = "CASE order_status " + " ".join(
-    f"WHEN '{k}' THEN {v}" for k, v in encode.STATUS_CODES.items()) + " END"
+_STATUS_CASE = ("CASE order_status WHEN 'delivered' THEN 6 WHEN 'shipped' THEN 5 WHEN 'canceled' THEN 4 "
+                "WHEN 'invoiced' THEN 3 WHEN 'processing' THEN 2 WHEN 'approved' THEN 1 WHEN 'created' THEN 0 END")
 register("label_encode", _final(O.BASE, f"SELECT DISTINCT order_id, {_STATUS_CASE} AS order_status "
-                                "FROM orders_master", ints=["order_status"]))(
+                                "FROM orders_master"))(
     lambda spark, sf: encode.label_encode(_mart(spark, sf).select("order_id", "order_status").distinct(),
                                           ["order_status"]))
 _DUMMY_SQL = ", ".join(f"CAST(coalesce({c} = '{v}', false) AS INTEGER) AS {c}_{v}"
                        for c in O.ONE_HOT_COLS for v in CATS[c][1:])
-register("one_hot", _final(O.ORDER_LEVEL_SQL, f"SELECT order_id, {_DUMMY_SQL} FROM order_level",
-                           ints=O.DUMMIES))(
-    lambda spark, sf: encode.one_hot(_ol(spark, sf).select("order_id", *O.ONE_HOT_COLS),
-                                     O.ONE_HOT_COLS, CATS))
+register("one_hot", _final(O.ORDER_LEVEL_SQL, f"SELECT order_id, {_DUMMY_SQL} FROM order_level"))(
+    lambda spark, sf: encode.one_hot(_ol(spark, sf).select("order_id", *O.ONE_HOT_COLS), O.ONE_HOT_COLS))
 register("frequency_encode", O.ORDER_LEVEL_SQL + "\nSELECT o.order_id, " + ", ".join(
     f"f{i}.n AS {c}_freq" for i, c in enumerate(O.FREQ_COLS)) + " FROM order_level o " + " ".join(
     f"LEFT JOIN (SELECT {c} AS v, count(*) AS n FROM order_level WHERE {c} IS NOT NULL GROUP BY 1) f{i} "
@@ -557,22 +526,20 @@ register("zscore", _final(
                                               f"count(DISTINCT {c}) AS nd_{c}" for c in _Z) + " FROM order_level)"),
     "SELECT o.order_id, o.bad_review, " + ", ".join(
         f"CASE WHEN zst.nd_{c} > 2 THEN (CAST(o.{c} AS DOUBLE) - zst.mu_{c}) / (zst.sd_{c} + 1e-10) "
-        f"ELSE CAST(o.{c} AS DOUBLE) END AS {c}" for c in _Z) + " FROM order_level o CROSS JOIN zst",
-    _Z, ["bad_review"]))(
+        f"ELSE CAST(o.{c} AS DOUBLE) END AS {c}" for c in _Z) + " FROM order_level o CROSS JOIN zst"))(
     lambda spark, sf: encode.zscore(_ol(spark, sf).select("order_id", "bad_review", *_Z), binary={"bad_review"}))
-register("feature_table", _final(O.FEATURE_TABLE_SQL, "SELECT * FROM feature_table", O.SCALED,
-                                 O.DUMMIES + ["bad_review"]))(
-    lambda spark, sf: pipeline.feature_table(spark, sf, categories=CATS))
+register("feature_table", _final(O.FEATURE_TABLE_SQL, "SELECT * FROM feature_table"))(
+    lambda spark, sf: pipeline.feature_table(spark, sf))
 register("drop_ids_target", _final(O.FEATURE_TABLE_SQL, "SELECT * EXCLUDE (order_id, customer_unique_id, "
-                                   "product_id, bad_review) FROM feature_table", O.SCALED, O.DUMMIES))(
-    lambda spark, sf: clean.drop_ids_target(pipeline.feature_table(spark, sf, categories=CATS)))
+                                   "product_id, bad_review) FROM feature_table"))(
+    lambda spark, sf: clean.drop_ids_target(pipeline.feature_table(spark, sf)))
 
 # ============================================================ 2.12 model
 register("kfold", O.ORDER_LEVEL_SQL + f"\nSELECT order_id, {O.fold_sql('order_id')} AS fold FROM order_level")(
     lambda spark, sf: ml.add_folds(_ol(spark, sf)).select("order_id", "fold"))
 register("class_weight", _final(O.ORDER_LEVEL_SQL, "SELECT bad_review, count(*) AS n_rows, "
                                 "(SELECT count(*) FROM order_level) / (2.0 * count(*)) AS weight "
-                                "FROM order_level GROUP BY 1", ["weight"], ["bad_review"]))(
+                                "FROM order_level GROUP BY 1"))(
     lambda spark, sf: ml.class_weights(_ol(spark, sf)))
 
 # A fixed prediction rule (late delivery -> bad review) makes the metrics
@@ -598,32 +565,32 @@ def _rule_pred(spark, sf):
     return ol.withColumn("prediction", (F.col("order_delay_time") > 0).cast("int"))
 
 
-register("metrics", _final(_RULE_SQL, "SELECT * FROM mf", _M, ["fold", "tp", "fp", "tn", "fn"]))(
+register("metrics", _final(_RULE_SQL, "SELECT * FROM mf"))(
     lambda spark, sf: ml.confusion_metrics(_rule_pred(spark, sf), by=["fold"]))
-register("avg_metrics", _final(_RULE_SQL, "SELECT " + ", ".join(f"avg({m}) AS {m}" for m in _M) + " FROM mf", _M))(
+register("avg_metrics", _final(_RULE_SQL, "SELECT " + ", ".join(f"avg({m}) AS {m}" for m in _M) + " FROM mf"))(
     lambda spark, sf: ml.average_metrics(ml.confusion_metrics(_rule_pred(spark, sf), by=["fold"])))
 
 
 def _ft(spark, sf):
-    return pipeline.feature_table(spark, sf, categories=CATS)
+    return pipeline.feature_table(spark, sf)
 
 
 @register("grid_search")
 def _grid(spark, sf):
-    data = ml.assemble(ml.add_folds(_ft(spark, sf)))
+    data = ml.assemble(ml.add_folds(_ft(spark, sf)), null_as=0.0)
     _, scores = ml.grid_search(data.where(F.col("fold") != 0).drop("fold"))
     return scores
 
 
 @register("predict")
 def _predict(spark, sf):
-    data = ml.assemble(ml.add_folds(_ft(spark, sf)))
+    data = ml.assemble(ml.add_folds(_ft(spark, sf)), null_as=0.0)
     model = ml.fit(data.where(F.col("fold") != 0), 1.0)
     return ml.predict(model, data.where(F.col("fold") == 0)).select(
         "order_id", "bad_review", F.col("prediction").cast("int").alias("prediction"))
 
 
-register("run_cv")(lambda spark, sf: ml.run_cv(_ft(spark, sf)))
+register("run_cv")(lambda spark, sf: ml.run_cv(_ft(spark, sf), null_as=0.0))
 
 
 # ============================================================ contract
@@ -645,7 +612,7 @@ def _training_data():
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the model-ready feature table (#75) on sf0.001."""
     session.use_local_scratch(spark)
-    return pipeline.feature_table(spark, SMOKE_DIR, categories=CATS)
+    return pipeline.feature_table(spark, SMOKE_DIR)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from ordermart.operators import ml, profile  # noqa: E402
 from ordermart.plans import pipeline  # noqa: E402
-from ordermart.plans.oracle import CATEGORIES  # noqa: E402
 from ordermart.plans.session import build_session, use_local_scratch  # noqa: E402
 
 
@@ -47,7 +46,7 @@ def main() -> None:
         run(pipeline.order_level(spark, sf_dir))
 
     def q_feature_table():
-        run(pipeline.feature_table(spark, sf_dir, categories=CATEGORIES))
+        run(pipeline.feature_table(spark, sf_dir))
 
     def q_profile():
         ol = pipeline.order_level(spark, sf_dir)
@@ -56,8 +55,8 @@ def main() -> None:
         run(profile.correlation_matrix(ol, cols))
 
     def q_logreg_fit():
-        ft = pipeline.feature_table(spark, sf_dir, categories=CATEGORIES)
-        data = ml.assemble(ml.add_folds(ft))
+        ft = pipeline.feature_table(spark, sf_dir)
+        data = ml.assemble(ml.add_folds(ft), null_as=0.0)
         ml.fit(data.where(F.col("fold") != 0), 1.0)
 
     timings = {}

@@ -36,6 +36,7 @@ def drop_geo_cols(df: DataFrame, prefix: str) -> DataFrame:
     return df.drop(f"{prefix}_city", f"{prefix}_state")
 
 
+# The columns that the features replace.
 RAW_TIME_AND_GEO_COLS = [
     "order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
     "order_delivered_customer_date", "order_estimated_delivery_date",
@@ -59,10 +60,6 @@ def drop_ids_target(df: DataFrame) -> DataFrame:
     return df.drop(TARGET, *ID_COLS)
 
 
-def feature_columns(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in set(ID_COLS) | {TARGET}]
-
-
 def status_rows(df: DataFrame, statuses=("canceled", "unavailable")) -> DataFrame:
     """#25: rows with the given order statuses."""
     return df.where(F.col("order_status").isin(*statuses))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -116,7 +114,3 @@ def zscore(df: DataFrame, cols: list[str] | None = None, binary: set[str] = froz
         else:
             scaled[c] = x
     return df.withColumns(scaled)
-
-
-def safe_name(s: str) -> str:
-    return re.sub(r"[^0-9A-Za-z_]", "_", s)

@@ -40,14 +40,15 @@ def add_missing_zips(zip_geo: DataFrame, entities: DataFrame, zip_col: str,
 
     ``NOT IN`` semantics on a NULL-free key: NULL entity zips are skipped,
     then a left-anti join. One zip in two cities keeps the smallest
-    (city, state) so the key stays unique (T6d). Position = the city's mean
+    (city, state), NULLs last, so the key stays unique (T6d). Position = the city's mean
     over the dimension as it is at this step; unknown city -> NULL (T6c).
     """
     new = (entities.where(F.col(zip_col).isNotNull())
            .select(F.col(zip_col).alias(ZIP), F.col(city_col).alias(CITY),
                    F.col(state_col).alias(STATE))
            .join(zip_geo.select(ZIP), ZIP, "left_anti")
-           .groupBy(ZIP).agg(F.min(F.struct(CITY, STATE)).alias("_cs"))
+           .groupBy(ZIP).agg(F.min(F.struct(F.col(CITY).isNull().alias("_no_city"), CITY,
+                                            F.col(STATE).isNull().alias("_no_state"), STATE)).alias("_cs"))
            .select(ZIP, F.col("_cs." + CITY).alias(CITY), F.col("_cs." + STATE).alias(STATE)))
     pos = city_positions(zip_geo)
     added = (new.join(pos, new[CITY] == pos[CITY], "left")

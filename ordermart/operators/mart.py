@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from . import geo
 from .clean import drop_geo_cols
 
+# The mart's columns.
 MART_COLS = [
     "order_id", "customer_unique_id", "customer_city", "customer_state", "customer_lat",
     "customer_lng", "order_status", "order_purchase_timestamp", "order_approved_at",
@@ -37,7 +38,7 @@ PRODUCT_ATTRS = ["product_category_name", "product_name_lenght", "product_descri
                  "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"]
 
 
-def _with_geo(df: DataFrame, zip_col: str, zip_geo: DataFrame, prefix: str) -> DataFrame:
+def with_geo(df: DataFrame, zip_col: str, zip_geo: DataFrame, prefix: str) -> DataFrame:
     """#39/#40: left join an entity to the zip dimension, renaming the geo
     columns to ``{prefix}_city/_state/_lat/_lng``."""
     z = zip_geo.select(F.col(geo.ZIP).alias("_zip"),
@@ -48,42 +49,58 @@ def _with_geo(df: DataFrame, zip_col: str, zip_geo: DataFrame, prefix: str) -> D
     return df.join(z, df[zip_col] == z["_zip"], "left").drop("_zip", zip_col)
 
 
+def with_customers(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """#33: N:1, every order kept; the join key goes."""
+    return orders.join(customers, "customer_id", "left").drop("customer_id")
+
+
+def with_products(items: DataFrame, products: DataFrame) -> DataFrame:
+    """#35: N:1; ``product_id`` becomes the product table's, NULL without a match."""
+    p = products.select(F.col("product_id").alias("_p_id"), *PRODUCT_ATTRS)
+    return items.join(p, items["product_id"] == p["_p_id"], "left") \
+                .drop("product_id").withColumnRenamed("_p_id", "product_id")
+
+
+def with_sellers(items: DataFrame, sellers: DataFrame) -> DataFrame:
+    """#36: N:1; ``seller_id`` becomes the seller table's, NULL without a match."""
+    s = sellers.withColumnRenamed("seller_id", "_s_id")
+    return items.join(s, items["seller_id"] == s["_s_id"], "left") \
+                .drop("seller_id").withColumnRenamed("_s_id", "seller_id")
+
+
+def with_items(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """#34: fan-out on the order key."""
+    return orders.join(items, "order_id", "left")
+
+
+def with_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:
+    """#37: fan-out on the order key; the value is named ``total_payment``."""
+    pay = payments.select("order_id", "payment_sequential", "payment_type", "payment_installments",
+                          F.col("payment_value").alias("total_payment"))
+    return orders.join(pay, "order_id", "left")
+
+
+def with_reviews(orders: DataFrame, reviews: DataFrame) -> DataFrame:
+    """#38: fan-out on the order key."""
+    rev = reviews.select("order_id", "review_score", "review_comment_title", "review_comment_message",
+                         "review_creation_date", "review_answer_timestamp")
+    return orders.join(rev, "order_id", "left")
+
+
 def orders_master(orders: DataFrame, customers: DataFrame, items: DataFrame,
                   products: DataFrame, sellers: DataFrame, payments: DataFrame,
                   reviews: DataFrame, zip_geo: DataFrame) -> DataFrame:
     """#41: the 38-column mart, all joins LEFT OUTER as in the view."""
-    cust = _with_geo(drop_geo_cols(customers, "customer")
-                     .select("customer_id", "customer_unique_id", "customer_zip_code_prefix"),
-                     "customer_zip_code_prefix", zip_geo, "customer")
-    sell = _with_geo(drop_geo_cols(sellers, "seller")
-                     .select(F.col("seller_id").alias("_s_id"), "seller_zip_code_prefix"),
-                     "seller_zip_code_prefix", zip_geo, "seller")
-    prod = products.select(F.col("product_id").alias("_p_id"), *PRODUCT_ATTRS)
-
-    # #35, #36: item-side lookups (N:1), p.product_id / s.seller_id as in the view.
-    it = items.select("order_id", "order_item_id", F.col("product_id").alias("_oi_product"),
-                      F.col("seller_id").alias("_oi_seller"), "shipping_limit_date",
+    cust = with_geo(drop_geo_cols(customers, "customer")
+                    .select("customer_id", "customer_unique_id", "customer_zip_code_prefix"),
+                    "customer_zip_code_prefix", zip_geo, "customer")
+    sell = with_geo(drop_geo_cols(sellers, "seller").select("seller_id", "seller_zip_code_prefix"),
+                    "seller_zip_code_prefix", zip_geo, "seller")
+    it = items.select("order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
                       "price", "freight_value")
-    it = (it.join(prod, it["_oi_product"] == prod["_p_id"], "left")
-            .join(sell, it["_oi_seller"] == sell["_s_id"], "left")
-            .select("order_id", "order_item_id", F.col("_p_id").alias("product_id"),
-                    *PRODUCT_ATTRS, F.col("_s_id").alias("seller_id"), "seller_city",
-                    "seller_state", "seller_lat", "seller_lng", "shipping_limit_date",
-                    "price", "freight_value"))
-
-    # #33: orders -> customers (N:1).
-    o = orders.join(cust, "customer_id", "left").drop("customer_id")
-
-    pay = payments.select("order_id", "payment_sequential", "payment_type",
-                          "payment_installments", F.col("payment_value").alias("total_payment"))
-    rev = reviews.select("order_id", "review_score", "review_comment_title",
-                         "review_comment_message", "review_creation_date",
-                         "review_answer_timestamp")
-    # #34, #37, #38: order-grain fan-out on one key.
-    m = (o.join(it, "order_id", "left")
-          .join(pay, "order_id", "left")
-          .join(rev, "order_id", "left"))
-    return m.select(*MART_COLS)
+    it = with_sellers(with_products(it, products), sell)
+    m = with_items(with_customers(orders, cust), it)
+    return with_reviews(with_payments(m, payments), reviews).select(*MART_COLS)
 
 
 def build_mart(tables: dict[str, DataFrame]) -> DataFrame:

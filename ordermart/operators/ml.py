@@ -23,7 +23,6 @@ from .clean import ID_COLS, TARGET
 
 # The reference's search space and settings.
 GRID_C = [0.1, 1.0, 10.0]
-SOLVERS = ["lbfgs", "saga"]  # same optimum for an L2 objective; kept for the record
 N_SPLITS = 5
 SEED = 42
 MAX_ITER = 50000
@@ -44,36 +43,43 @@ def class_weights(df: DataFrame, label: str = TARGET) -> DataFrame:
     return counts.withColumn("weight", total / (F.lit(2.0) * F.col("n_rows")))
 
 
-def with_weights(df: DataFrame, label: str = TARGET, col: str = "weight") -> DataFrame:
-    w = class_weights(df, label).select(label, F.col("weight").alias(col))
-    return df.join(F.broadcast(w), label, "left")  # one row per class
+def label_counts(df: DataFrame, *by: str, label: str = TARGET) -> dict[tuple, int]:
+    """Rows per (by..., label): one small aggregate, one row per class and fold."""
+    return {tuple(r)[:-1]: r["n"] for r in df.groupBy(*by, label).agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
-def assemble(df: DataFrame, feature_cols: list[str] | None = None) -> DataFrame:
+def with_weights(df: DataFrame, counts: dict[object, int], label: str = TARGET, col: str = "weight") -> DataFrame:
+    """Balanced weights n / (2 * n_c) as a literal expression, no join."""
+    n, weight = sum(counts.values()), F.lit(None).cast("double")
+    for value, n_c in counts.items():
+        weight = F.when(F.col(label).eqNullSafe(F.lit(value)), F.lit(n / (2.0 * n_c))).otherwise(weight)
+    return df.withColumn(col, weight)
+
+
+def assemble(df: DataFrame, feature_cols: list[str] | None = None, null_as: float | None = None) -> DataFrame:
     """#12: feature vector = every column but ids and target.
 
-    A NULL feature (e.g. a distance to a seller without coordinates) is set
-    to 0.0 -- the column mean after z-scoring -- so no row is dropped and
-    the fit never sees NaN.
+    A NULL feature (e.g. a distance to a seller without coordinates) is an
+    error when the result is computed; ``null_as`` sets a value instead (0.0
+    is the column mean after z-scoring).
     """
     cols = feature_cols or [c for c in df.columns
                             if c not in set(ID_COLS) | {TARGET, "fold", "inner_fold", "weight"}]
-    df = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols})
+    if null_as is not None:
+        df = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(null_as)) for c in cols})
     return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="error").transform(df)
 
 
-def fit(train: DataFrame, C: float, label: str = TARGET):
+def fit(train: DataFrame, C: float, label: str = TARGET, counts: dict[object, int] | None = None):
     """One L2 fit equal to the weighted, C-scaled objective (T23):
     regParam = 1 / (C * n_train) with balanced weights summing to n, the
-    weights recomputed on this training part."""
-    # one materialized copy serves the count, the weights and every
-    # optimizer pass (instead of recomputing the feature pipeline)
-    train = cut_lineage(with_weights(train, label))
-    n = train.count()
+    weights of this training part. ``counts``: its rows per label, if known.
+    The optimizer keeps its own blocks of the rows between passes."""
+    counts = counts or {k[0]: n for k, n in label_counts(train, label=label).items()}
     lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight",
-                            regParam=1.0 / (C * max(n, 1)), elasticNetParam=0.0,
+                            regParam=1.0 / (C * max(sum(counts.values()), 1)), elasticNetParam=0.0,
                             standardization=False, maxIter=MAX_ITER, tol=TOL)
-    return lr.fit(train)
+    return lr.fit(with_weights(train, counts, label))
 
 
 def auc(model, data: DataFrame, label: str = TARGET) -> float:
@@ -88,26 +94,34 @@ def grid_search(train: DataFrame, grid=GRID_C, k: int = N_SPLITS, label: str = T
     """#78: inner k-fold over C (another hash salt), score ROC-AUC, refit
     the best on the whole training part. Returns (best model, scores).
 
-    The training part is materialized once (reliable checkpoint) so the
-    k x |grid| fits read it instead of recomputing the feature pipeline;
-    the fits are submitted from a few driver threads, each a distributed
-    job.
+    The training part is materialized once, so the k x |grid| fits read it
+    instead of recomputing the feature pipeline; the class counts of all
+    inner parts come from one aggregate; the fits are submitted from a few
+    driver threads, each a distributed job.
     """
     spark = train.sparkSession
     train = cut_lineage(add_folds(train, k=k, salt="inner", col="inner_fold"), True)
+    rows = label_counts(train, "inner_fold", label=label)
+
+    def counts(without: int | None = None) -> dict[object, int]:
+        out: dict[object, int] = {}
+        for (fold, value), n in rows.items():
+            if fold != without:
+                out[value] = out.get(value, 0) + n
+        return out
 
     def score(task):
         C, f = task
-        m = fit(train.where(F.col("inner_fold") != f), C, label)
+        m = fit(train.where(F.col("inner_fold") != f), C, label, counts(f))
         return C, auc(m, train.where(F.col("inner_fold") == f), label)
 
     tasks = [(float(C), f) for C in grid for f in range(k)]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         results = list(pool.map(score, tasks))
-    rows = [(C, float(sum(a for c, a in results if c == C) / k)) for C in map(float, grid)]
-    best_c = max(rows, key=lambda r: (r[1], -r[0]))[0]
-    scores = spark.createDataFrame(rows, "C double, mean_auc double")
-    return fit(train.drop("inner_fold"), best_c, label), scores
+    means = [(C, float(sum(a for c, a in results if c == C) / k)) for C in map(float, grid)]
+    best_c = max(means, key=lambda r: (r[1], -r[0]))[0]
+    scores = spark.createDataFrame(means, "C double, mean_auc double")
+    return fit(train.drop("inner_fold"), best_c, label, counts()), scores
 
 
 def predict(model, data: DataFrame) -> DataFrame:
@@ -138,7 +152,7 @@ def confusion_metrics(pred: DataFrame, label: str = TARGET, prediction: str = "p
                     ((recall + tnr) / 2).alias("roc_auc_hard"))
 
 
-METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc_hard"]
+METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc_hard", "roc_auc_score"]
 
 
 def average_metrics(per_fold: DataFrame) -> DataFrame:
@@ -146,15 +160,22 @@ def average_metrics(per_fold: DataFrame) -> DataFrame:
     return per_fold.agg(*[F.avg(m).alias(m) for m in METRICS if m in per_fold.columns])
 
 
-def run_cv(table: DataFrame, k: int = N_SPLITS, grid=GRID_C, label: str = TARGET) -> DataFrame:
-    """#82: outer folds -> inner grid search -> predict -> metrics per fold."""
-    data = cut_lineage(assemble(add_folds(table, k=k)).select("order_id", label, "fold", "features"), True)
+def cv_folds(table: DataFrame, k: int = N_SPLITS, grid=GRID_C, label: str = TARGET,
+             null_as: float | None = None) -> DataFrame:
+    """Outer folds -> inner grid search -> predict -> metrics, a row per fold.
+    Runs its jobs when called."""
+    data = cut_lineage(assemble(add_folds(table, k=k), null_as=null_as).select("order_id", label, "fold", "features"), True)
     out = None
     for f in range(k):
         model, _ = grid_search(data.where(F.col("fold") != f).drop("fold"), grid, k, label)
         test = data.where(F.col("fold") == f)
-        pred = predict(model, test)
-        m = confusion_metrics(pred, label).withColumn("fold", F.lit(f)) \
+        m = confusion_metrics(predict(model, test), label).withColumn("fold", F.lit(f)) \
             .withColumn("roc_auc_score", F.lit(auc(model, test, label)))
         out = m if out is None else out.unionByName(m)
     return out
+
+
+def run_cv(table: DataFrame, k: int = N_SPLITS, grid=GRID_C, label: str = TARGET,
+           null_as: float | None = None) -> DataFrame:
+    """#82: the metrics of ``cv_folds`` averaged over the outer folds, one row."""
+    return average_metrics(cv_folds(table, k, grid, label, null_as))

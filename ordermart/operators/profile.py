@@ -36,21 +36,27 @@ def top_zips(zip_geo: DataFrame, n: int = 20) -> DataFrame:
 
 
 def describe_frame(df: DataFrame) -> DataFrame:
-    """#6: the column list with types and the frame's row count (the shape a
-    printed frame ends with). The column rows come from the schema (bounded
-    by the column count); the count is a scalar subquery over the whole
-    frame, so no row reaches the driver."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    cols = df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
+    """#6: the column list with types, whether NULLs are possible, and the
+    frame's row count (the shape a printed frame ends with). The column rows
+    come from the schema (bounded by the column count); the count is a scalar
+    subquery over the whole frame, so no row reaches the driver."""
+    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
+    cols = df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string, nullable boolean")
     return cols.withColumn("n_rows", df.agg(F.count(F.lit(1))).scalar())
 
 
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """#6: the first ``n`` rows by the frame's columns in order (a top-k, so reruns agree)."""
+    return df.orderBy(*[F.col(f"`{c}`").asc_nulls_last() for c in df.columns]).limit(n)
+
+
 def null_counts(df: DataFrame) -> DataFrame:
     """#23: NULLs per column, long form (column_name, n_null), one pass."""
     wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
     return wide.unpivot([], df.columns, "column_name", "n_null")
 
 
+# The columns whose missing rows are listed.
 ROWS_MISSING_COLS = ["order_approved_at", "order_delivered_customer_date", "customer_lat",
                      "product_category_name", "product_weight_g", "review_score",
                      "total_payment", "product_name_lenght", "product_description_lenght"]

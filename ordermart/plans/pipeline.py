@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import encode, features, impute, mart, orderlevel
-from ..sources import fixtures
 from .session import cut_lineage
 
 # The encoding choices of the reference pipeline.
@@ -14,6 +13,9 @@ FREQ_COLS = ["customer_city", "most_common_seller_city", "most_common_product_ca
 
 
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The fixture's tables; only the functions over an ``sf_dir`` need them."""
+    from ..sources import fixtures
+
     return fixtures.load(spark, sf_dir)
 
 
@@ -50,8 +52,15 @@ def encode_and_scale(ol: DataFrame, one_hot_cols=ONE_HOT_COLS, freq_cols=FREQ_CO
     return encode.zscore(enc, binary=binary)
 
 
+def preprocess(m: DataFrame, categories: dict[str, list] | None = None, checkpoint: bool = True) -> DataFrame:
+    """#75 on a mart of the caller's (the 38 columns of ``mart.MART_COLS``): the
+    model-ready table. Imputing, coding and scaling run jobs and write tables
+    while the plan is built."""
+    ol = orderlevel.order_level(features.add_features(impute.impute_all(m)))
+    return encode_and_scale(cut_lineage(ol, checkpoint), categories=categories)
+
+
 def feature_table(spark: SparkSession, sf_dir: str, categories: dict[str, list] | None = None,
                   checkpoint: bool = True) -> DataFrame:
-    """#75: the reference's ``preprocess`` as one lazy plan."""
-    return encode_and_scale(order_level(spark, sf_dir, checkpoint=checkpoint),
-                            categories=categories)
+    """#75 on the mart of the fixture's tables."""
+    return preprocess(orders_master(spark, sf_dir), categories, checkpoint)
