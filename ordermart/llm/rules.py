@@ -9,6 +9,7 @@ words are left is rejected.
 Cases. NULL or empty text: no words, so it fails the base rules. NULL host:
 a host of its own. Repeated rows: each is judged alike; copies of a text
 count as one document, so copying a document never makes its lines frequent.
+Edited copies are distinct texts: a line that enough of them share is removed.
 An empty table gives an empty result. Other columns are kept as they are.
 """
 
@@ -27,10 +28,10 @@ MAX_REPEAT_PERCENT = 20
 WINDOW = 5
 
 #: A line is above the limits if at least this many distinct documents of
-#: its host hold it, and at least this share of them. Lines of more words
-#: are paragraphs: their copies are the near-duplicate operator's matter.
+#: its host hold it, and at least this share of them. Lines of every length count.
 MIN_DOCS = 5
 MIN_SHARE = 0.005
+#: Read by OP9's SQL and the pipeline test only, which leave longer lines out.
 MAX_LINE_WORDS = 25
 
 
@@ -90,12 +91,12 @@ def _lines(text: Column) -> Column:
         lambda x: F.struct(F.xxhash64(C.normal_line(x)).alias("h"), C.n_words(x).alias("w")))
 
 
-def frequent_lines(lines: DataFrame, min_docs: int, min_share: float, max_line_words: int) -> DataFrame:
+def frequent_lines(lines: DataFrame, min_docs: int, min_share: float) -> DataFrame:
     """(host, h) of lines above the limits. ``lines`` has host, txt (a hash
     of the text) and lines. Both counts are of distinct texts, in two steps
     of partial aggregates, so no host or line is gathered in one task."""
     hosts = lines.select("host", "txt").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
-    found = (lines.select("host", "txt", F.explode("lines").alias("l")).where(F.col("l.w") <= max_line_words)
+    found = (lines.select("host", "txt", F.explode("lines").alias("l"))
              .select("host", "txt", F.col("l.h").alias("h")).distinct()
              .groupBy("host", "h").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs))
     return (found.join(hosts.withColumnRenamed("host", "of_host"), F.col("host").eqNullSafe(F.col("of_host")))
@@ -103,8 +104,7 @@ def frequent_lines(lines: DataFrame, min_docs: int, min_share: float, max_line_w
 
 
 def judge(docs: DataFrame, text: str = "text", host: str = "source", carry: tuple[str, ...] = (),
-          min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE,
-          max_line_words: int = MAX_LINE_WORDS) -> DataFrame:
+          min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
     """One row per document: key (of its content), the ``carry`` columns, the
     base figures, removed (hashes of removed lines), n_kept_words, base_failed,
     kept. Writes one narrow table; the texts are read once."""
@@ -113,12 +113,11 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", carry: tupl
         C.row_key(t, s).alias("key"), s.alias("host"), F.xxhash64(t).alias("txt"),
         F.struct(*[F.col(f"`{c}`") for c in carry], F.lit(0).alias("_")).alias("carried"),
         base(t).alias("b"), _lines(t).alias("lines")))
-    limit = frequent_lines(table, min_docs, min_share, max_line_words)
+    limit = frequent_lines(table, min_docs, min_share)
     removed = (table.select("key", "host", F.explode(F.transform("lines", lambda l: l["h"])).alias("h"))
                .join(limit.withColumnsRenamed({"host": "lim_host", "h": "lim_h"}),
                      (F.col("h") == F.col("lim_h")) & F.col("host").eqNullSafe(F.col("lim_host")), "left_semi")
                .groupBy(F.col("key").alias("rkey")).agg(F.collect_set("h").alias("removed")))
-    # short lines only: a long line's hash is never among the removed
     words_left = F.aggregate(
         F.filter("lines", lambda l: ~F.array_contains("removed", l["h"])),
         F.lit(0).cast("long"), lambda a, l: a + l["w"])

@@ -46,6 +46,16 @@ def test_rules(docs, none):
     assert rules.judge(none).count() == rules.clean(none).count() == 0
 
 
+def test_rules_remove_long_lines(spark):
+    notice = " ".join(f"n{k}" for k in range(60))
+    rows = [(i, " ".join(f"d{i}w{k}" for k in range(40)) + "\n" + notice.upper(), "s") for i in range(5)] + [(5, notice, "s"), (6, notice, "t")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: r for r in rules.judge(df, carry=("doc_id",)).select("carried.doc_id", "n_kept_words", "kept").collect()}
+    assert all(got[i].n_kept_words == 40 and got[i].kept for i in range(5))
+    assert got[5].n_kept_words == 0 and not got[5].kept and got[6].n_kept_words == 60 and got[6].kept
+    assert {r.doc_id: r.text for r in rules.clean(df).collect()} == {i: t.split("\n")[0] for i, t, _ in rows if i != 5}
+
+
 def test_near_duplicates(docs, none):
     got = [tuple(r) for r in minhash.near_duplicates(docs, width=4).collect()]
     by = {r[0]: r for r in got if r[0] is not None}
