@@ -21,9 +21,11 @@ probability (1 - s**4)**28: 4e-7 at 0.8.
 
 Cases. NULL or empty text, or no word: an empty set, linked with nothing.
 Fewer than ``width`` words: the whole sequence is one shingle. NULL doc_id:
-takes part in links but is never a class's id unless it is alone (then NULL).
-Equal doc_ids are one node; repeated rows are equal sets. Empty table: empty
-result. Extra columns are not read.
+takes part in links but is never a class's id unless the class has no other
+(then NULL, and the copies of one of its texts are kept). Rows of one doc_id
+with different texts are judged each by its own text, so that no text goes
+without one like it being kept; repeated rows are equal sets. Empty table:
+empty result. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -182,12 +184,19 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _node(doc_id: Column, text: Column) -> Column:
-    return F.coalesce(doc_id, -1 - F.xxhash64(text).bitwiseAND(F.lit((1 << 62) - 1)))
+    """A row's node, by its id and content: no two sets have one node."""
+    return F.xxhash64(doc_id, text)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
                     percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept (the row has its class's id)."""
+    return _judged(docs, doc_id, text, width, percent, bands, rows).drop("node")
+
+
+def _judged(docs: DataFrame, doc_id: str, text: str, width: int = WIDTH, percent: int = PERCENT,
+            bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``near_duplicates`` with the rows' nodes."""
     i, t = F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`")
     base = docs.select(i.alias("doc_id"), _node(i, t).alias("node"), t.alias("text"))
     sig = cut_lineage(signed(base, width, bands, rows))
@@ -280,19 +289,28 @@ def _classes(sig: DataFrame, reps: DataFrame, labels: DataFrame) -> DataFrame:
               .select(F.col("h1").alias("r1"), F.col("h2").alias("r2"), "rn", "root"))
     rows = sig.select("doc_id", "n", "h1", "h2", "node")
     placed = (rows.join(rooted, (F.col("h1") == F.col("r1")) & (F.col("h2") == F.col("r2")) & (F.col("n") == F.col("rn")), "left")
-              .select("doc_id", "n", F.coalesce("root", "node").alias("root"), F.col("root").isNull().alias("alone")))
+              .select("doc_id", "node", "n", F.coalesce("root", "node").alias("root"), F.col("root").isNull().alias("alone")))
     placed = cut_lineage(placed)
-    ids = (placed.where(~F.col("alone")).groupBy(F.col("root").alias("id_root")).agg(F.min("doc_id").alias("smallest")))
+    ids = (placed.where(~F.col("alone")).groupBy(F.col("root").alias("id_root"))
+           .agg(F.min("doc_id").alias("smallest"), F.min("node").alias("first_node")))
     return (placed.join(ids, (F.col("root") == F.col("id_root")) & ~F.col("alone"), "left")
             .withColumn("component_id", F.when(F.col("alone"), F.col("doc_id")).otherwise(F.col("smallest")))
-            .select("doc_id", F.col("n").alias("n_shingles"), "component_id",
-                    F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+            .select("doc_id", "node", F.col("n").alias("n_shingles"), "component_id",
+                    (F.col("doc_id").eqNullSafe(F.col("component_id"))
+                     & (F.col("alone") | F.col("smallest").isNotNull() | (F.col("node") == F.col("first_node")))).alias("kept")))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents, all columns, one document of each class of near duplicates.
-    Documents without a shingle or without an id stay (there is nothing to
-    link, or to name, them by); rows with one id are one document."""
-    classes = near_duplicates(docs, doc_id, text, **options)
-    gone = classes.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col(f"`{doc_id}`").cast("long") == F.col("gone_id"), "left_anti")
+    Documents without a shingle stay (there is nothing to link them by); equal
+    texts of one id are one document, and of a class without ids one row stays."""
+    i, t = F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`")
+    gone = cut_lineage(_judged(docs, doc_id, text, **options).where(~F.col("kept")).select(F.col("node").alias("gone")).distinct())
+
+    def left(some: Column) -> DataFrame:
+        rows = C.packed(docs.where(some)).withColumn("node", _node(F.col(f"row.`{doc_id}`").cast("long"), F.col(f"row.`{text}`")))
+        return rows.join(gone, F.col("node") == F.col("gone"), "left_anti")
+
+    nameless = i.isNull() & (C.n_words(t) > 0)
+    return (left(~nameless).select("row").unionByName(left(nameless).dropDuplicates(["node"]).select("row"))
+            .select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))

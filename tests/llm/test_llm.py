@@ -64,6 +64,17 @@ def test_near_duplicates(docs, none):
     assert minhash.near_duplicates(none).count() == minhash.keep_one(none).count() == 0
 
 
+def test_one_kept_of_repeated_and_missing_ids(spark):
+    rng = random.Random(9)
+    a, b, c, d, e = (" ".join(rng.choice(W) + str(rng.randrange(50)) for _ in range(90)) for _ in range(5))
+    rows = [(3, a), (5, a), (5, b), (7, b), (None, a), (20, c + " x"), (21, c), (21, d), (22, d + " x"),
+            (None, e), (None, e), (None, e + " x"), (None, ""), (None, None)]
+    df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id bigint, text string, nr int")
+    got = [(r.doc_id, r.text) for r in minhash.keep_one(df).collect()]
+    assert Counter(x for x in got if x[0] is not None) == Counter([(3, a), (5, b), (20, c + " x"), (21, d)])
+    assert len([t for i, t in got if i is None and t]) == 1 and len(got) == 7
+
+
 def test_language(docs, none):
     got = langid.identify(docs).collect()
     assert len(got) == len(_rows()) and all(0 <= r.score <= 1 for r in got)
