@@ -155,9 +155,9 @@ class SuffixAutomaton:
 
 
 def _automata(benchmark: DataFrame, item_id: str, text: str) -> Iterator[tuple[list, bool]]:
-    """The items in lists of about AUTOMATON_WORDS words at most, dealt by hash,
-    and whether a list is the last."""
-    items = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("item"), F.col(f"`{text}`").alias("text"))
+    """The distinct items in lists of about AUTOMATON_WORDS words at most, dealt
+    by hash, and whether a list is the last."""
+    items = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("item"), F.col(f"`{text}`").alias("text")).distinct()
     n = items.agg(F.sum(F.regexp_count("text", F.lit(TOKEN)))).first()[0] or 0
     deals = max(1, math.ceil(n / AUTOMATON_WORDS))
     for k in range(deals):

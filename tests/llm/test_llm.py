@@ -118,6 +118,14 @@ def test_decontamination(spark, docs, none):
     assert decontam.searched(none, bench).count() == 0 and decontam.searched(docs, bench.where("1=0")).where("n_hit > 0").count() == 0
 
 
+def test_repeated_items_are_dealt_once(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "AUTOMATON_WORDS", 100)
+    rows = [(1, " ".join(W))] * 40 + [(2, " ".join(W)), (1, "other words")]
+    bench = spark.createDataFrame(rows, "item_id bigint, text string")
+    (items, last), = decontam._automata(bench, "item_id", "text")
+    assert last and sorted(items) == sorted([("1", W), ("2", W), ("1", ["other", "words"])])
+
+
 def _repeats(rows, size):
     raws = [(r[0], (r[1] or "").encode()) for r in rows]
     count = Counter(b[i:i + size] for _, b in raws for i in range(len(b) - size + 1))
