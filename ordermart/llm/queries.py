@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermart.llm import (chat, decontam, langid, line_dedup, minhash, mixing, quality, rules,
-                           suffix_dedup, token_ids)
+from ordermart.llm import (chat, decontam, langid, lexical_search, line_dedup, minhash, mixing, piece_codec, quality,
+                           rules, suffix_dedup, token_ids, turn_repair)
 
-#: Tokenizer file name (its folder belongs to the ``public_tokenizers`` package).
+#: Tokenizer files' names (their folder belongs to the ``public_tokenizers`` package).
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,12 +72,31 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "participant", "part", "n_turns", "text", chat.spans_text(F.col("loss_spans")).alias("loss_spans"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(tokenizer_path(PIECES), "rb") as f:
+        model = f.read()
+    return piece_codec.encoded(_table(spark, sf_dir, "documents"), model, keep=("doc_id",)).select(
+        F.col("row.doc_id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), F.xxhash64("begins", "ends").alias("spans_hash"))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repaired(turn_repair.damaged(_table(spark, sf_dir, "conversations"))).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     return {f.__name__: f for f in (
         op1_line_dedup, op2_minhash, op3_language_id, op4_mixing, op5_decontamination, op6_suffix_dedup,
-        op7_quality, op8_token_ids, op9_quality_rules, op10_chat)} | {"pipeline": corpus_pipeline.run}
+        op7_quality, op8_token_ids, op9_quality_rules, op10_chat, op11_lexical_search, op12_sentencepiece,
+        op13_turn_repair)} | {"pipeline": corpus_pipeline.run}
 
 
 # ------------------------------------------------------------ twins
@@ -177,8 +197,77 @@ SELECT conv_id, participant, CAST(part AS BIGINT) AS part, CAST(count(*) AS BIGI
 FROM placed GROUP BY conv_id, participant, part"""
 
 
+OP11 = r"""
+WITH d AS (SELECT row_number() OVER () AS nr, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+stat AS (SELECT CAST(count(*) AS BIGINT) AS nn, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+m AS (SELECT nr, doc_id, 10 + (90 * len(w) * nn) // l AS m FROM d, stat WHERE len(w) > 0),
+tf AS (SELECT nr, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT nr, unnest(w) AS term FROM d)
+       WHERE term IN (SELECT term FROM b) GROUP BY nr, term),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), stat),
+s AS (SELECT item_id, nr, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM b JOIN tf USING (term) JOIN w USING (term) JOIN m USING (nr) GROUP BY item_id, nr, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+WHERE rank <= 10"""
+
+
+OP13 = r"""
+WITH RECURSIVE crc AS (SELECT list(v ORDER BY b) AS t FROM (SELECT b, list_reduce(list_prepend(b, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS v FROM (SELECT unnest(range(256)) AS b))),
+convs AS (SELECT conv_id, row_number() OVER () AS c FROM (SELECT DISTINCT conv_id FROM conversations)),
+named AS (SELECT c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, list_transform(string_split(
+             coalesce(CAST(v.conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT)) AS name
+          FROM conversations v JOIN convs k ON v.conv_id IS NOT DISTINCT FROM k.conv_id),
+hits AS (SELECT c, turn, role, text, xor(list_reduce(list_prepend(4294967295, name),
+            lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) % 20 AS hit FROM named, crc),
+rows_ AS (SELECT c, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+                 CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                 unnest(range(CASE WHEN hit = 3 THEN 2 ELSE 1 END)) AS copy FROM hits WHERE hit <> 0),
+o AS (SELECT c, turn, role, text, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i,
+             right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last FROM rows_),
+f AS (SELECT *, CASE WHEN last = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+                     WHEN last IN ('.', '!', '?') THEN '' ELSE 'truncated' END AS fault, left(role, 1) AS initial FROM o),
+g AS (SELECT *, CASE WHEN lag(i) OVER w IS NOT NULL AND lag(initial) OVER w || initial NOT IN ('su', 'ua', 'au') THEN 1 ELSE 0 END AS bad
+      FROM f WINDOW w AS (PARTITION BY c ORDER BY i)),
+sums AS (SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+                sum(bad) AS illegal, count(*) AS n FROM g GROUP BY c),
+walk AS (SELECT c, CAST(0 AS BIGINT) AS i, s, best FROM convs, (VALUES
+           (0, {'cost': 0, 'audit': '', 'said': CAST([] AS VARCHAR[])}), (2, {'cost': 3, 'audit': 'I', 'said': ['user:']}),
+           (3, {'cost': 6, 'audit': 'II', 'said': ['user:', 'assistant:']})) AS start(s, best)
+         UNION ALL
+         SELECT c, i, e.s, min({'cost': e.cost, 'audit': e.audit, 'said': e.said}) FROM (
+           SELECT c, i, unnest([{'s': s, 'cost': cost, 'audit': audit, 'said': said},
+               {'s': CASE WHEN s = 2 THEN 3 ELSE 2 END, 'cost': cost + 3, 'audit': audit || 'I',
+                'said': list_append(said, CASE WHEN s = 2 THEN 'assistant:' ELSE 'user:' END)},
+               {'s': CASE WHEN s = 2 THEN 2 ELSE 3 END, 'cost': cost + 6, 'audit': audit || 'II',
+                'said': said || CASE WHEN s = 2 THEN ['assistant:', 'user:'] ELSE ['user:', 'assistant:'] END}]) AS e
+           FROM (SELECT c, i, a.s, a.cost, a.audit, a.said FROM (
+             SELECT w.c, g.i, unnest([
+                 {'s': s, 'cost': best.cost + 4, 'audit': best.audit || 'D', 'said': best.said, 'may': true},
+                 {'s': CASE WHEN s = 2 THEN 3 ELSE 2 END, 'cost': best.cost + 3 + CASE fault WHEN 'truncated' THEN 3 ELSE 0 END,
+                  'audit': best.audit || 'R', 'said': list_append(best.said, CASE WHEN s = 2 THEN 'assistant:' ELSE 'user:' END || text),
+                  'may': fault NOT IN ('blank', 'duplicate')},
+                 {'s': CASE initial WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END, 'cost': best.cost + CASE fault WHEN 'truncated' THEN 3 ELSE 0 END,
+                  'audit': best.audit || 'K', 'said': list_append(best.said, role || ':' || text),
+                  'may': fault NOT IN ('blank', 'duplicate') AND (s = 0 AND initial IN ('s', 'u') OR s IN (1, 3) AND initial = 'u'
+                         OR s = 2 AND initial = 'a')}]) AS a
+             FROM walk w JOIN g ON g.c = w.c AND g.i = w.i + 1) WHERE a.may)) GROUP BY c, i, e.s),
+ended AS (SELECT w.c, min(best) AS best FROM walk w LEFT JOIN sums USING (c) WHERE s IN (0, 3) AND i = coalesce(n, 0) GROUP BY w.c)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(best.cost AS BIGINT) AS cost, best.audit AS audit,
+       sha256(array_to_string(best.said, chr(10))) AS repaired_sha256
+FROM convs JOIN ended USING (c) LEFT JOIN sums USING (c)"""
+
+
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
-    out = {"op1_line_dedup": OP1, "op2_minhash": OP2, "op5_decontamination": OP5, "op9_quality_rules": OP9, "op10_chat": OP10}
+    out = {"op1_line_dedup": OP1, "op2_minhash": OP2, "op5_decontamination": OP5, "op9_quality_rules": OP9, "op10_chat": OP10,
+           "op11_lexical_search": OP11, "op13_turn_repair": OP13}
     return out | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
