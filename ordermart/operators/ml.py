@@ -2,31 +2,29 @@
 regression with an inner grid search, confusion-matrix metrics.
 
 Folds are a column (hash of the key, T22), so a fold is a filter, never a
-driver-side split; every fit is a distributed ``pyspark.ml`` job and the
-driver only loops over the 5 x 3 x 5 small fit/evaluate calls, as
-``CrossValidator`` itself does.
+driver-side split. The grid's models of all folds are fitted together
+(``newton``): one scan per Newton round, whatever their number. Any other
+``pyspark.ml`` estimator runs through ``CrossValidator`` on the same folds.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml import Estimator
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.tuning import CrossValidator
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import hash_fold
 from ..plans.session import cut_lineage
+from . import newton
 from .clean import ID_COLS, TARGET
 
 # The reference's search space and settings.
 GRID_C = [0.1, 1.0, 10.0]
 N_SPLITS = 5
 SEED = 42
-MAX_ITER = 50000
-TOL = 1e-5
 PARALLELISM = 4  # concurrent fits submitted by the driver (like CrossValidator's)
 
 
@@ -70,58 +68,85 @@ def assemble(df: DataFrame, feature_cols: list[str] | None = None, null_as: floa
     return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="error").transform(df)
 
 
-def fit(train: DataFrame, C: float, label: str = TARGET, counts: dict[object, int] | None = None):
-    """One L2 fit equal to the weighted, C-scaled objective (T23):
-    regParam = 1 / (C * n_train) with balanced weights summing to n, the
-    weights of this training part. ``counts``: its rows per label, if known.
-    The optimizer keeps its own blocks of the rows between passes."""
+def _balanced(counts: dict[object, int]) -> dict[int, float]:
+    """Weight per label of a training part with so many rows per label."""
+    n = sum(counts.values())
+    return {int(value): n / (2.0 * n_c) for value, n_c in counts.items() if value is not None}
+
+
+def _without(rows: dict[tuple, int], *left_out: int | None) -> dict[object, int]:
+    """Rows per label where no fold has its value in ``left_out``; ``rows``: by (folds..., label)."""
+    out: dict[object, int] = {}
+    for (*folds, value), n in rows.items():
+        if all(f != x for f, x in zip(folds, left_out)):
+            out[value] = out.get(value, 0) + n
+    return out
+
+
+def _size(data: DataFrame, features: str = "features") -> int:
+    row = data.select(F.size(newton.as_array(data, features))).first()
+    return row[0] if row else 0
+
+
+def fit(train: DataFrame, C: float, label: str = TARGET, counts: dict[object, int] | None = None) -> newton.LinearModel:
+    """One L2 fit with the balanced weights of this training part (T23).
+    ``counts``: its rows per label, if known."""
     counts = counts or {k[0]: n for k, n in label_counts(train, label=label).items()}
-    lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight",
-                            regParam=1.0 / (C * max(sum(counts.values()), 1)), elasticNetParam=0.0,
-                            standardization=False, maxIter=MAX_ITER, tol=TOL)
-    return lr.fit(with_weights(train, counts, label))
+    return newton.fit_all(train, [newton.Part(C, _balanced(counts))], label, _size(train))[0]
 
 
 def auc(model, data: DataFrame, label: str = TARGET) -> float:
-    """Exact ROC-AUC from probabilities (``numBins=0``: no down-sampling)."""
-    ev = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol=label,
-                                       metricName="areaUnderROC", numBins=0)
-    return ev.evaluate(model.transform(data))
+    """Exact ROC-AUC from probabilities."""
+    row = newton.areas(model.transform(data).withColumn("all", F.lit(0)), "all", label=label, score="probability").first()
+    return row.auc if row and row.auc is not None else 0.0
+
+
+def _chosen(models: dict[object, newton.LinearModel], key: Column, features: Column) -> Column:
+    """Probability by the model that ``key`` names; NULL if it names none."""
+    out = F.lit(None).cast("double")
+    for name, m in models.items():
+        p = newton.probability(features, F.array(*map(F.lit, m.coefficients)), F.lit(m.intercept))
+        out = F.when(key == F.lit(name), p).otherwise(out)
+    return out
+
+
+def _mean_areas(data: DataFrame, models: dict[tuple, newton.LinearModel], grid: list[float], label: str) -> list[tuple]:
+    """(outer, C, mean area) over the inner folds, each model on the rows of
+    its own inner fold that its outer fold does not hold. ``models``: by (outer, inner, C)."""
+    x = newton.as_array(data, "features")
+    outers, inners = (sorted({k[i] for k in models}, key=str) for i in (0, 1))
+    scores = F.array(*[F.struct(F.lit(o).cast("int").alias("outer"), F.lit(c).alias("C"), _chosen(
+        {i: models[o, i, c] for i in inners}, F.col("inner_fold"), x).alias("score")) for o in outers for c in grid])
+    scored = (data.select(F.col(label).alias("y"), "inner_fold", *(["fold"] if "fold" in data.columns else [F.lit(None).alias("fold")]),
+                          F.inline(scores)).where(~F.col("outer").eqNullSafe(F.col("fold")) | F.col("outer").isNull()))
+    means = newton.areas(scored, "outer", "inner_fold", "C").groupBy("outer", "C").agg(
+        F.sum(F.coalesce("auc", F.lit(0.0))).alias("auc"))
+    return [(r.outer, r.C, r.auc / len(inners)) for r in means.collect()]
+
+
+def _best(means: list[tuple], outer: int | None = None) -> float:
+    """The C of the largest mean area, the smallest of equal ones."""
+    return max(((a, -c) for o, c, a in means if o == outer))[1] * -1
 
 
-def grid_search(train: DataFrame, grid=GRID_C, k: int = N_SPLITS, label: str = TARGET,
-                parallelism: int = PARALLELISM):
+def grid_search(train: DataFrame, grid=GRID_C, k: int = N_SPLITS, label: str = TARGET):
     """#78: inner k-fold over C (another hash salt), score ROC-AUC, refit
     the best on the whole training part. Returns (best model, scores).
 
-    The training part is materialized once, so the k x |grid| fits read it
-    instead of recomputing the feature pipeline; the class counts of all
-    inner parts come from one aggregate; the fits are submitted from a few
-    driver threads, each a distributed job.
+    The training part is written once; the k x |grid| models are fitted
+    together, a scan per Newton round, and scored in one query.
     """
-    spark = train.sparkSession
     train = cut_lineage(add_folds(train, k=k, salt="inner", col="inner_fold"), True)
-    rows = label_counts(train, "inner_fold", label=label)
-
-    def counts(without: int | None = None) -> dict[object, int]:
-        out: dict[object, int] = {}
-        for (fold, value), n in rows.items():
-            if fold != without:
-                out[value] = out.get(value, 0) + n
-        return out
-
-    def score(task):
-        C, f = task
-        m = fit(train.where(F.col("inner_fold") != f), C, label, counts(f))
-        return C, auc(m, train.where(F.col("inner_fold") == f), label)
-
-    tasks = [(float(C), f) for C in grid for f in range(k)]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(score, tasks))
-    means = [(C, float(sum(a for c, a in results if c == C) / k)) for C in map(float, grid)]
-    best_c = max(means, key=lambda r: (r[1], -r[0]))[0]
-    scores = spark.createDataFrame(means, "C double, mean_auc double")
-    return fit(train.drop("inner_fold"), best_c, label, counts()), scores
+    rows, size = label_counts(train, "inner_fold", label=label), _size(train)
+    grid = [float(c) for c in grid]
+    names = [(None, i, c) for i in range(k) for c in grid]
+    parts = [newton.Part(c, _balanced(_without(rows, i)), {"inner_fold": i}) for _, i, c in names]
+    models = dict(zip(names, newton.fit_all(train, parts, label, size)))
+    means = _mean_areas(train, models, grid, label)
+    found = {c: a for _, c, a in means}
+    scores = train.sparkSession.createDataFrame([(c, found.get(c, 0.0)) for c in grid], "C double, mean_auc double")
+    best = _best([(None, c, found.get(c, 0.0)) for c in grid])
+    return newton.fit_all(train, [newton.Part(best, _balanced(_without(rows, None)))], label, size)[0], scores
 
 
 def predict(model, data: DataFrame) -> DataFrame:
@@ -160,22 +185,56 @@ def average_metrics(per_fold: DataFrame) -> DataFrame:
     return per_fold.agg(*[F.avg(m).alias(m) for m in METRICS if m in per_fold.columns])
 
 
-def cv_folds(table: DataFrame, k: int = N_SPLITS, grid=GRID_C, label: str = TARGET,
-             null_as: float | None = None) -> DataFrame:
-    """Outer folds -> inner grid search -> predict -> metrics, a row per fold.
-    Runs its jobs when called."""
-    data = cut_lineage(assemble(add_folds(table, k=k), null_as=null_as).select("order_id", label, "fold", "features"), True)
-    out = None
+def _joint_folds(data: DataFrame, k: int, grid: list[float], label: str) -> DataFrame:
+    """Outer folds -> inner grid search -> predictions of the held-out rows:
+    k x k x |grid| models fitted together, scored together, then the k refits."""
+    rows, size = label_counts(data, "fold", "inner_fold", label=label), _size(data)
+    names = [(o, i, c) for o in range(k) for i in range(k) for c in grid]
+    parts = [newton.Part(c, _balanced(_without(rows, o, i)), {"fold": o, "inner_fold": i}) for o, i, c in names]
+    means = _mean_areas(data, dict(zip(names, newton.fit_all(data, parts, label, size))), grid, label)
+    best = [newton.Part(_best([(o, c, dict((x[:2], x[2]) for x in means).get((o, c), 0.0)) for c in grid], o),
+                        _balanced(_without(rows, o, None)), {"fold": o}) for o in range(k)]
+    models = dict(enumerate(newton.fit_all(data, best, label, size)))
+    return (data.withColumn("probability", _chosen(models, F.col("fold"), newton.as_array(data, "features")))
+            .withColumn("prediction", (F.col("probability") > 0.5).cast("double")))
+
+
+def _estimator_folds(data: DataFrame, k: int, estimator: Estimator, grid: list | None, label: str) -> DataFrame:
+    """The same folds for any estimator: ``CrossValidator`` over its parameter
+    maps on each outer fold's training part, whose best model predicts."""
+    rows, out = label_counts(data, "fold", label=label), None
+    evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
     for f in range(k):
-        model, _ = grid_search(data.where(F.col("fold") != f).drop("fold"), grid, k, label)
-        test = data.where(F.col("fold") == f)
-        m = confusion_metrics(predict(model, test), label).withColumn("fold", F.lit(f)) \
-            .withColumn("roc_auc_score", F.lit(auc(model, test, label)))
-        out = m if out is None else out.unionByName(m)
+        train = with_weights(data.where(F.col("fold") != f), _without(rows, f), label)
+        cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid or [{}], evaluator=evaluator, numFolds=k,
+                            foldCol="inner_fold", parallelism=PARALLELISM)
+        test = predict(cv.fit(train).bestModel, data.where(F.col("fold") == f))
+        test = test.select("fold", label, "prediction", newton.as_array(test, "probability")[1].alias("probability"))
+        out = test if out is None else out.unionByName(test)
     return out
 
 
-def run_cv(table: DataFrame, k: int = N_SPLITS, grid=GRID_C, label: str = TARGET,
-           null_as: float | None = None) -> DataFrame:
+def cv_folds(table: DataFrame, k: int = N_SPLITS, grid=None, label: str = TARGET, null_as: float | None = None,
+             estimator: Estimator | None = None) -> DataFrame:
+    """Outer folds -> inner grid search -> predict -> metrics, a row per fold.
+    Runs its jobs when called.
+
+    Without ``estimator``: L2 logistic regression over the values of C in
+    ``grid``. With one: any classifier of ``pyspark.ml`` (it finds ``features``,
+    the label and a balanced ``weight`` column), ``grid`` being its parameter
+    maps."""
+    columns = ["order_id", label, "fold", "inner_fold", "features"]
+    data = cut_lineage(assemble(add_folds(add_folds(table, k=k), k=k, salt="inner", col="inner_fold"), null_as=null_as)
+                       .select(*columns), True)
+    said = (_joint_folds(data, k, [float(c) for c in grid or GRID_C], label) if estimator is None
+            else _estimator_folds(data, k, estimator, grid, label))
+    said = cut_lineage(said.select("fold", label, "prediction", "probability"))
+    area = newton.areas(said, "fold", label=label, score="probability").select(
+        F.col("fold").alias("of"), F.coalesce("auc", F.lit(0.0)).alias("roc_auc_score"))
+    return confusion_metrics(said, label, by=["fold"]).join(area, F.col("fold") == F.col("of")).drop("of")
+
+
+def run_cv(table: DataFrame, k: int = N_SPLITS, grid=None, label: str = TARGET, null_as: float | None = None,
+           estimator: Estimator | None = None) -> DataFrame:
     """#82: the metrics of ``cv_folds`` averaged over the outer folds, one row."""
-    return average_metrics(cv_folds(table, k, grid, label, null_as))
+    return average_metrics(cv_folds(table, k, grid, label, null_as, estimator))
