@@ -12,8 +12,17 @@ order. A source without words has target 0. Repeated rows are documents of
 their own. An empty table gives an empty result. The same rows and seed give
 the same mix, whatever their partitioning.
 
-State besides the rows: one number per source in a tree node, at most
-``MAX_BLOCKS`` block rows per source. Only sums come to the driver.
+A source's quota ends inside a block. The words left there are filled from
+the source's documents that the last pass does not take, the longest that fit
+first: by a table of their distinct sizes (no more than a block's words), in
+which every size's count is used up or the gap falls below it. So what a
+source misses is less than the smallest document that it leaves out.
+
+State besides the rows: one number per source in a tree node; a row per block
+and per shard of a source. Blocks have a fixed size however large a source is
+and are summed in runs of ``RUN``; of a source, one task reads a row per run
+and a row per shard. Only sums come to the driver. Extra columns, whatever
+their names, stay. A text of any length is one document of one block.
 """
 
 from __future__ import annotations
@@ -33,12 +42,12 @@ SHARE = 1.5
 MOST = 2.0
 
 SEED = 20
-#: Words in a block (more in a source of over MAX_BLOCKS such blocks) and in a shard.
+#: Words in a block and in a shard; blocks that are summed as one run.
 BLOCK_WORDS = 1 << 14
-MAX_BLOCKS = 4096
 SHARD_WORDS = 1 << 22
-#: Rounds that fill the gap which the cut block leaves, each from documents that still fit.
-FILL_ROUNDS = 4
+RUN = 4096
+#: Levels of the tree between two writes of its nodes.
+WRITTEN_LEVELS = 6
 
 
 def _uniform(*cols: Column) -> Column:
@@ -103,8 +112,10 @@ def _left(level: int, seed: int) -> Column:
 
 def split_tree(quotas: DataFrame, levels: int, seed: int = SEED) -> DataFrame:
     """(nr, shard, q) from (nr, quota): the quotas of 2**levels shards, whose
-    sizes differ by one block at most at each split."""
-    node = quotas.agg(F.sort_array(F.collect_list(F.struct("nr", F.col("quota").alias("q")))).alias("qs")) \
+    sizes differ by one block at most. Sources without blocks in a node, and
+    nodes without any, are left out; after some levels the nodes are written,
+    so that later levels run in many tasks."""
+    node = quotas.where("quota > 0").agg(F.sort_array(F.collect_list(F.struct("nr", F.col("quota").alias("q")))).alias("qs")) \
         .select(F.lit(0).cast("long").alias("node"), "qs")
     for level in range(levels):
         node = (node.withColumn("left", _left(level, seed))
@@ -114,7 +125,10 @@ def split_tree(quotas: DataFrame, levels: int, seed: int = SEED) -> DataFrame:
                     F.struct(F.lit(1).alias("side"), F.zip_with(
                         "qs", "left", lambda x, l: F.struct(x["nr"].alias("nr"), (x["q"] - l).alias("q"))).alias("qs")),
                 )).alias("half"))
-                .select((F.col("node") * 2 + F.col("half.side")).alias("node"), F.col("half.qs").alias("qs")))
+                .select((F.col("node") * 2 + F.col("half.side")).alias("node"),
+                        F.filter("half.qs", lambda x: x["q"] > 0).alias("qs")).where(F.size("qs") > 0))
+        if level % WRITTEN_LEVELS == WRITTEN_LEVELS - 1 and level + 1 < levels:
+            node = cut_lineage(node.repartition("node"))
     return node.select(F.col("node").alias("shard"), F.explode("qs").alias("x")).select("x.nr", "shard", "x.q")
 
 
@@ -156,28 +170,67 @@ def _block(key: Column, n_blocks: Column) -> Column:
     return F.pmod(key, n_blocks)
 
 
+def _ends(blocks: DataFrame) -> DataFrame:
+    """Blocks with the words of their source up to their end, by runs of blocks."""
+    run = F.floor(F.col("block") / RUN)
+    whole = Window.partitionBy("nr").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)  # a row per run
+    inside = Window.partitionBy("nr", "run").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    runs = (blocks.groupBy("nr", run.alias("run")).agg(F.sum("words").alias("words"))
+            .select(F.col("nr").alias("r_nr"), F.col("run").alias("r_run"), F.coalesce(F.sum("words").over(whole), F.lit(0)).alias("before")))
+    return (blocks.withColumn("run", run).withColumn("inside", F.sum("words").over(inside))
+            .join(runs, (F.col("nr") == F.col("r_nr")) & (F.col("run") == F.col("r_run")))
+            .withColumn("end", F.col("before") + F.col("inside")).drop("r_nr", "r_run", "run", "before", "inside"))
+
+
+def _fill(rows: DataFrame, sources: DataFrame, cuts: DataFrame) -> DataFrame:
+    """(f_nr, f_key, fill, shard): how many of the documents of a key go into
+    their source's gap, with the shard of its cut block. ``cuts``: (c_nr,
+    c_block, gap, shard), one row per source."""
+    pool = (rows.join(sources.select(F.col("source").alias("s"), "nr", "n_blocks"), F.col("source").eqNullSafe(F.col("s")))
+            .join(cuts, F.col("nr") == F.col("c_nr"))
+            .where((_block(F.col("key"), F.col("n_blocks")) >= F.col("c_block")) & (F.col("size") > 0) & (F.col("size") <= F.col("gap")))
+            .select("nr", "size", "key", "gap"))
+    most = (pool.groupBy("nr", "gap", "size").agg(F.count("*").alias("n"))
+            .groupBy("nr", "gap").agg(F.sort_array(F.collect_list(F.struct("size", "n")), asc=False).alias("sizes")))
+
+    def use(state, x):
+        return C.let(F.least(x["n"], F.floor(state["open"] / x["size"])), lambda k: F.struct(
+            (state["open"] - k * x["size"]).alias("open"),
+            F.when(k > 0, F.concat(state["used"], F.array(F.struct(x["size"].alias("size"), k.alias("k")))))
+            .otherwise(state["used"]).alias("used")))
+
+    start = F.struct(F.col("gap").alias("open"), F.array().cast("array<struct<size:bigint,k:bigint>>").alias("used"))
+    takes = cut_lineage(most.select("nr", F.explode(F.aggregate("sizes", start, use, lambda a: a["used"])).alias("u"))
+                        .select(F.col("nr").alias("t_nr"), F.col("u.size").alias("t_size"), F.col("u.k").alias("k")))
+    limit = takes.agg(F.max("k")).first()[0] or 0
+    nth = F.row_number().over(Window.partitionBy("nr", "size").orderBy("key"))
+    return (pool.join(takes, (F.col("nr") == F.col("t_nr")) & (F.col("size") == F.col("t_size")))
+            .withColumn("nth", nth).where((F.col("nth") <= limit) & (F.col("nth") <= F.col("k")))
+            .groupBy("nr", "key").agg(F.count("*").alias("fill"))
+            .join(cuts.select("c_nr", "shard"), F.col("nr") == F.col("c_nr"))
+            .select(F.col("nr").alias("f_nr"), F.col("key").alias("f_key"), "fill", F.col("shard").alias("f_shard")))
+
+
 def plan(rows: DataFrame, seed: int = SEED, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS,
-         weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> tuple[DataFrame, DataFrame]:
-    """From (source, size, key): the sources, and per source and block the
-    draws (copy, shard) that hold for its documents; ``gap`` is set on a
-    source's cut block: the words that its documents may still give in copy
-    ``full``."""
+         weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """From (source, size, key): the sources; per source and block the draws
+    (copy, shard) that hold for its documents; and the documents that fill the
+    gap of each source's cut block, in its copy ``full``."""
     sizes = rows.groupBy("source").agg(F.sum("size").alias("size"))
     sources = cut_lineage(
         targets(sizes, weights, share, most)
-        .withColumn("n_blocks", F.least(F.lit(MAX_BLOCKS), F.greatest(F.lit(1), F.ceil(F.col("size") / block_words))).cast("long"))
+        .withColumn("n_blocks", F.greatest(F.lit(1), F.ceil(F.col("size") / block_words)).cast("long"))
         .withColumn("full", F.when(F.col("size") > 0, F.floor(F.col("target") / F.col("size"))).otherwise(0).cast("long"))
         .withColumn("rest", F.col("target") - F.col("full") * F.col("size")))
-    in_order = Window.partitionBy("nr").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
-    blocks = cut_lineage(
+    words = cut_lineage(
         rows.join(sources.select(F.col("source").alias("s"), "nr", "n_blocks", "full", "rest"),
                   F.col("source").eqNullSafe(F.col("s")))
         .groupBy("nr", "n_blocks", "full", "rest", _block(F.col("key"), F.col("n_blocks")).alias("block"))
-        .agg(F.sum("size").alias("words"))
-        .withColumn("end", F.sum("words").over(in_order))
-        .withColumn("start", F.col("end") - F.col("words"))
+        .agg(F.sum("size").alias("words")))
+    blocks = cut_lineage(
+        _ends(words).withColumn("start", F.col("end") - F.col("words"))
         .withColumn("gap", F.when((F.col("start") < F.col("rest")) & (F.col("rest") < F.col("end")),
-                                  F.col("rest") - F.col("start"))))
+                                  F.floor(F.col("rest") - F.col("start")))))
     # blocks of the last pass: those that end within the rest, and the cut one
     used = blocks.groupBy("nr").agg(F.max(F.when((F.col("rest") > 0) & (F.col("start") < F.col("rest")), F.col("block") + 1)
                                           .otherwise(0)).alias("last"))
@@ -185,47 +238,39 @@ def plan(rows: DataFrame, seed: int = SEED, block_words: int = BLOCK_WORDS, shar
         "nr", "n_blocks", (F.col("full") * F.col("n_blocks") + F.coalesce("last", F.lit(0))).alias("quota")))
     goal = sources.agg(F.sum("target")).first()[0] or 0.0
     levels = max(0, math.ceil(math.log2(goal / shard_words))) if goal > shard_words else 0
-    to = Window.partitionBy("nr").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
-    drawn = (split_tree(quotas, levels, seed).withColumn("to", F.sum("q").over(to)).where("q > 0")
+    to = Window.partitionBy("nr").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)  # a row per shard
+    drawn = (split_tree(quotas, levels, seed).withColumn("to", F.sum("q").over(to))
              .join(quotas.select(F.col("nr").alias("q_nr"), "n_blocks"), F.col("nr") == F.col("q_nr"))
              .withColumn("at", F.explode(F.sequence(F.col("to") - F.col("q"), F.col("to") - 1)))
              .groupBy(F.col("nr").alias("d_nr"), (F.col("at") % F.col("n_blocks")).alias("d_block"))
              .agg(F.sort_array(F.collect_list(F.struct(
                  F.floor(F.col("at") / F.col("n_blocks")).alias("copy"), "shard"))).alias("draws")))
-    return sources, (blocks.join(drawn, (F.col("nr") == F.col("d_nr")) & (F.col("block") == F.col("d_block")))
-                     .select(F.col("nr").alias("b_nr"), F.col("block").alias("b_block"), "gap", "draws"))
-
-
-def _filled(cut: DataFrame) -> DataFrame:
-    """Rows of cut blocks with ``fits``: in the block's permuted order, first
-    those that fit the gap together, then, round by round, those that fit what
-    is left. A source has one cut block, so groups are bounded by a block."""
-    order = Window.partitionBy("nr").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy("nr")
-    cut = cut.withColumn("fits", F.lit(False)).withColumn("open", F.col("gap"))
-    for _ in range(FILL_ROUNDS):
-        may = ~F.col("fits") & (F.col("size") <= F.col("open"))
-        cut = (cut.withColumn("sum", F.sum(F.when(may, F.col("size")).otherwise(0)).over(order))
-               .withColumn("new", may & (F.col("sum") <= F.col("open")))
-               .withColumn("open", F.col("open") - F.coalesce(F.sum(F.when(F.col("new"), F.col("size"))).over(whole), F.lit(0)))
-               .withColumn("fits", F.col("fits") | F.col("new")))
-    return cut.drop("sum", "new", "open")
-
-
-def draws(rows: DataFrame, sources: DataFrame, blocks: DataFrame) -> DataFrame:
+    placed = cut_lineage(blocks.join(drawn, (F.col("nr") == F.col("d_nr")) & (F.col("block") == F.col("d_block")))
+                         .select(F.col("nr").alias("b_nr"), F.col("block").alias("b_block"), "gap",
+                                 F.filter("draws", lambda d: F.col("gap").isNull() | (d["copy"] < F.col("full"))).alias("draws"),
+                                 F.get(F.filter("draws", lambda d: d["copy"] == F.col("full")), 0)["shard"].alias("shard")))
+    cuts = placed.where(F.col("gap").isNotNull()).select(F.col("b_nr").alias("c_nr"), F.col("b_block").alias("c_block"), "gap", "shard")
+    return sources, placed.drop("gap", "shard"), cut_lineage(_fill(rows, sources, cuts))
+
+
+def draws(rows: DataFrame, sources: DataFrame, blocks: DataFrame, fill: DataFrame) -> DataFrame:
     """The rows (source, size, key, ...) with source_size, target and their
     ``draws`` (copy, shard); none for a document the mix leaves out."""
     columns = rows.columns
+    none = F.array().cast("array<struct<copy:bigint,shard:bigint>>")
     placed = (rows.join(sources.select(F.col("source").alias("s"), F.col("size").alias("source_size"),
                                        "target", "nr", "n_blocks", "full"), F.col("source").eqNullSafe(F.col("s")))
               .withColumn("block", _block(F.col("key"), F.col("n_blocks")))
-              .join(blocks, (F.col("nr") == F.col("b_nr")) & (F.col("block") == F.col("b_block")), "left"))
+              .join(blocks, (F.col("nr") == F.col("b_nr")) & (F.col("block") == F.col("b_block")), "left")
+              .withColumn("draws", F.coalesce("draws", none))
+              .join(fill, (F.col("nr") == F.col("f_nr")) & (F.col("key") == F.col("f_key")), "left"))
     out = [*[F.col(c) for c in columns], F.col("source_size"), F.col("target")]
-    whole = placed.where(F.col("gap").isNull()).select(*out, F.coalesce(
-        "draws", F.array().cast("array<struct<copy:bigint,shard:bigint>>")).alias("draws"))
-    cut = _filled(placed.where(F.col("gap").isNotNull())).select(*out, F.filter(
-        "draws", lambda d: F.col("fits") | (d["copy"] < F.col("full"))).alias("draws"))
-    return whole.unionByName(cut)
+    # of equal rows, as many as the gap takes
+    nth = F.row_number().over(Window.partitionBy("nr", "key").orderBy("size"))
+    more = F.when(nth <= F.col("fill"), F.array(F.struct(F.col("full").alias("copy"), F.col("f_shard").alias("shard")))).otherwise(none)
+    plain = placed.where(F.col("fill").isNull()).select(*out, "draws")
+    return plain.unionByName(placed.where(F.col("fill").isNotNull()).withColumn("more", more)
+                             .select(*out, F.concat("draws", "more").alias("draws")))
 
 
 def _rows(docs: DataFrame, text: str, source: str, seed: int, carry: tuple[str, ...]) -> DataFrame:
@@ -240,8 +285,7 @@ def taken(docs: DataFrame, text: str = "text", source: str = "source", carry: tu
     """Per document: the ``carry`` columns, size, source_size, target, draws,
     taken. Works on a narrow table of the documents' sizes."""
     rows = cut_lineage(_rows(docs, text, source, seed, carry))
-    sources, blocks = plan(rows, seed, **options)
-    return draws(rows, sources, blocks).select(
+    return draws(rows, *plan(rows, seed, **options)).select(
         *[F.col(f"carried.`{c}`").alias(c) for c in carry], "size", "source_size", "target", "draws",
         (F.col("size") * F.size("draws")).alias("taken"))
 
@@ -253,11 +297,11 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", key: tupl
     tell documents apart; ``shard_column``: name of a column for the shard."""
     rows = _rows(docs, text, source, seed, key)
     narrow = cut_lineage(rows.drop("carried"))
-    sources, blocks = plan(narrow, seed, **options)
+    planned = plan(narrow, seed, **options)
     whole = (C.packed(docs).select("row", F.col(f"row.`{source}`").alias("source"),
                                    C.n_words(F.col(f"row.`{text}`")).alias("size"),
                                    F.xxhash64(F.lit(seed), *[F.col(f"row.`{c}`") for c in (*key, source, text)]).alias("key")))
-    out = (draws(whole, sources, blocks).select("row", "key", F.explode("draws").alias("d"))
+    out = (draws(whole, *planned).select("row", "key", F.explode("draws").alias("d"))
            .repartition("d.shard")
            .sortWithinPartitions("d.shard", F.xxhash64(F.lit(seed), "key", "d.copy")))
     columns = [F.col(f"row.`{c}`").alias(c) for c in docs.columns]

@@ -38,7 +38,9 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.taken(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    place = F.transform("draws", lambda d: F.concat(d["copy"].cast("string"), F.lit(":"), d["shard"].cast("string")))
+    return mixing.taken(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", F.concat_ws(" ", place).alias("draws"))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,7 +171,7 @@ l AS (SELECT nr, source, text, x, lower(trim(regexp_replace(x, '{BREAKS}', ' ',
       FROM (SELECT nr, source, text, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '{WORD}')),
 dup AS (SELECT nr, count(*) - count(DISTINCT x) AS n FROM l GROUP BY nr),
 hosts AS (SELECT source, count(*) AS n FROM (SELECT DISTINCT source, text FROM d) GROUP BY source),
-often AS (SELECT source, norm, count(DISTINCT coalesce(text, '')) AS n FROM l WHERE l.n <= {rules.MAX_LINE_WORDS} GROUP BY source, norm),
+often AS (SELECT source, norm, count(DISTINCT coalesce(text, '')) AS n FROM l GROUP BY source, norm),
 gone AS (SELECT o.source, o.norm FROM often o JOIN hosts h ON o.source IS NOT DISTINCT FROM h.source
          WHERE o.n >= {rules.MIN_DOCS} AND o.n >= {rules.MIN_SHARE} * h.n),
 less AS (SELECT nr, sum(l.n) AS n FROM l JOIN gone g ON l.source IS NOT DISTINCT FROM g.source AND l.norm = g.norm GROUP BY nr),

@@ -31,8 +31,6 @@ WINDOW = 5
 #: its host hold it, and at least this share of them. Lines of every length count.
 MIN_DOCS = 5
 MIN_SHARE = 0.005
-#: Read by OP9's SQL and the pipeline test only, which leave longer lines out.
-MAX_LINE_WORDS = 25
 
 
 def _window_hashes(words: Column, width: int) -> Column:

@@ -14,11 +14,14 @@ n_ids, low_bits, low, high, samples, id_bytes, ids.
 Cases. NULL text: empty, so only the end id. NULL doc_id: first. Equal
 doc_ids: in order of their texts. Repeated rows: each is written. An empty
 table gives no shard and an empty result. Very long texts may make a shard
-larger than ``SHARD_IDS``; a document is never cut.
+larger than ``SHARD_IDS``; a document is never cut. Extra columns are not
+read. Ids must be integers. Readers find offsets by select from the samples,
+a sample's documents at a time, and hold no table of all offsets.
 """
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -86,14 +89,21 @@ class EliasFano:
         window = int.from_bytes(self.low[first >> 3:(end + 7) >> 3].tobytes(), "little")
         return window >> (first & 7) & ((1 << self.width) - 1)
 
-    def all(self) -> np.ndarray:
-        """Every value in order (select for each i, over the whole vector)."""
-        places = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:self.n]
-        high = (places - np.arange(self.n)).astype(np.int64) << self.width
+    def selects(self, k: int) -> np.ndarray:
+        """The values that sample ``k`` stands for, by select on all of them
+        at once: only the bytes between two samples are unpacked."""
+        first = k * SAMPLE
+        i = np.arange(first, min(first + SAMPLE, self.n))
+        at = int(self.samples[k])
+        end = int(self.samples[k + 1]) >> 3 if k + 1 < len(self.samples) else len(self.high) - 1
+        bits = np.unpackbits(self.high[at >> 3:end + 1], bitorder="little")[at & 7:]
+        high = (np.flatnonzero(bits)[:len(i)] + at - i).astype(np.int64) << self.width
         if not self.width:
             return high
-        bits = np.unpackbits(self.low, bitorder="little")[:self.n * self.width].reshape(self.n, self.width)
-        return high | (bits.astype(np.int64) << np.arange(self.width)).sum(axis=1)
+        begin = first * self.width
+        low = np.unpackbits(self.low[begin >> 3:((first + len(i)) * self.width + 7) >> 3], bitorder="little")
+        low = low[begin & 7:][:len(i) * self.width].reshape(len(i), self.width)
+        return high | (low.astype(np.int64) << np.arange(self.width)).sum(axis=1)
 
 
 # ------------------------------------------------------------ encoding
@@ -103,8 +113,23 @@ _MARKS[33:127] = True
 _MARKS[[39, *range(48, 58), *range(65, 91), *range(97, 123)]] = False  # no letter, digit or apostrophe
 
 
+# The normalizer, pre-tokenizer and word end of a tokenizer file whose texts may be encoded piece by piece.
+PIECEWISE = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed",
+         "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "post_processor": None}
+
+
 class Encoder:
-    """Whole texts to ids with a tokenizer file.
+    """Whole texts to ids with a tokenizer file, given as its bytes.
+
+    Where the file states the ``PIECEWISE`` settings, a word end, and special
+    tokens that begin with ``<|``, texts are encoded piece by piece; with any
+    other file the library encodes each text as it is.
 
     The pre-tokenizer never joins characters across a blank or a line feed,
     nor a letter with a mark that follows it (but for an apostrophe); the
@@ -116,12 +141,16 @@ class Encoder:
     Ids are kept for the pieces met lately, in two generations of at most
     ``CACHED_WORDS`` each."""
 
-    _made: dict[str, Encoder] = {}
+    _made: dict[bytes, Encoder] = {}
 
-    def __init__(self, path: str):
+    def __init__(self, file: bytes):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_str(file.decode())
+        said = json.loads(file)
+        self.piecewise = (all(said.get(k) == v for k, v in PIECEWISE.items()) and said["model"].get("end_of_word_suffix") == "</w>"
+                          and said["model"]["type"] == "BPE" and not said.get("truncation") and not said.get("padding")
+                          and all(t["content"].startswith("<|") for t in said.get("added_tokens") or []))
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
         self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that end a word
@@ -130,14 +159,17 @@ class Encoder:
         self.old: dict[str, bytes] = {}
 
     @classmethod
-    def of(cls, path: str) -> Encoder:
+    def of(cls, file: bytes) -> Encoder:
         """The process's encoder for the file: tasks that follow reuse it."""
-        if path not in cls._made:
-            cls._made[path] = cls(path)
-        return cls._made[path]
+        if file not in cls._made:
+            cls._made[file] = cls(file)
+        return cls._made[file]
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text with the end id, as little-endian integers."""
+        if not self.piecewise:
+            whole = self.tokenizer.encode_batch_fast([t or "" for t in texts.to_pylist()], add_special_tokens=False)
+            return [np.array([*e.ids, END_ID], self.kind).tobytes() for e in whole]
         data, offsets = C.text_bytes(texts)
         data = np.where(data == 10, np.uint8(32), data)
         if b"<|" not in data.tobytes():
@@ -193,9 +225,13 @@ class Encoder:
 def shards(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
            shard_ids: int = SHARD_IDS) -> DataFrame:
     """The encoded shards. The texts are range-partitioned by id, then each
-    task encodes its piece in order and closes a shard at ``shard_ids`` ids."""
+    task encodes its piece in order and closes a shard at ``shard_ids`` ids.
+    ``tokenizer``: a path on the driver; the tasks get the file's bytes."""
+    with open(tokenizer, "rb") as f:
+        sent = docs.sparkSession.sparkContext.broadcast(f.read())
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(tokenizer)
+        encoder = Encoder.of(sent.value)
         names = SHARD_NAMES
         ids: list[int | None] = []
         parts: list[bytes] = []
@@ -257,15 +293,19 @@ def documents_of(table: DataFrame) -> DataFrame:
             for r in range(batch.num_rows):
                 row = {c: batch.column(c)[r] for c in batch.schema.names}
                 n = row["n_docs"].as_py()
-                ends = EliasFano(n, row["low_bits"].as_py(), row["low"].as_py(), row["high"].as_py(),
-                                 row["samples"].as_py()).all()
-                starts = np.concatenate([[0], ends[:-1]])
-                ids = np.frombuffer(row["ids"].as_buffer(), f"<u{row['id_bytes'].as_py()}").astype("<u4")
-                crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, row[c].as_py(), np.int32)) for c in ("piece", "shard")]
-                    + [row["doc_ids"].values, pa.array(starts), pa.array(ends - starts), pa.array(crc, pa.int64())],
-                    names=["piece", "shard", "doc_id", "offset", "n_tokens", "ids_crc32"])
+                bounds = EliasFano(n, row["low_bits"].as_py(), row["low"].as_py(), row["high"].as_py(), row["samples"].as_py())
+                ids = np.frombuffer(row["ids"].as_buffer(), f"<u{row['id_bytes'].as_py()}")
+                begin = 0
+                for k in range(-(-n // SAMPLE)):
+                    ends = bounds.selects(k)
+                    starts = np.concatenate([[begin], ends[:-1]])
+                    begin = int(ends[-1])
+                    crc = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts, ends)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(ends), row[c].as_py(), np.int32)) for c in ("piece", "shard")]
+                        + [row["doc_ids"].values.slice(k * SAMPLE, len(ends)), pa.array(starts), pa.array(ends - starts),
+                           pa.array(crc, pa.int64())],
+                        names=["piece", "shard", "doc_id", "offset", "n_tokens", "ids_crc32"])
 
     inside = (table.select("piece", "shard", "doc_ids", "n_docs", "low_bits", "low", "high", "samples", "id_bytes", "ids")
               .mapInArrow(read, "piece int, shard int, doc_id bigint, offset bigint, n_tokens bigint, ids_crc32 bigint"))

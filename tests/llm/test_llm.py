@@ -1,6 +1,7 @@
 """Edge cases and brute-force checks of the training-data operators."""
 
 import hashlib
+import os
 import random
 import zlib
 from collections import Counter
@@ -56,6 +57,23 @@ def test_rules_remove_long_lines(spark):
     assert {r.doc_id: r.text for r in rules.clean(df).collect()} == {i: t.split("\n")[0] for i, t, _ in rows if i != 5}
 
 
+def test_rules_twin_counts_long_lines(spark, tmp_path):
+    import duckdb
+
+    rng = random.Random(12)
+    line = lambda n: " ".join(f"x{rng.randrange(10**6)}" for _ in range(n))
+    often = [line(26), line(300), line(5)]
+    rows = [(i, line(30) + "\n" + often[i % 3] + "\n" + line(12), "st"[i % 2]) for i in range(60)] + [(99, often[1], "s"), (98, None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = queries.op9_quality_rules(spark, str(tmp_path))
+    names = [c[0] for c in con.execute(queries.OP9).description]
+    assert Counter(map(tuple, got.select(*names).collect())) == Counter(con.execute(queries.OP9).fetchall())
+    assert got.where("n_kept_words < n_words").count() == 61
+
+
 def test_near_duplicates(docs, none):
     got = [tuple(r) for r in minhash.near_duplicates(docs, width=4).collect()]
     by = {r[0]: r for r in got if r[0] is not None}
@@ -83,6 +101,68 @@ def test_language(docs, none):
     assert langid.codewords(4).shape == (4, 7) and langid.codewords(1).shape == (1, 0)
 
 
+def _language_model(train, texts):
+    """Weights, bit accuracies and decoding by loops over a dense matrix."""
+    bits = langid.BUCKETS.bit_length() - 1
+
+    def bag(text):
+        words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+        data, out = (" " + " ".join(words) + " ").encode(), np.zeros(langid.BUCKETS)
+        for g in langid.GRAMS if words else ():
+            for i in range(len(data) - g + 1):
+                h = (int.from_bytes(data[i:i + g], "big") + (g << 40)) * 0x9E3779B97F4A7C15 % (1 << 64)
+                out[h >> (64 - bits)] += 1
+        return out
+
+    langs = sorted({lang for lang, _ in train})
+    code = langid.codewords(len(langs))
+    n = np.array([sum((bag(t) for lang, t in train if lang == x), np.zeros(langid.BUCKETS)) for x in langs])
+    share = (n + langid.SMOOTH) / (n.sum(axis=1, keepdims=True) + langid.SMOOTH * langid.BUCKETS)
+    weights = np.array([np.log(share[c > 0].mean(axis=0)) - np.log(share[c < 0].mean(axis=0)) for c in code.T]).T
+    margin = lambda t: bag(t) @ weights / max(bag(t).sum(), 1)
+    seen = [(margin(t), code[langs.index(lang)]) for lang, t in train if bag(t).any()]
+    right = np.array([[(f * y > 0) for f, y in seen]]).sum(axis=1)[0]
+    accuracy = (right + 1) / (len(seen) + 2)
+    importance = np.maximum(0, np.log(accuracy / (1 - accuracy)))
+    importance *= len(importance) / importance.sum()
+    scale = np.mean([abs(f) for f, _ in seen], axis=0)
+    out = []
+    for t in texts:
+        if not bag(t).any():
+            out.append(("und", 0.0))
+            continue
+        loss = [sum(importance * np.log1p(np.exp(-4 * margin(t) / scale * c))) for c in code]
+        order = np.argsort(loss, kind="stable")
+        out.append((langs[order[0]], 1 / (1 + np.exp(loss[order[0]] - loss[order[1]]))))
+    return out
+
+
+def test_language_equals_a_dense_model(spark):
+    rng = random.Random(15)
+    kinds = {"aa": "the and of that ing", "bb": "der und die ein sch", "cc": "que los una del ción"}
+    say = lambda k, n: " ".join(rng.choice(kinds[k].split()) + rng.choice("aeio") for _ in range(n))
+    rows = [(i, say(k, rng.randrange(2, 25)), k) for i, k in enumerate("aa bb cc".split() * 30)]
+    rows += [(200, None, "aa"), (201, "12 !", "bb"), (202, say("cc", 2000), None), (203, say("aa", 5) + " " + say("bb", 5), None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    train = [(k, t) for i, t, k in rows if k and zlib.crc32(str(i).encode()) % 4 != 2]
+    got = {r.doc_id: r for r in langid.identify(df.repartition(3)).collect()}
+    for (i, _, _), (lang, score) in zip(rows, _language_model(train, [r[1] for r in rows])):
+        assert got[i].lang_pred == lang and got[i].score == pytest.approx(score, abs=1e-9), i
+    one = langid.identify(df.where("lang = 'aa'")).collect()
+    assert {r.lang_pred for r in one} == {"aa", "und"}
+    assert {r.lang_pred for r in langid.identify(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="no test tables")
+def test_language_on_held_out_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang IS NOT NULL AND text RLIKE '[a-z]'")
+    got = langid.identify(docs).where("held_out").join(docs.select("doc_id", "lang"), "doc_id")
+    assert got.where("lang_pred = lang").count() >= 0.98 * got.count() > 0
+
+
 def test_mix(docs, none):
     got = mixing.taken(docs, block_words=50, shard_words=300)
     rows = got.collect()
@@ -95,6 +175,33 @@ def test_mix(docs, none):
     assert mixing.taken(none).count() == mixing.mixed(none).count() == 0
 
 
+def test_many_blocks_of_one_source(spark):
+    df = spark.range(130_000).select(F.col("id").alias("doc_id"), F.lit("one two").alias("text"),
+                                     F.when(F.col("id") % 13 == 0, "t").otherwise("s").alias("source"))
+    rows = mixing.taken(df, block_words=2, shard_words=10_000)
+    assert rows.count() == 130_000
+    sums = rows.groupBy("source_size", "target").agg(F.sum("taken").alias("taken")).collect()
+    assert all(0 <= r.target - r.taken < 2 for r in sums)
+    drawn = rows.select(F.explode("draws").alias("d"))
+    assert drawn.select("d.shard").distinct().count() == 64
+    # a shard has as many blocks as any other; documents per block vary by chance (Poisson of mean 1)
+    sizes = [r["count"] for r in drawn.groupBy("d.shard").count().collect()]
+    assert max(sizes) < min(sizes) * 1.25
+
+
+def test_hypergeometric_is_distributed_exactly(spark):
+    from math import comb
+
+    total, marked, draws, n = 40, 13, 17, 20_000
+    got = spark.range(n).select(mixing.hypergeometric(F.lit(total).cast("long"), F.lit(marked).cast("long"), F.lit(draws).cast("long"),
+                                                      mixing._uniform(F.lit(1), F.col("id"))).alias("k")).groupBy("k").count().collect()
+    seen = {r.k: r["count"] for r in got}
+    exact = {k: comb(marked, k) * comb(total - marked, draws - k) / comb(total, draws) for k in range(14)}
+    big = [k for k in exact if exact[k] * n >= 5]
+    chi = sum((seen.get(k, 0) - n * exact[k]) ** 2 / (n * exact[k]) for k in big)
+    assert set(seen) <= set(exact) and chi < 40  # 0.1% of a chi-square of 13
+
+
 def test_split_tree_keeps_quotas(spark):
     quotas = spark.createDataFrame([(0, 100), (1, 7), (2, 0), (3, 300)], "nr bigint, quota bigint")
     rows = mixing.split_tree(quotas, 3).collect()
@@ -160,6 +267,41 @@ def test_quality(docs, none):
     assert quality.score(none).count() == 0
 
 
+def test_weak_labels_by_dense_expectation_maximisation():
+    rng = np.random.default_rng(6)
+    n, k = 3000, 6
+    good = rng.random(n) < 0.7
+    says = np.full((n, k), "-")
+    for j in range(k):
+        at = rng.random(n)
+        says[:, j] = np.where(good, np.where(at < 0.5, "g", np.where(at < 0.53 + 0.01 * j, "b", "-")),
+                              np.where(at < 0.15, "g", np.where(at < 0.6 + 0.03 * j, "b", "-")))
+    rows = ["".join(r) for r in says]
+    got = quality.expectation_maximisation(dict(Counter(rows)))
+    prior, rate = 0.8, np.tile([[0.5, 0.02, 0.48], [0.2, 0.4, 0.4]], (k, 1, 1))
+    at = np.array([["gb-".index(c) for c in r] for r in rows])
+    for _ in range(quality.ROUNDS):  # document by document
+        like = [prior * np.prod([rate[j, 0, at[:, j]] for j in range(k)], axis=0),
+                (1 - prior) * np.prod([rate[j, 1, at[:, j]] for j in range(k)], axis=0)]
+        post = like[0] / (like[0] + like[1])
+        rate = np.array([[[(p[at[:, j] == v].sum() + 0.1) / (p.sum() + 0.3) for v in range(3)] for p in (post, 1 - post)]
+                         for j in range(k)])
+        prior = (post.sum() + 1) / (n + 2)
+    assert max(abs(got[r] - p) for r, p in zip(rows, post)) < 1e-4
+    assert np.mean((np.array([got[r] for r in rows]) > 0.5) == good) > 0.9
+    assert quality.expectation_maximisation({}) == {}
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="no test tables")
+def test_quality_against_labels(spark):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    got = quality.score(spark.read.parquet(f"{SF}/documents.parquet")).join(labels, "doc_id").select("score", "kept", "quality").collect()
+    good, poor = ([r for r in got if r.quality == q] for q in (1, 0))
+    assert good and poor and np.mean([r.kept for r in good]) >= 0.98 and np.mean([r.kept for r in poor]) <= 0.1
+    area = np.mean([(g.score > p.score) + 0.5 * (g.score == p.score) for g in good for p in poor])
+    assert area >= 0.97
+
+
 def test_token_ids(docs, none):
     from tokenizers import Tokenizer
 
@@ -182,7 +324,21 @@ def test_elias_fano():
     for _ in range(100):
         v = np.cumsum([rng.choice([1, 2, 50, 1000]) for _ in range(rng.randint(1, 200))])
         f = token_ids.EliasFano(len(v), *token_ids.ef_encode(v))
-        assert f.all().tolist() == v.tolist() == [f.select(i) for i in range(len(v))]
+        assert v.tolist() == [f.select(i) for i in range(len(v))]
+        assert v.tolist() == [x for k in range(-(-len(v) // token_ids.SAMPLE)) for x in f.selects(k)]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_any_tokenizer_file_encodes_like_the_library(spark, name):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path(name)
+    texts = ["It's a   plain line.\nNext: 42 x", "don't Stop <|endoftext|> now", "été à la plage", None, "A" * 300, "e\u0301 <| x"]
+    whole = Tokenizer.from_file(path)
+    got = token_ids.token_table(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), path).collect()
+    for r in got:
+        ids = whole.encode(texts[r.doc_id] or "", add_special_tokens=False).ids + [2]
+        assert (r.n_tokens, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
 
 
 def test_lines(spark):
