@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordermart.operators import (clean, encode, features, geo, impute, mart, ml, orderlevel,
+from ordermart.operators import (clean, encode, features, fitted, geo, impute, mart, ml, orderlevel,
                                  profile, quality)
 from ordermart.plans import oracle as O
 from ordermart.plans import pipeline, session
-from ordermart.sources import fixtures
+from ordermart.sources import fixtures, readers
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -103,7 +103,16 @@ UNION ALL SELECT 'geolocation', count(*) FROM raw_geolocation
 UNION ALL SELECT 'category_translation', count(*) FROM raw_category_translation""")(
     lambda spark, sf: _union([t.agg(F.count(F.lit(1)).alias("n_rows"))
                               .select(F.lit(n).alias("table_name"), "n_rows")
-                              for n, t in _t(spark, sf).items()]))
+                              for n, t in _csv_tables(spark, sf).items()]))
+
+
+def _csv_tables(spark, sf, names=None):
+    """The raw tables written as CSV folders in the shared folder and read back."""
+    root = session.scratch(spark).path()
+    fixtures.write_raw_csv(spark, sf, root, names)
+    if names is None:
+        return readers.load_tables(spark, root)
+    return {n: readers.read_table(spark, f"{root}/{readers.DEFAULT_FILES[n]}.csv", n) for n in names}
 
 
 def _union(dfs):
@@ -162,6 +171,10 @@ def _describe(spark, sf):
     return profile.describe_frame(_mart(spark, sf))
 
 
+register("preview", _final(O.BASE, "SELECT * FROM orders_master ORDER BY "
+                           + ", ".join(f"{c} NULLS LAST" for c in mart.MART_COLS) + " LIMIT 5"))(
+    lambda spark, sf: profile.preview(_mart(spark, sf)))
+
 # ============================================================ 2.2 cleaning
 _TEXT_COLS = ["order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
               "order_delivered_customer_date", "order_estimated_delivery_date"]
@@ -173,6 +186,14 @@ register("text_to_timestamp", O.with_ctes(O.ADAPTER) + "\nSELECT order_id, " + "
     f"CAST(CASE WHEN trim({c}) = '' THEN NULL ELSE {c} END AS TIMESTAMP) AS {c}" for c in _TEXT_COLS)
     + " FROM raw_orders_text")(
     lambda spark, sf: clean.clean_orders(fixtures.orders_text(spark, sf)).select("order_id", *_TEXT_COLS))
+register("text_to_timestamp_items", O.with_ctes(O.ADAPTER) + """
+SELECT order_id, order_item_id, shipping_limit_date FROM raw_order_items""")(
+    lambda spark, sf: clean.clean_items(_csv_tables(spark, sf, ["order_items"])["order_items"])
+    .select("order_id", "order_item_id", "shipping_limit_date"))
+register("text_to_timestamp_reviews", O.with_ctes(O.ADAPTER) + """
+SELECT order_id, review_score, review_creation_date, review_answer_timestamp FROM raw_reviews""")(
+    lambda spark, sf: clean.clean_reviews(_csv_tables(spark, sf, ["reviews"])["reviews"])
+    .select("order_id", "review_score", "review_creation_date", "review_answer_timestamp"))
 register("drop_geo_cols", O.with_ctes(O.ADAPTER)
          + "\nSELECT * EXCLUDE (customer_city, customer_state) FROM raw_customers")(
     lambda spark, sf: clean.drop_geo_cols(_t(spark, sf)["customers"], "customer"))
@@ -464,8 +485,9 @@ def _feature_query(name: str):
     register(name, sql)(fn)
 
 
-for _n in ["order_approval_time_h", "order_delivery_time", "order_delay_time", "product_dimensions",
-           "seller_delay", "seller_customer_distance", "delivery_review_time", "review_to_answer_time_h"]:
+_FEATURES = ["order_approval_time_h", "order_delivery_time", "order_delay_time", "product_dimensions",
+             "seller_delay", "seller_customer_distance", "delivery_review_time", "review_to_answer_time_h"]
+for _n in _FEATURES:
     _feature_query(_n)
 
 register("add_features", _final(O.FEATURED, "SELECT * FROM featured"))(
@@ -496,10 +518,13 @@ _agg_query("agg_mean", list(orderlevel.MEAN))
 _agg_query("agg_sum", ["total_price"])
 _agg_query("bad_review", ["bad_review"])
 register("order_level", _final(O.ORDER_LEVEL_SQL, "SELECT * FROM order_level"))(_ol)
+# all columns of the featured mart, by name
+_ROW_SQL = ", ".join(f"{c} NULLS FIRST" for c in sorted((set(_MART_COLS) | set(_FEATURES) | {"has_review_message"})
+                                                         - set(O.RAW_DROP)))
 register("order_level_dedupe", O.with_ctes(
     O.ADAPTER, O.ZIP_GEO, O.MART, O.impute_ctes(), O.FEATURES,
     "dd AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY order_id, order_item_id "
-    f"ORDER BY {O.order_key(True)}) AS rn FROM featured) WHERE rn = 1)",
+    f"ORDER BY {O.order_key(True)}, {_ROW_SQL}) AS rn FROM featured) WHERE rn = 1)",
     O.order_level_cte("dd", "dol")) + "\nSELECT * FROM dol")(
     lambda spark, sf: pipeline.order_level(spark, sf, dedupe=True))
 
@@ -603,10 +628,11 @@ def _predict(spark, sf):
 def _cv_sql(models_and_xs: str) -> str:
     """Inner search, refit and averaged metrics over (models, xs, betas)."""
     return models_and_xs + f""",
-scored AS (SELECT m, y, list_dot_product(x, b) AS s FROM models JOIN betas USING (m) JOIN xs ON fold <> o AND inn = i WHERE i IS NOT NULL),
+scored AS (SELECT m, y, list_dot_product(x, b) AS s FROM models JOIN betas USING (m) JOIN xs ON fold <> o AND inn = i AND (fs IS NULL OR fs = o)
+           WHERE i IS NOT NULL),
 means AS (SELECT o, c, avg(auc) AS auc FROM ({O.areas_sql('scored', 'm')}) JOIN models USING (m) GROUP BY o, c),
 best AS (SELECT o, first(c ORDER BY auc DESC, c) AS c FROM means GROUP BY o),
-said AS (SELECT fold, y, list_dot_product(x, b) AS s FROM best JOIN models USING (o, c) JOIN betas USING (m) JOIN xs ON fold = o
+said AS (SELECT fold, y, list_dot_product(x, b) AS s FROM best JOIN models USING (o, c) JOIN betas USING (m) JOIN xs ON fold = o AND (fs IS NULL OR fs = o)
          WHERE i IS NULL),
 cm AS (SELECT fold, count(*) FILTER (y = 1 AND s > 0) AS tp, count(*) FILTER (y = 0 AND s > 0) AS fp,
               count(*) FILTER (y = 0 AND s <= 0) AS tn, count(*) FILTER (y = 1 AND s <= 0) AS fn FROM said GROUP BY fold),
@@ -625,6 +651,22 @@ register("run_cv", _cv_sql(_RECURSIVE + "," + O.logistic_ctes(_CV_MODELS)))(
     lambda spark, sf: ml.run_cv(_ft(spark, sf), null_as=0.0))
 
 
+# Imputation, coding and scaling learned without the held-out fold.
+register("fit_on_train", O.BASE + ",\n" + O.trained_ctes("(SELECT 0 AS o)") + "\nSELECT * EXCLUDE (o, fold), fold = 0 AS held_out FROM trained")(
+    lambda spark, sf: _fitted_without_first(spark, sf))
+
+
+def _fitted_without_first(spark, sf):
+    m = session.cut_lineage(ml.add_folds(_mart(spark, sf)))
+    model = fitted.RiskFeatures().fit(m.where(F.col("fold") != 0).drop("fold"))
+    return ml.add_folds(model.transform(m.drop("fold"))).withColumn("held_out", F.col("fold") == 0).drop("fold")
+
+
+register("run_cv_fit_on_train", _cv_sql(O.BASE.replace("WITH ", "WITH RECURSIVE ", 1) + ",\n" + O.trained_ctes(f"range({ml.N_SPLITS}) folds(o)")
+                                        + "," + O.logistic_ctes(_CV_MODELS, table="trained", own="o")))(
+    lambda spark, sf: pipeline.cv_fit_on_train(_mart(spark, sf)))
+
+
 # ============================================================ contract
 def _with_scratch(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:

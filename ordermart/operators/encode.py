@@ -53,10 +53,11 @@ def one_hot(df: DataFrame, cols: list[str], categories: dict[str, list] | None =
     for c in cols:
         given = categories.get(c)
         vals = sorted(given if given is not None else category_values(df, c, max_categories))
-        known = F.col(c).isNull() | F.col(c).isin(vals)
-        unlisted = F.raise_error(F.concat(F.lit(f"{c}: value not among the categories: "), F.col(c).cast("string"))).cast("int")
-        dummies = {f"{c}_{v}": F.when(known, F.coalesce(F.col(c) == F.lit(v), F.lit(False)).cast("int")).otherwise(unlisted)
-                   for v in vals[1:]}
+        if given is not None:
+            # a filter, so that the check stays when the dummies are not read (or there are none)
+            unlisted = F.raise_error(F.concat(F.lit(f"{c}: value not among the categories: "), F.col(c).cast("string")))
+            out = out.where(F.when(F.col(c).isNull() | F.col(c).isin(vals), F.lit(True)).otherwise(unlisted.cast("boolean")))
+        dummies = {f"{c}_{v}": F.coalesce(F.col(c) == F.lit(v), F.lit(False)).cast("int") for v in vals[1:]}
         out = out.withColumns(dummies).drop(c)
     return out
 
@@ -100,17 +101,27 @@ def zscore(df: DataFrame, cols: list[str] | None = None, binary: set[str] = froz
     cols = [c for c in (cols or numeric_columns(df)) if c not in binary]
     if not cols:
         return df
+    return scaled(df, cols, moments(df, cols), eps)
+
+
+def moments(df: DataFrame, cols: list[str]) -> dict[str, tuple]:
+    """Per column (mean, sample std), or (None, None) where it has no more
+    than two distinct values: two one-row aggregates."""
+    if not cols:
+        return {}
     st = df.agg(*[x for c in cols for x in (
         F.min(c).cast("double").alias(f"_lo_{c}"), F.max(c).cast("double").alias(f"_hi_{c}"),
         F.avg(c).alias(f"_mu_{c}"), F.stddev_samp(c).alias(f"_sd_{c}"))]).first().asDict()
     fl = df.agg(*[F.max((F.col(c).cast("double") != F.lit(st[f"_lo_{c}"]))
                         & (F.col(c).cast("double") != F.lit(st[f"_hi_{c}"]))).alias(c)
                   for c in cols]).first().asDict()
-    scaled = {}
+    return {c: (st[f"_mu_{c}"], st[f"_sd_{c}"]) if fl[c] else (None, None) for c in cols}
+
+
+def scaled(df: DataFrame, cols: list[str], found: dict[str, tuple], eps: float = 1e-10) -> DataFrame:
+    """The columns as DOUBLE, scaled by the ``moments`` found earlier."""
+    out = {}
     for c in cols:
-        x = F.col(c).cast("double")
-        if fl[c]:
-            scaled[c] = (x - F.lit(st[f"_mu_{c}"])) / (F.lit(st[f"_sd_{c}"]) + F.lit(eps))
-        else:
-            scaled[c] = x
-    return df.withColumns(scaled)
+        x, (mean, std) = F.col(c).cast("double"), found[c]
+        out[c] = x if mean is None else (x - F.lit(mean)) / (F.lit(std) + F.lit(eps))
+    return df.withColumns(out)

@@ -322,8 +322,13 @@ def _apply_payment(df: DataFrame, modes: DataFrame) -> DataFrame:
     """The modes are one row of three values (one distributed aggregate,
     fetched once, like a fitted model's parameters) applied as literals:
     no join, and no subquery evaluated once per referencing expression."""
-    row = modes.first()
-    pm = {f.name: F.lit(row[f.name]).cast(f.dataType) for f in modes.schema.fields}
+    return payment_filled(df, modes.first().asDict())
+
+
+def payment_filled(df: DataFrame, modes: dict) -> DataFrame:
+    """The payment columns of rows without a total, from known modes."""
+    pm = {m: F.lit(modes[m]).cast(df.schema[c].dataType) for m, c in (
+        ("_pm_type", "payment_type"), ("_pm_seq", "payment_sequential"), ("_pm_inst", "payment_installments"))}
     miss = F.col("total_payment").isNull()
     return df.withColumns({
         "total_payment": F.when(miss, F.col("freight_value") + F.col("price")).otherwise(F.col("total_payment")),

@@ -228,7 +228,11 @@ def cv_folds(table: DataFrame, k: int = N_SPLITS, grid=None, label: str = TARGET
                        .select(*columns), True)
     said = (_joint_folds(data, k, [float(c) for c in grid or GRID_C], label) if estimator is None
             else _estimator_folds(data, k, estimator, grid, label))
-    said = cut_lineage(said.select("fold", label, "prediction", "probability"))
+    return fold_metrics(cut_lineage(said.select("fold", label, "prediction", "probability")), label)
+
+
+def fold_metrics(said: DataFrame, label: str = TARGET) -> DataFrame:
+    """The metrics of each fold of (fold, label, prediction, probability)."""
     area = newton.areas(said, "fold", label=label, score="probability").select(
         F.col("fold").alias("of"), F.coalesce("auc", F.lit(0.0)).alias("roc_auc_score"))
     return confusion_metrics(said, label, by=["fold"]).join(area, F.col("fold") == F.col("of")).drop("of")

@@ -1,16 +1,18 @@
 """Aggregation to one row per order (#63-#70).
 
-Rows are clustered by ``order_id`` first, so both phases of the one
-``groupBy('order_id')`` run in the same task: with a few rows per order a
-map-side aggregate reduces nothing and would only ship its buffers. Because
-the mart multiplies items x payments x reviews, counts, sums and means are
-weighted by that fan-out, as in the reference (T7); ``dedupe=True`` keeps
-one row per (order, item) first.
+One ``groupBy('order_id')`` whose aggregates all merge (value counts for the
+mode, sets, least (key, value) pairs, sums): a task sends one row per order it
+has seen, so an order with a large share of all rows is a row per task, not a
+task of its own. Because the mart multiplies items x payments x reviews,
+counts, sums and means are weighted by that fan-out, as in the reference (T7);
+``dedupe=True`` keeps one row per (order, item) first.
 
 "first" is the first non-NULL value in a fixed row order (T18):
-``min_by(value, order key)`` over rows where the value is not NULL. The
-order key is (order_item_id, payment_sequential, review_to_answer_time_h,
-delivery_review_time, review_score, has_review_message), NULLs first.
+``min_by(value, (order key, value))`` over rows where the value is not NULL.
+The order key is (order_item_id, payment_sequential, review_to_answer_time_h,
+delivery_review_time, review_score, has_review_message, product_id, seller_id,
+payment_type), NULLs first; rows of equal keys give their smallest value, so
+the order is total.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROW_ORDER = ["order_item_id", "payment_sequential", "review_to_answer_time_h",
-             "delivery_review_time", "review_score", "has_review_message"]
+             "delivery_review_time", "review_score", "has_review_message",
+             "product_id", "seller_id", "payment_type"]
 
 
 def _order_key(df: DataFrame) -> Column:
@@ -28,7 +31,7 @@ def _order_key(df: DataFrame) -> Column:
 
 def first_non_null(c: str, key: str) -> Column:
     v = F.col(c)
-    return F.min_by(v, F.when(v.isNotNull(), F.col(key)))
+    return F.min_by(v, F.when(v.isNotNull(), F.struct(F.col(key), v)))
 
 
 FIRST = {  # output <- input
@@ -71,18 +74,19 @@ ORDER_LEVEL_COLS = [
 
 
 def dedupe_items(df: DataFrame) -> DataFrame:
-    """Option of T7: one row per (order, item), the first in row order."""
-    key = _order_key(df)
+    """Option of T7: one row per (order, item), the first in row order (of
+    equal keys the smallest row, its columns taken by name)."""
+    key = F.struct(_order_key(df), *[F.col(c) for c in sorted(df.columns)])
     return (df.groupBy("order_id", "order_item_id")
               .agg(F.min_by(F.struct(*df.columns), key).alias("_r"))
               .select("_r.*"))
 
 
-def order_level(df: DataFrame, dedupe: bool = False, clustered: bool = True) -> DataFrame:
+def order_level(df: DataFrame, dedupe: bool = False, clustered: bool = False) -> DataFrame:
     """#70: #63-#69 in one aggregate.
 
-    ``clustered=False`` aggregates map-side before the shuffle instead: for
-    inputs in which a single order may hold a large share of all rows.
+    ``clustered=True`` moves the rows of an order together before the
+    aggregate: fewer buffers where every order is known to have few rows.
     """
     if dedupe:
         df = dedupe_items(df)

@@ -3,6 +3,10 @@ the aggregated answer reaches the driver."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,36 +96,58 @@ def target_distribution(df: DataFrame, target: str = "bad_review") -> DataFrame:
     return df.groupBy(target).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def _moments(names: list[str], shifts: list[float]):
+    """A task's moments of all column pairs: counts, sums, cross products and
+    ranges over the rows where both columns are present, by matrix products."""
+    p = len(names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, sx, sxx, sxy = (np.zeros((p, p)) for _ in range(4))
+        low, high = np.full((p, p), np.inf), np.full((p, p), -np.inf)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            there = np.column_stack([batch.column(i).is_valid().to_numpy(zero_copy_only=False) for i in range(p)])
+            x = np.column_stack([batch.column(i).fill_null(k).to_numpy(zero_copy_only=False) - k for i, k in enumerate(shifts)])
+            x[~there] = 0.0
+            one = there.astype(float)
+            n += one.T @ one
+            sx += x.T @ one
+            sxx += (x * x).T @ one
+            sxy += x.T @ x
+            for i in range(p):
+                both = there & there[:, [i]]
+                low[i] = np.minimum(low[i], np.where(both, x[:, [i]], np.inf).min(axis=0))
+                high[i] = np.maximum(high[i], np.where(both, x[:, [i]], -np.inf).max(axis=0))
+        parts = [n, sx, sx.T, sxx, sxx.T, sxy, low, low.T, high, high.T]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(p * p), pa.int32()), *[pa.array(m.ravel()) for m in parts]],
+                                         names=["pair", *_MOMENTS])
+    return run
+
+
+_MOMENTS = ["n", "sx", "sy", "sxx", "syy", "sxy", "lox", "loy", "hix", "hiy"]
+
+
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """#29: Pearson matrix, pairwise complete, long form (col_a, col_b, r).
 
-    Long-form aggregate: every row emits one (pair, x, y) entry per column
-    pair a <= b, with x and y set only where both sides are present (the
-    pairwise-complete definition, T4), and one ``groupBy(pair)`` takes
-    covariance and standard deviations per pair. The partial aggregate holds
-    one buffer per pair, so the shuffle is (#pairs x #partitions) rows and
-    the generated code stays the same size whatever the number of columns
-    (a wide ``agg`` with one aggregate per pair exceeds whole-stage codegen's
-    field limit and runs interpreted). r is covariance over the product of
-    the sample standard deviations with ``try_divide``: NULL for a constant
-    side (``corr()`` raises DIVIDE_BY_ZERO under ANSI) or fewer than two
-    complete rows. Mirrored pairs are copied after the aggregate.
+    Each task keeps the moments of all column pairs for its rows (taken by
+    Arrow batches, about the columns' means, so that sums do not cancel) and
+    sends one row per pair; moments merge by addition. No row is expanded:
+    the shuffle is pairs x tasks rows. r is NULL for fewer than two complete
+    rows and where a side is constant on them, which the merged ranges tell
+    exactly.
     """
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    x = {c: F.col(c).cast("double") for c in cols}
-    entries = []
-    for i, (a, b) in enumerate(pairs):
-        both = x[a].isNotNull() & x[b].isNotNull()
-        entries.append(F.struct(F.lit(i).alias("pair"), F.when(both, x[a]).alias("x"),
-                                F.when(both, x[b]).alias("y")))
-    per_pair = (df.select(F.inline(F.array(*entries)))
-                  .groupBy("pair")
-                  .agg(F.try_divide(F.covar_samp("x", "y"),
-                                    F.stddev_samp("x") * F.stddev_samp("y")).alias("r")))
-    name_a = F.array(*[F.lit(a) for a, _ in pairs])
-    name_b = F.array(*[F.lit(b) for _, b in pairs])
-    a, b = F.element_at(name_a, F.col("pair") + 1), F.element_at(name_b, F.col("pair") + 1)
-    upper = F.struct(a.alias("col_a"), b.alias("col_b"), F.col("r"))
-    lower = F.struct(b.alias("col_a"), a.alias("col_b"), F.col("r"))
-    both_ways = F.when(a == b, F.array(upper)).otherwise(F.array(upper, lower))
-    return per_pair.select(F.inline(both_ways))
+    if not cols:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, r double")
+    x = df.select(*[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    means = x.agg(*[F.avg(c) for c in x.columns]).first()
+    shifts = [m if m is not None and np.isfinite(m) else 0.0 for m in means]
+    sums = (x.mapInArrow(_moments(cols, shifts), "pair int, " + ", ".join(f"{m} double" for m in _MOMENTS))
+            .groupBy("pair").agg(*[(F.min if m.startswith("lo") else F.max if m.startswith("hi") else F.sum)(m).alias(m) for m in _MOMENTS]))
+    n, (vx, vy) = F.col("n"), [F.col(f"s{a}{a}") - F.col(f"s{a}") * F.col(f"s{a}") / F.col("n") for a in "xy"]
+    r = (F.col("sxy") - F.col("sx") * F.col("sy") / n) / (F.sqrt(vx) * F.sqrt(vy))
+    names = F.array(*[F.lit(c) for c in cols])
+    p = len(cols)
+    return sums.select(F.get(names, F.floor(F.col("pair") / p).cast("int")).alias("col_a"), F.get(names, F.col("pair") % p).alias("col_b"),
+                       F.when((n >= 2) & (F.col("lox") < F.col("hix")) & (F.col("loy") < F.col("hiy")), r).alias("r"))

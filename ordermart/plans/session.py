@@ -66,9 +66,13 @@ class Scratch:
         self.spark = spark
         self.paths: list[str] = []
 
+    def path(self) -> str:
+        """A new folder of this owner's in the shared one."""
+        self.paths.append(f"{checkpoint_dir(self.spark).rstrip('/')}/tables/{uuid.uuid4().hex}")
+        return self.paths[-1]
+
     def materialize(self, df: DataFrame) -> DataFrame:
-        path = f"{checkpoint_dir(self.spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
-        self.paths.append(path)
+        path = self.path()
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -87,7 +91,6 @@ def scratch(spark: SparkSession) -> Scratch:
     """The application's default owner."""
     app = spark.sparkContext.applicationId
     if app not in _SCRATCH:
-        _SCRATCH.clear()
         _SCRATCH[app] = Scratch(spark)
     return _SCRATCH[app]
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import blank_to_null  # noqa: F401  (re-exported for callers)
-from .schemas import ORDER_TIME_COLS
+from .schemas import ITEM_TIME_COLS, ORDER_TIME_COLS, REVIEW_TIME_COLS
 
 # Fixed values of the adapter (FIXTURES.md): payment type by key % 4.
 PAYMENT_TYPE_BY_MOD4 = ["boleto", "voucher", "credit_card", "credit_card"]
@@ -69,13 +69,16 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
              ))
 
 
-def orders_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as the raw CSV has them: timestamps as text, NULL written as
-    ' ' (even keys) or '' (odd keys)."""
-    o = orders(spark, sf_dir)
+def as_text(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Timestamps as the raw CSV has them: text, NULL written as ' ' (even
+    order keys) or '' (odd ones)."""
     blank = F.when(F.col("order_id").cast("bigint") % 2 == 0, " ").otherwise("")
-    return o.select("order_id", "customer_id", "order_status",
-                    *[F.coalesce(F.col(c).cast("string"), blank).alias(c) for c in ORDER_TIME_COLS])
+    return df.withColumns({c: F.coalesce(F.col(c).cast("string"), blank) for c in cols})
+
+
+def orders_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as the raw CSV has them."""
+    return as_text(orders(spark, sf_dir), ORDER_TIME_COLS)
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,3 +223,21 @@ def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "geolocation": geolocation(spark, sf_dir),
         "category_translation": category_translation(spark, sf_dir),
     }
+
+
+def load_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The tables as the raw CSVs have them: time columns as text."""
+    times = {"orders": ORDER_TIME_COLS, "order_items": ITEM_TIME_COLS, "reviews": REVIEW_TIME_COLS}
+    return {n: as_text(t, times[n]) if n in times else t for n, t in load(spark, sf_dir).items()}
+
+
+def write_raw_csv(spark: SparkSession, sf_dir: str, root: str, names: list[str] | None = None) -> None:
+    """The raw tables as folders of CSV files under ``root``, named like the
+    public dataset's files."""
+    from .readers import DEFAULT_FILES
+
+    for name, table in load_raw(spark, sf_dir).items():
+        if names is None or name in names:
+            if name == "category_translation":
+                table = table.withColumn("product_category_name_english", F.lit(None).cast("string"))
+            table.write.option("header", True).option("escape", '"').csv(f"{root}/{DEFAULT_FILES[name]}.csv")

@@ -43,8 +43,7 @@ def test_filter_reaches_scan(spark, tmp_path):
 def test_oracle_twins_cover_queries():
     q, s = E._Q, E._SQL  # the library's own; other subpackages test theirs
     missing = set(q) - set(s)
-    # rows-only by design: the fitted-model queries
-    assert missing == {"grid_search", "predict", "run_cv"}
+    assert not missing
 
 
 def _executed(df) -> str:
@@ -83,15 +82,58 @@ def test_one_row_statistics_need_no_join_or_global_window(spark):
         assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
-def test_correlation_is_one_grouped_aggregate(spark):
-    """The correlation matrix is one long-form aggregate keyed by column
-    pair (shuffle: pairs x partitions rows), whatever the column count."""
+def test_correlation_expands_no_row(spark):
+    """The correlation matrix merges one row of moments per column pair and
+    task (shuffle: pairs x partitions rows), whatever the column count."""
     df = spark.createDataFrame([(1.0, 2.0, None), (2.0, 1.0, 3.0), (3.0, 5.0, 1.0)], "a double, b double, c double")
     from ordermart.operators import profile
     out = profile.correlation_matrix(df, ["a", "b", "c"])
     plan = _executed(out)
     final = plan.split("== Initial Plan ==")[0]
-    assert final.count("Exchange hashpartitioning") == 1
+    assert final.count("Exchange hashpartitioning") == 1 and "Generate" not in final and "Expand" not in final
     got = {(r.col_a, r.col_b): r.r for r in out.collect()}
     assert len(got) == 9 and got[("a", "b")] == got[("b", "a")]
     assert abs(got[("a", "a")] - 1.0) < 1e-12
+
+
+def _written(plan) -> list[int]:
+    """Rows written by the exchanges of an executed plan."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return _written(plan.executedPlan())
+    if "QueryStage" in name:
+        return _written(plan.plan())
+    mine = [plan.metrics().apply("shuffleRecordsWritten").value()] if name == "Exchange" else []
+    children = plan.children()
+    return mine + [n for i in range(children.size()) for n in _written(children.apply(i))]
+
+
+def test_hot_order_is_aggregated_before_the_shuffle(spark):
+    """An order with a third of the rows reaches the final aggregate as one row per task."""
+    from pyspark.sql import functions as F
+    from ordermart.operators import orderlevel
+    from test_encode_orderlevel import orderlevel_schema
+
+    rows = spark.range(30_000).repartition(10).withColumn("order_id", F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 500).cast("string")))
+    kinds = dict(x.split() for x in orderlevel_schema().split(", "))
+    values = {"order_id": F.col("order_id")} | {c: (F.col("id") % 7).cast(t) for c, t in kinds.items() if c != "order_id"}
+    df = rows.select(*[v.alias(c) for c, v in values.items()])
+    out = orderlevel.order_level(df)
+    got = {r.order_id: r for r in out.collect()}
+    assert len(got) == 501 and got["hot"].count_order_item_id == 10_000
+    assert _written(out._jdf.queryExecution().executedPlan())[0] <= 10 * 501
+    same = {r.order_id: r for r in orderlevel.order_level(df, clustered=True).collect()}
+    assert got == same
+
+
+def test_equal_keys_give_the_smallest_value(spark):
+    from pyspark.sql import functions as F
+    from ordermart.operators import orderlevel
+    from test_encode_orderlevel import orderlevel_schema
+
+    kinds = dict(x.split() for x in orderlevel_schema().split(", "))
+    for n in (1, 4):
+        df = spark.range(6).repartition(n).select(*[
+            (F.lit("o") if c == "order_id" else F.concat(F.lit("c"), 5 - F.col("id")) if c == "customer_city" else F.lit(1).cast(t)).alias(c)
+            for c, t in kinds.items()])
+        assert orderlevel.order_level(df).first().customer_city == "c0"
