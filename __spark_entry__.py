@@ -631,7 +631,7 @@ def _cv_sql(models_and_xs: str) -> str:
 scored AS (SELECT m, y, list_dot_product(x, b) AS s FROM models JOIN betas USING (m) JOIN xs ON fold <> o AND inn = i AND (fs IS NULL OR fs = o)
            WHERE i IS NOT NULL),
 means AS (SELECT o, c, avg(auc) AS auc FROM ({O.areas_sql('scored', 'm')}) JOIN models USING (m) GROUP BY o, c),
-best AS (SELECT o, first(c ORDER BY auc DESC, c) AS c FROM means GROUP BY o),
+best AS (SELECT o, first(c ORDER BY round(auc, 9) DESC, c) AS c FROM means GROUP BY o),
 said AS (SELECT fold, y, list_dot_product(x, b) AS s FROM best JOIN models USING (o, c) JOIN betas USING (m) JOIN xs ON fold = o AND (fs IS NULL OR fs = o)
          WHERE i IS NULL),
 cm AS (SELECT fold, count(*) FILTER (y = 1 AND s > 0) AS tp, count(*) FILTER (y = 0 AND s > 0) AS fp,

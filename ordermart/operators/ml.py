@@ -125,8 +125,9 @@ def _mean_areas(data: DataFrame, models: dict[tuple, newton.LinearModel], grid:
 
 
 def _best(means: list[tuple], outer: int | None = None) -> float:
-    """The C of the largest mean area, the smallest of equal ones."""
-    return max(((a, -c) for o, c, a in means if o == outer))[1] * -1
+    """The C of the largest mean area, the smallest of equal ones (to 9
+    digits: sums in another order are the same area)."""
+    return max(((round(a, 9), -c) for o, c, a in means if o == outer))[1] * -1
 
 
 def grid_search(train: DataFrame, grid=GRID_C, k: int = N_SPLITS, label: str = TARGET):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,14 +68,17 @@ def cv_fit_on_train(m: DataFrame, k: int = ml.N_SPLITS, grid=ml.GRID_C, null_as:
     is searched on them, and the held-out orders are predicted; the metrics
     averaged over the folds."""
     m = cut_lineage(ml.add_folds(m, k=k))
-    said = None
-    for f in range(k):
+
+    def predicted(f: int) -> DataFrame:
         model = fitted.RiskFeatures().fit(m.where(F.col("fold") != f).drop("fold"))
         table = cut_lineage(ml.assemble(ml.add_folds(model.transform(m.drop("fold")), k=k), null_as=null_as)
                             .select("order_id", ml.TARGET, "fold", "features"))
         best, _ = ml.grid_search(table.where(F.col("fold") != f).drop("fold"), grid, k)
-        part = ml.predict(best, table.where(F.col("fold") == f)).select("fold", ml.TARGET, "prediction", "probability")
-        said = part if said is None else said.unionByName(part)
+        return ml.predict(best, table.where(F.col("fold") == f)).select("fold", ml.TARGET, "prediction", "probability")
+
+    # the folds are independent chains of small jobs: submitted from driver threads, they overlap
+    with ThreadPoolExecutor(max_workers=ml.PARALLELISM) as pool:
+        said = reduce(DataFrame.unionByName, pool.map(predicted, range(k)))
     return ml.average_metrics(ml.fold_metrics(cut_lineage(said)))
 
 
