@@ -270,6 +270,8 @@ _MART_COLS = mart.MART_COLS
 register("null_counts", O.BASE + "\n" + "\nUNION ALL ".join(
     f"SELECT '{c}' AS column_name, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_null FROM orders_master"
     for c in _MART_COLS))(lambda spark, sf: profile.null_counts(_mart(spark, sf)))
+register("null_counts_observed", _SQL["null_counts"])(
+    lambda spark, sf: profile.observed_nulls(*profile.write_profiled(_mart(spark, sf))))
 register("rows_missing", _final(O.BASE, "\nUNION ALL ".join(
     f"SELECT '{c}' AS missing_column, * FROM orders_master WHERE {c} IS NULL"
     for c in ("order_approved_at", "order_delivered_customer_date", "customer_lat", "product_category_name",
@@ -284,6 +286,25 @@ _CARD = ["most_common_product_category_name", "payment_type", "customer_state",
 register("cardinality", O.ORDER_LEVEL_SQL + "\nSELECT " + ", ".join(
     f"count(DISTINCT {c}) AS nunique_{c}" for c in _CARD) + " FROM order_level")(
     lambda spark, sf: profile.cardinality(_ol(spark, sf), _CARD))
+register("cardinality_by_column", _SQL["cardinality"])(
+    lambda spark, sf: profile.cardinality_by_column(_ol(spark, sf), _CARD))
+register("cardinality_sketches", O.ORDER_LEVEL_SQL + "".join(
+    f"\n{'UNION ALL ' if i else ''}SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_exact, true AS within_4_errors FROM order_level"
+    for i, c in enumerate(_CARD)))(lambda spark, sf: _sketched(spark, sf))
+
+
+def _sketched(spark, sf):
+    """Sketches kept per state, merged over all: the estimate stays within four standard errors of the exact count."""
+    ol = _ol(spark, sf)
+    parts = session.cut_lineage(profile.sketch_table(ol, _CARD, "customer_state"))
+    counted = [d.unpivot([], d.columns, "column_name", n) for d, n in (
+        (profile.merged_cardinality(parts, _CARD), "n_sketch"), (profile.cardinality_by_column(ol, _CARD), "n_exact"))]
+    error = F.lit(4 * 1.04 / 2 ** (profile.SKETCH_LOG / 2))
+    return counted[0].join(counted[1], "column_name").select(
+        F.substring("column_name", len("nunique_") + 1, 100).alias("column_name"), "n_exact",
+        (F.abs(F.col("n_sketch") - F.col("n_exact")) <= F.ceil(error * F.col("n_exact"))).alias("within_4_errors"))
+
+
 register("distinct_values", O.ORDER_LEVEL_SQL + "\nSELECT DISTINCT payment_type FROM order_level")(
     lambda spark, sf: profile.distinct_values(_ol(spark, sf), "payment_type"))
 register("target_distribution", O.ORDER_LEVEL_SQL
@@ -326,6 +347,20 @@ register("zip_geo_add_sellers", _final(O.with_ctes(O.ADAPTER, O.ZIP_GEO),
         _t(spark, sf)["customers"].select(F.col("customer_zip_code_prefix").alias(geo.ZIP)).distinct(),
         geo.ZIP, "left_anti"))
 
+def _zip_batches(spark, sf, n: int = 3):
+    """All points, customers and sellers in batches by zip-independent hashes, each merged into the stored state."""
+    t = _t(spark, sf)
+    parts = {"geolocation": F.xxhash64("geolocation_lat", "geolocation_lng"), "customers": F.xxhash64("customer_id"),
+             "sellers": F.xxhash64("seller_id")}
+    state = None
+    for i in range(n):
+        batch = geo.zip_state(*[t[name].where(F.pmod(h, F.lit(n)) == i) for name, h in parts.items()])
+        state = (state.merge(batch) if state else batch).stored()
+    return state.dimension()
+
+
+register("zip_geo_batches", _final(O.with_ctes(O.ADAPTER, O.ZIP_GEO), "SELECT * FROM zip_geo"))(_zip_batches)
+
 # ============================================================ 2.6 joins
 _ITEM_KEYS = ("order_id", "order_item_id")
 
@@ -371,6 +406,8 @@ register("join_seller_geo", _placed_sql("raw_sellers", "seller"))(
     lambda spark, sf: mart.with_geo(_t(spark, sf)["sellers"].select("seller_id", "seller_zip_code_prefix"),
                                     "seller_zip_code_prefix", _zip_geo(spark, sf), "seller"))
 register("orders_master", _final(O.BASE, "SELECT * FROM orders_master"))(_mart)
+register("orders_master_stored", _final(O.BASE, "SELECT * FROM orders_master"))(
+    lambda spark, sf: mart.build_mart_stored(_t(spark, sf), buckets=8))
 
 
 @register("lookup_map", M0_SQL + """

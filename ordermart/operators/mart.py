@@ -14,9 +14,13 @@ The result has one row per order x item x payment x review (T7).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans import session
 from . import geo
 from .clean import drop_geo_cols
 
@@ -87,20 +91,33 @@ def with_reviews(orders: DataFrame, reviews: DataFrame) -> DataFrame:
     return orders.join(rev, "order_id", "left")
 
 
-def orders_master(orders: DataFrame, customers: DataFrame, items: DataFrame,
-                  products: DataFrame, sellers: DataFrame, payments: DataFrame,
-                  reviews: DataFrame, zip_geo: DataFrame) -> DataFrame:
-    """#41: the 38-column mart, all joins LEFT OUTER as in the view."""
+def order_side(orders: DataFrame, customers: DataFrame, zip_geo: DataFrame) -> DataFrame:
+    """Orders with their customer and its place, a row per order."""
     cust = with_geo(drop_geo_cols(customers, "customer")
                     .select("customer_id", "customer_unique_id", "customer_zip_code_prefix"),
                     "customer_zip_code_prefix", zip_geo, "customer")
+    return with_customers(orders, cust)
+
+
+def item_side(items: DataFrame, products: DataFrame, sellers: DataFrame, zip_geo: DataFrame) -> DataFrame:
+    """Items with their product, seller and its place, a row per item."""
     sell = with_geo(drop_geo_cols(sellers, "seller").select("seller_id", "seller_zip_code_prefix"),
                     "seller_zip_code_prefix", zip_geo, "seller")
     it = items.select("order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
                       "price", "freight_value")
-    it = with_sellers(with_products(it, products), sell)
-    m = with_items(with_customers(orders, cust), it)
-    return with_reviews(with_payments(m, payments), reviews).select(*MART_COLS)
+    return with_sellers(with_products(it, products), sell)
+
+
+def fan_out(orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame) -> DataFrame:
+    """#34, #37, #38: the three joins on the order key that multiply rows."""
+    return with_reviews(with_payments(with_items(orders, items), payments), reviews).select(*MART_COLS)
+
+
+def orders_master(orders: DataFrame, customers: DataFrame, items: DataFrame,
+                  products: DataFrame, sellers: DataFrame, payments: DataFrame,
+                  reviews: DataFrame, zip_geo: DataFrame) -> DataFrame:
+    """#41: the 38-column mart, all joins LEFT OUTER as in the view."""
+    return fan_out(order_side(orders, customers, zip_geo), item_side(items, products, sellers, zip_geo), payments, reviews)
 
 
 def build_mart(tables: dict[str, DataFrame]) -> DataFrame:
@@ -111,6 +128,63 @@ def build_mart(tables: dict[str, DataFrame]) -> DataFrame:
                          tables["reviews"], zg)
 
 
+#: Rows of one order and table from which on a stored join is shuffled, so that AQE can split the order.
+HOT_ORDER_ROWS = 1_000_000
+
+
+@dataclass(frozen=True)
+class StoredSides:
+    """The four sides of the fan-out as bucketed tables of the catalog:
+    name and folder per side, and the most rows an order has in one of them."""
+    spark: SparkSession
+    tables: dict[str, tuple[str, str]]
+    largest_order: int
+
+    def mart(self, hot_rows: int = HOT_ORDER_ROWS) -> DataFrame:
+        """#41 from the stored sides. The buckets are the joins' partitioning,
+        so no side is shuffled again (its sorted files pass a sort that finds
+        them in order). A bucket is one task and can't be split: with an order above ``hot_rows`` the same files are read
+        without their buckets, and AQE splits that order's partition."""
+        hot = self.largest_order > hot_rows
+        sides = {side: self.spark.read.parquet(path) if hot else self.spark.table(name)
+                 for side, (name, path) in self.tables.items()}
+        return fan_out(sides["orders"], sides["items"], sides["payments"], sides["reviews"])
+
+    def drop(self) -> None:
+        """Forget the tables; their folders go with ``session.release``."""
+        for name, _ in self.tables.values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def store_sides(tables: dict[str, DataFrame], zip_geo: DataFrame, buckets: int = 200) -> StoredSides:
+    """Write orders (with customers), items (with products and sellers),
+    payments and reviews once, each bucketed and sorted by ``order_id``: one
+    shuffle a side here, none in any mart built from them later. One file per
+    bucket, so that its order holds; choose ``buckets`` for the largest side
+    (about 200 MB a file). Items, payments and reviews without an order key
+    match nothing in a LEFT join and are not stored."""
+    spark = zip_geo.sparkSession
+    sides = {"orders": order_side(tables["orders"], tables["customers"], zip_geo),
+             "items": item_side(tables["order_items"], tables["products"], tables["sellers"], zip_geo),
+             "payments": tables["payments"], "reviews": tables["reviews"]}
+    stored, largest = {}, 0
+    for side, df in sides.items():
+        name, path = f"{side}_{uuid.uuid4().hex}", session.scratch(spark).path()
+        keyed = df if side == "orders" else df.where(F.col("order_id").isNotNull())
+        (keyed.repartition(buckets, "order_id").sortWithinPartitions("order_id")
+         .write.format("parquet").bucketBy(buckets, "order_id").sortBy("order_id").option("path", path).saveAsTable(name))
+        stored[side] = (name, path)
+        most = spark.table(name).groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        largest = max(largest, most or 0)
+    return StoredSides(spark, stored, largest)
+
+
+def build_mart_stored(tables: dict[str, DataFrame], buckets: int = 200) -> DataFrame:
+    """Zip dimension + mart through the bucketed sides."""
+    zg = geo.build_zip_geo(tables["geolocation"], tables["customers"], tables["sellers"])
+    return store_sides(tables, zg, buckets).mart()
+
+
 def register_mart_view(mart: DataFrame, name: str = "orders_master") -> DataFrame:
     """#5: expose the mart as a temp view (the SQL entry point)."""
     mart.createOrReplaceTempView(name)

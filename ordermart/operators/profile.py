@@ -7,9 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..plans.session import cut_lineage
 from . import geo
 
 GEO_ZIP = "geolocation_zip_code_prefix"
@@ -86,6 +87,56 @@ def cardinality(df: DataFrame, cols: list[str], approx_rsd: float | None = None)
     return df.agg(*aggs)
 
 
+def write_profiled(df: DataFrame, metrics: dict[str, Column] | None = None) -> tuple[DataFrame, dict[str, object]]:
+    """#23 while a table is written: (the written table, metrics of its rows).
+
+    The metrics -- ``n_rows``, ``null:<column>`` for every column, and any
+    further aggregates the caller names -- are observed by the tasks that
+    write, so profiling costs no scan of its own. They stand directly below
+    the write, in its last stage, where a task that is run again after a lost
+    executor is counted once.
+    """
+    seen = Observation()
+    named = {"n_rows": F.count(F.lit(1)), **{f"null:{c}": F.count_if(F.col(f"`{c}`").isNull()) for c in df.columns}, **(metrics or {})}
+    table = cut_lineage(df.observe(seen, *[m.alias(name) for name, m in named.items()]))
+    return table, seen.get
+
+
+def observed_nulls(table: DataFrame, seen: dict[str, object]) -> DataFrame:
+    """The rows of ``null_counts`` from the metrics of ``write_profiled`` (one per column)."""
+    rows = [(c, seen[f"null:{c}"]) for c in table.columns]
+    return table.sparkSession.createDataFrame(rows, "column_name string, n_null bigint")
+
+
+def cardinality_by_column(df: DataFrame, cols: list[str]) -> DataFrame:
+    """#26, exact: one row like ``cardinality``, each count a scalar subquery
+    over its own column. A columnar table's scans together read each column
+    once, values are made distinct in the tasks before their shuffle, and no
+    row is expanded into one per column."""
+    one = df.sparkSession.range(1)
+    return one.select(*[df.where(F.col(f"`{c}`").isNotNull()).select(F.col(f"`{c}`")).distinct().agg(F.count(F.lit(1))).scalar()
+                        .alias(f"nunique_{c}") for c in cols])
+
+
+#: Logarithm of a sketch's buckets: 4096 buckets, 1.04 / sqrt(4096) = 1.6 % standard error.
+SKETCH_LOG = 12
+
+
+def sketch_table(df: DataFrame, cols: list[str], *by: str, log_buckets: int = SKETCH_LOG) -> DataFrame:
+    """#26 in parts: (by..., sketch per column), a HyperLogLog sketch of at
+    most a few KB each. Kept as a table, it answers later questions about any
+    union of parts (days, states, new batches) without the rows. NULLs are not
+    counted; a part without values has an empty sketch."""
+    sketches = [F.hll_sketch_agg(F.col(f"`{c}`").cast("string"), log_buckets).alias(c) for c in cols]
+    return df.groupBy(*by).agg(*sketches)
+
+
+def merged_cardinality(sketches: DataFrame, cols: list[str], *by: str) -> DataFrame:
+    """Distinct values per column over the parts of ``sketches`` (a row per
+    ``by``, or one): sketches merge, estimates do not add up."""
+    return sketches.groupBy(*by).agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(f"nunique_{c}") for c in cols])
+
+
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     """#27: distinct values, NULL included."""
     return df.select(col).distinct()
