@@ -123,18 +123,18 @@ SKETCH_LOG = 12
 
 
 def sketch_table(df: DataFrame, cols: list[str], *by: str, log_buckets: int = SKETCH_LOG) -> DataFrame:
-    """#26 in parts: (by..., sketch per column), a HyperLogLog sketch of at
+    """#26 in parts: (by..., sketch_<column> for each), a HyperLogLog sketch of at
     most a few KB each. Kept as a table, it answers later questions about any
     union of parts (days, states, new batches) without the rows. NULLs are not
     counted; a part without values has an empty sketch."""
-    sketches = [F.hll_sketch_agg(F.col(f"`{c}`").cast("string"), log_buckets).alias(c) for c in cols]
+    sketches = [F.hll_sketch_agg(F.col(f"`{c}`").cast("string"), log_buckets).alias(f"sketch_{c}") for c in cols]
     return df.groupBy(*by).agg(*sketches)
 
 
 def merged_cardinality(sketches: DataFrame, cols: list[str], *by: str) -> DataFrame:
     """Distinct values per column over the parts of ``sketches`` (a row per
     ``by``, or one): sketches merge, estimates do not add up."""
-    return sketches.groupBy(*by).agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(f"nunique_{c}") for c in cols])
+    return sketches.groupBy(*by).agg(*[F.hll_sketch_estimate(F.hll_union_agg(f"sketch_{c}")).alias(f"nunique_{c}") for c in cols])
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

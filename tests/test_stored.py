@@ -122,10 +122,10 @@ def test_exact_cardinality_expands_no_row(spark):
 def test_sketches_merge_within_their_error(spark):
     df = spark.range(60_000).select((F.col("id") % 20_011).alias("many"), (F.col("id") % 5).alias("few"),
                                     F.lit(None).cast("string").alias("none"), (F.col("id") % 4).alias("part"))
-    cols = ["many", "few", "none"]
+    cols = ["many", "few", "none", "part"]
     parts = profile.sketch_table(df, cols, "part")
     assert parts.count() == 4
     got = profile.merged_cardinality(parts, cols).first()
-    assert abs(got.nunique_many - 20_011) <= 4 * 0.0163 * 20_011 and got.nunique_few == 5 and got.nunique_none == 0
+    assert abs(got.nunique_many - 20_011) <= 4 * 0.0163 * 20_011 and got.nunique_few == 5 and got.nunique_none == 0 and got.nunique_part == 4
     each = {r.part: r.nunique_many for r in profile.merged_cardinality(parts, cols, "part").collect()}
     assert sum(each.values()) > got.nunique_many  # parts share values: estimates do not add up
