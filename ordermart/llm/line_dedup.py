@@ -7,6 +7,9 @@ boilerplate ratio (on two pages at least) are dropped from every page of it.
 Cases. Each input row is a page: repeated rows count as pages of their host.
 NULL or unparsable URL: host NULL, a host of its own. NULL or empty markup:
 no lines. An empty table gives an empty result. Lines of one page count once.
+A line exactly at the ratio goes. Lines are as long as the page has them; a
+page is one row and is processed whole. Only the named columns are read, so
+extra columns, whatever their names, change nothing.
 """
 
 from __future__ import annotations
@@ -23,7 +26,8 @@ MIN_PAGES = 2
 
 # Markup to text. Elements without text, block elements that
 # end a line, any tag, and the common entities.
-HIDDEN = r"(?is)<(script|style|head|noscript)\b.*?</(script|style|head|noscript)\s*>|<!--.*?-->"
+# An element ends at its own name: a script inside a head does not end the head.
+HIDDEN = "(?is)" + "|".join(rf"<{e}\b.*?</{e}\s*>" for e in ("script", "style", "head", "noscript")) + "|<!--.*?-->"
 BLOCK = r"(?i)<\s*/?\s*(address|article|aside|blockquote|br|dd|div|dl|dt|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|td|th|tr|ul)\b[^>]*>"
 TAG = r"<[^>]*>"
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
