@@ -186,12 +186,12 @@ SELECT *, NOT base_failed AND n_kept_words >= {rules.MIN_WORDS} AS kept FROM v""
 OP10 = rf"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS who, text FROM conversations),
 n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, who, text NULLS FIRST) - 1 AS nr FROM t),
-people AS (SELECT DISTINCT conv_id, who AS participant FROM t WHERE who <> 'system'),
-seg AS (SELECT n.conv_id, participant, nr // {chat.PART_TURNS} AS part, nr, who = participant AS mine,
+people AS (SELECT DISTINCT conv_id, nr // {chat.PART_TURNS} AS part, who AS participant FROM n WHERE who <> 'system'),
+seg AS (SELECT n.conv_id, participant, part, nr, who = participant AS mine,
                '{chat.OPEN}' || CASE WHEN who = 'system' THEN 'system' WHEN who = participant THEN 'assistant'
                                      ELSE 'user name=' || who END || chr(10) AS head,
                coalesce(text, '') || '<|im_end|>' || chr(10) AS body
-        FROM n JOIN people p ON n.conv_id IS NOT DISTINCT FROM p.conv_id),
+        FROM n JOIN people p ON n.conv_id IS NOT DISTINCT FROM p.conv_id AND nr // {chat.PART_TURNS} = part),
 placed AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, participant, part ORDER BY nr) AS e FROM seg)
 SELECT conv_id, participant, CAST(part AS BIGINT) AS part, CAST(count(*) AS BIGINT) AS n_turns,
        string_agg(head || body, '' ORDER BY nr) AS text,

@@ -350,6 +350,17 @@ def test_lines(spark):
     assert line_dedup.dedup_lines(df.where("1=0")).count() == 0
 
 
+def test_lines_head_tie_repeat_long(spark):
+    head = "<HEAD><script>a</script><title>not a line</title><style>b</style></head><noscript>n</noscript>"
+    text = " ".join(["word"] * 50_000)
+    rows = [(i, "http://a.com/x", head + f"<p>at the ratio</p><p>own {i}</p>" if i < 3 else f"<p>own {i}</p><p>{text} {i}</p>") for i in range(10)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r for r in line_dedup.dedup_lines(df).collect()}
+    assert got[1].kept_text == "own 1" and got[1].n_lines == 2 and got[9].kept_text == f"own 9\n{text} 9"
+    twice = line_dedup.dedup_lines(df.where("page_id = 9").union(df.where("page_id = 9"))).collect()
+    assert [(r.n_lines, r.n_removed, r.kept_text) for r in twice] == [(2, 2, "")] * 2
+
+
 def test_chat(spark):
     rows = [(1, 0, "system", "s"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 3, None, "x"), (None, 0, "ann", "a"), (2, 0, "system", "s")]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
@@ -357,5 +368,18 @@ def test_chat(spark):
     assert set(got) == {(1, "ann"), (1, "bob"), (1, "unknown"), (None, "ann")}
     r = got[1, "ann"]
     assert [r.text[s.start:s.end] for s in r.loss_spans] == ["hi<|im_end|>\n"] and "user name=bob" in r.text
-    assert chat.perspectives(df, part_turns=1).where("conv_id = 1 and participant = 'bob'").count() == 4
+    assert [r.part for r in chat.perspectives(df, part_turns=1).where("conv_id = 1 and participant = 'bob'").collect()] == [2]
     assert chat.perspectives(df.where("1=0")).count() == 0
+
+
+def test_chat_many_speakers_grow_with_the_turns(spark):
+    rows = [(1, t, f"p{t}", "x", "c", 0) for t in range(60)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string, conv string, nr int")
+    got = chat.perspectives(df, part_turns=8).collect()
+    assert len(got) == 60 and sum(r.n_turns for r in got) <= 60 * 8 and all(len(r.loss_spans) == 1 for r in got)
+
+
+def test_chat_repeated_turns(spark):
+    df = spark.createDataFrame([(1, 1, "ann", "hi")] * 3, "conv_id bigint, turn bigint, role string, text string")
+    (r,) = chat.perspectives(df).collect()
+    assert r.n_turns == 3 and [r.text[s.start:s.end] for s in r.loss_spans] == ["hi<|im_end|>\n"] * 3
