@@ -8,17 +8,21 @@ removed, and documents with too large a share of marked words dropped.
 
 The automaton is built from at most ``AUTOMATON_WORDS`` benchmark words at a
 time (a documented bound on what is sent to the tasks); a larger benchmark is
-dealt into several automata by hash, and every document meets each of them.
+dealt into several automata by hash, and every document meets each of them:
+the documents are then written once, each automaton reads them and leaves only
+the marked places, and one join brings these back to their documents.
 
 Cases. NULL or empty text: no words, no hit. NULL or empty item: no window.
 NULL item_id: its windows mark words, but it has no id to report or count.
 Items with equal ids count once. Repeated documents are judged each. Empty
-tables: no hits, or an empty result.
+tables: no hits, or an empty result. Texts of any length are searched whole, a
+task holding one at a time. Other columns, whatever their names, go through.
 """
 
 from __future__ import annotations
 
-import hashlib
+import functools
+import itertools
 import math
 import re
 from collections import defaultdict
@@ -166,20 +170,20 @@ def _automata(benchmark: DataFrame, item_id: str, text: str) -> Iterator[tuple[l
 
 
 def _spans(docs: DataFrame, items: list, window: int, cut: bool) -> DataFrame:
-    """Adds to ``spans``, ``items`` and ``n_words`` of the rows what one automaton
-    finds; with ``cut`` the marked words leave the text."""
+    """Fills ``spans``, ``items`` and ``n_words`` of the rows by one automaton;
+    with ``cut`` the marked words leave the text."""
     sent = docs.sparkSession.sparkContext.broadcast(items)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = SuffixAutomaton(sent.value, window)
         for batch in C.byte_chunks(batches, "text"):
             n, spans, found, texts = [], [], [], []
-            for t, s, f in zip(*(batch.column(c).to_pylist() for c in ("text", "spans", "items"))):
+            for t in batch.column("text").to_pylist():
                 ws = tokens(t)
                 new, names = automaton.hits(ws)
                 n.append(len(ws))
-                spans.append(_merged(s, new))
-                found.append(sorted(names.difference([None]).union(f or [])))
+                spans.append(_merged([], new))
+                found.append(sorted(names.difference([None])))
                 texts.append(_without(t, spans[-1]) if cut and spans[-1] else t)
             columns = {"spans": pa.array(spans, pa.list_(pa.int64())), "items": pa.array(found, pa.list_(pa.string())),
                        "n_words": pa.array(n, pa.int64()), "text": pa.array(texts, pa.string())}
@@ -189,7 +193,32 @@ def _spans(docs: DataFrame, items: list, window: int, cut: bool) -> DataFrame:
     return docs.mapInArrow(search, docs.schema)
 
 
-def _merged(flat: list[int] | None, new: list[tuple[int, int]]) -> list[int]:
+def _by_automata(docs: DataFrame, deals: Iterator[list], window: int, cut: bool) -> DataFrame:
+    """``_spans`` by several automata, one after another."""
+    rows = cut_lineage(docs.withColumn("nr", F.monotonically_increasing_id()))
+    hits = [cut_lineage(_spans(rows.select("nr", "text", "spans", "items", "n_words"), items, window, False)
+                        .where(F.size("spans") > 0).select("nr", "spans", "items")) for items in deals]
+    found = (functools.reduce(DataFrame.unionByName, hits).groupBy(F.col("nr").alias("f_nr"))
+             .agg(F.collect_list("spans").alias("marked"), F.flatten(F.collect_list("items")).alias("met")))
+    names = docs.columns
+    joined = rows.join(found, F.col("nr") == F.col("f_nr"), "left").select("row", "text", "marked", "met")
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in C.byte_chunks(batches, "text"):
+            texts = batch.column("text").to_pylist()
+            spans = [functools.reduce(lambda a, b: _merged(a, list(zip(b[::2], b[1::2]))), m or [], [])
+                     for m in batch.column("marked").to_pylist()]
+            columns = {"row": batch.column("row"),
+                       "text": pa.array([_without(t, s) if cut and s else t for t, s in zip(texts, spans)], pa.string()),
+                       "spans": pa.array(spans, pa.list_(pa.int64())),
+                       "items": pa.array([sorted(set(m or [])) for m in batch.column("met").to_pylist()], pa.list_(pa.string())),
+                       "n_words": pa.array([len(tokens(t)) for t in texts], pa.int64())}
+            yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
+
+    return joined.mapInArrow(unite, docs.schema)
+
+
+def _merged(flat: list[int], new: list[tuple[int, int]]) -> list[int]:
     """Union of spans (flat pairs) and more spans, as flat sorted pairs."""
     out: list[int] = []
     for a, b in sorted([*zip(flat[::2], flat[1::2]), *new]) if flat else new:
@@ -210,8 +239,10 @@ def searched(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: tu
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep], F.lit(0).alias("_")).alias("row"),
                       F.col(f"`{text}`").alias("text"), F.lit(None).cast("array<bigint>").alias("spans"),
                       F.lit(None).cast("array<string>").alias("items"), F.lit(0).cast("long").alias("n_words"))
-    for k, (items, last) in enumerate(_automata(benchmark, item_id, item_text)):
-        out = _spans(cut_lineage(out) if k else out, items, window, cut and last)  # one automaton in a task at a time
+    deals = _automata(benchmark, item_id, item_text)
+    first, only = next(deals)
+    out = (_spans(out, first, window, cut) if only
+           else _by_automata(out, itertools.chain([first], (items for items, _ in deals)), window, cut))
     n_hit = F.aggregate("spans", F.struct(F.lit(0).cast("long").alias("n"), F.lit(-1).cast("long").alias("sign")),
                         lambda a, x: F.struct((a["n"] + a["sign"] * x).alias("n"), (-a["sign"]).alias("sign")),
                         lambda a: a["n"])
@@ -240,8 +271,3 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
     found = searched(docs, benchmark, text, others, item_id, item_text, window, cut=True)
     done = found.where(F.col("n_hit") <= max_coverage * F.col("n_words"))
     return done.select(*[(F.col("text") if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
-
-
-def items_hash(names: list[str]) -> str:
-    """What ``digest`` gives, for tests."""
-    return hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()

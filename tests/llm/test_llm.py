@@ -233,6 +233,23 @@ def test_repeated_items_are_dealt_once(spark, monkeypatch):
     assert last and sorted(items) == sorted([("1", W), ("2", W), ("1", ["other", "words"])])
 
 
+def test_several_automata_find_what_one_finds(spark, monkeypatch):
+    items = [(i, " ".join(W[i:i + 12])) for i in range(6)] + [(9, "tiny item"), (None, "no id here"), (8, None)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    texts = [" ".join(W), "a " + " ".join(W[2:16]) + " b tiny item, c no id here.", "clean words", "", None, " ".join(W), "x " * 3000 + "tiny item"]
+    docs = spark.createDataFrame([(i % 5, t, i) for i, t in enumerate(texts)], "doc_id bigint, text string, nr int")
+
+    def both():
+        found = decontam.searched(docs, bench).select("row.nr", "n_words", "n_hit", "spans", "items").orderBy("nr").collect()
+        return found, decontam.decontaminated(docs, bench, max_coverage=1.0).orderBy("nr").collect()
+
+    one = both()
+    assert [r.n_hit for r in one[0]][2:5] == [0, 0, 0] and one[0][1].n_hit > 10 and one[0][6].n_hit == 2
+    monkeypatch.setattr(decontam, "AUTOMATON_WORDS", 15)
+    assert len(list(decontam._automata(bench, "item_id", "text"))) > 3
+    assert both() == one
+
+
 def _repeats(rows, size):
     raws = [(r[0], (r[1] or "").encode()) for r in rows]
     count = Counter(b[i:i + size] for _, b in raws for i in range(len(b) - size + 1))
