@@ -137,3 +137,31 @@ def test_equal_keys_give_the_smallest_value(spark):
             (F.lit("o") if c == "order_id" else F.concat(F.lit("c"), 5 - F.col("id")) if c == "customer_city" else F.lit(1).cast(t)).alias(c)
             for c, t in kinds.items()])
         assert orderlevel.order_level(df).first().customer_city == "c0"
+
+
+def test_fills_and_order_level_move_each_order_once(spark):
+    """Key tables are broadcast to the mart: the only exchange of fact rows is the
+    order aggregate's, one row per order and task; a buffer holds a value once."""
+    from ordermart.operators import features, impute, orderlevel
+    from ordermart.plans import pipeline
+
+    m = pipeline.orders_master(spark, SF)
+    out = orderlevel.order_level(features.add_features(impute.impute_all(m)))
+    plan = _executed(out)
+    assert "Union" not in plan and "SortMergeJoin" not in plan and "min_by" not in plan
+
+
+def test_large_key_tables_are_joined_by_key(spark):
+    """The same learned tables give the same fills broadcast and joined by key."""
+    from ordermart.operators import impute
+    from ordermart.plans.session import cut_lineage
+
+    base = cut_lineage(impute.with_day_offsets(impute.has_product(impute.delivered_only(pipeline.orders_master(spark, SF)))))
+    learned, specs = impute.Learned(), impute.seller_specs()
+    impute._cascade(base, impute.SELLER_KEYS, specs, learned)
+    impute._mode_cascade(base, impute.CATEGORY, impute.CATEGORY_KEYS, learned)
+    tables = impute.merged_tables([learned])
+    got = [impute._apply_means(impute.with_fills(base, tables, specs, learned.flags, learned.overall, {impute.CATEGORY: impute.CATEGORY_KEYS}, n),
+                               [sp.col for sp in specs] + [impute.CATEGORY]) for n in (impute.BROADCAST_ROWS, 0)]
+    assert "Union" in _plan(got[1]) and "Union" not in _plan(got[0])
+    assert len({tuple(sorted(map(str, d.collect()))) for d in got}) == 1
