@@ -96,3 +96,11 @@ def test_rows_missing_tags(spark):
     out = profile.rows_missing(df, ["order_approved_at", "review_score"])
     assert sorted(r.missing_column for r in out.collect()) == ["order_approved_at", "order_approved_at",
                                                                "review_score"]
+
+
+def test_dedupe_keeps_the_least_row_with_a_single_copy(spark):
+    rows = [("o", 1, 2, "z", 5.0), ("o", 1, 1, "b", 7.0), ("o", 1, 1, "a", 8.0), ("o", 2, None, "c", 1.0)]
+    df = spark.createDataFrame(rows, "order_id string, order_item_id long, payment_sequential int, customer_city string, price double")
+    out = orderlevel.dedupe_items(df)
+    assert sorted(map(tuple, out.collect())) == [("o", 1, 1, "a", 8.0), ("o", 2, None, "c", 1.0)]
+    assert "min_by" not in out._jdf.queryExecution().toString()
