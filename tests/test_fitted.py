@@ -50,3 +50,10 @@ def test_saved_and_loaded(mart, model, tmp_path):
     assert loaded.uid == model.uid and _rows(loaded.transform(held)) == _rows(model.transform(held))
     fitted.RiskFeatures(maskedReview=True).write().overwrite().save(path + "e")
     assert fitted.RiskFeatures.load(path + "e").getOrDefault("maskedReview")
+
+
+def test_held_out_orders_are_imputed_with_the_training_part(mart, model):
+    base = cut_lineage(fitted.base_rows(mart))
+    again, ol = fitted.RiskFeatures().learn(base.where("fold <> 0").drop("fold"), base.drop("fold"), ml.hash_fold("order_id", 5) == 0)
+    assert again.state == model.state
+    assert _rows(again.coded_and_scaled(ol)) == _rows(model.transform(mart.drop("fold")))
