@@ -129,3 +129,14 @@ def test_sketches_merge_within_their_error(spark):
     assert abs(got.nunique_many - 20_011) <= 4 * 0.0163 * 20_011 and got.nunique_few == 5 and got.nunique_none == 0 and got.nunique_part == 4
     each = {r.part: r.nunique_many for r in profile.merged_cardinality(parts, cols, "part").collect()}
     assert sum(each.values()) > got.nunique_many  # parts share values: estimates do not add up
+
+
+def test_larger_tables_take_more_buckets(spark):
+    t = pipeline.tables(spark, SF)
+    zg = geo.build_zip_geo(t["geolocation"], t["customers"], t["sellers"])
+    stored = mart.store_sides(t, zg, buckets=2, bucket_rows=1000)
+    n = -(-t["order_items"].count() // 1000)
+    assert n > 2 and sum(1 for r in spark.sql(f"DESCRIBE EXTENDED {stored.tables['items'][0]}").collect()
+                         if r.col_name == "Num Buckets" and r.data_type == str(n)) == 1
+    assert sorted(map(str, stored.mart().collect())) == sorted(map(str, mart.build_mart(t).collect()))
+    stored.drop()
