@@ -396,6 +396,15 @@ def test_chat_many_speakers_grow_with_the_turns(spark):
     assert len(got) == 60 and sum(r.n_turns for r in got) <= 60 * 8 and all(len(r.loss_spans) == 1 for r in got)
 
 
+def test_chat_parts_keep_every_turn(spark):
+    rows = [(c, t, ["system", "ann", "bob", None][(t * 7 + (c or 0)) % 4], f"w{c}.{t}") for c in (1, 2, None) for t in range(50)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = chat.perspectives(df, part_turns=8).collect()
+    mine = sorted(r.text[s.start:s.end] for r in got for s in r.loss_spans)
+    assert mine == sorted(f"{said}<|im_end|>\n" for _, _, who, said in rows if who != "system")
+    assert sum({(r.conv_id, r.part): r.n_turns for r in got}.values()) == len(rows)
+
+
 def test_chat_repeated_turns(spark):
     df = spark.createDataFrame([(1, 1, "ann", "hi")] * 3, "conv_id bigint, turn bigint, role string, text string")
     (r,) = chat.perspectives(df).collect()
