@@ -40,3 +40,10 @@ def test_blank_to_null_then_cast(spark):
     df = spark.createDataFrame([(" ",), ("",), ("2020-01-01 10:00:00",)], "t string")
     out = [r.x for r in df.select(exprs.text_to_timestamp("t").alias("x")).collect()]
     assert out == [None, None, dt.datetime(2020, 1, 1, 10)]
+
+
+def test_add_days_is_add_fractional_days_of_the_first_known(spark):
+    rows = [(dt.datetime(2020, 1, 1), 3.0, 0.5), (dt.datetime(2020, 1, 1), None, 1.23456789), (dt.datetime(2020, 1, 1, 5), -2.0, None), (dt.datetime(2020, 1, 1), None, None)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz, w double, f double")
+    for r in df.select(exprs.add_days("t", F.col("w"), F.col("f")).alias("a"), exprs.add_fractional_days("t", F.coalesce("w", "f")).alias("b")).collect():
+        assert r.a == r.b

@@ -1,6 +1,8 @@
 """Plan checks on the flagship pipeline (sf0.001): no Python UDF, no
 cartesian product, filters reach the Parquet scans, and the entry works."""
 
+import pytest
+
 import __spark_entry__ as E
 from ordermart.plans import pipeline
 
@@ -165,3 +167,32 @@ def test_large_key_tables_are_joined_by_key(spark):
                                [sp.col for sp in specs] + [impute.CATEGORY]) for n in (impute.BROADCAST_ROWS, 0)]
     assert "Union" in _plan(got[1]) and "Union" not in _plan(got[0])
     assert len({tuple(sorted(map(str, d.collect()))) for d in got}) == 1
+
+
+def test_order_level_moves_no_row(spark):
+    """The filtered mart is written in buckets of ``order_id``: the aggregate by order has no exchange."""
+    from ordermart.operators import impute, orderlevel, features
+
+    out = pipeline.order_level(spark, SF, checkpoint=False)
+    plan = _executed(out)
+    assert "Bucketed: true" in plan and "Exchange hashpartitioning" not in plan
+    same = orderlevel.order_level(features.add_features(impute.impute_all(pipeline.orders_master(spark, SF))))
+    # sums in another order differ in their last digits
+    got, want = [{r.order_id: r for r in d.collect()} for d in (out, same)]
+    assert len(got) > 1000 and got.keys() == want.keys()
+    for order, row in got.items():
+        assert tuple(row) == pytest.approx(tuple(want[order]), rel=1e-9, abs=1e-9)
+
+
+def test_hot_key_is_read_without_buckets(spark):
+    """Every row is kept, NULL keys too; a key above the limit is not one task's."""
+    from ordermart.plans import session
+    from pyspark.sql import functions as F
+
+    df = spark.range(60).repartition(3).select(F.when(F.col("id") % 10 == 0, None).when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    for hot, grouped in ((100, True), (5, False)):
+        kept = session.cut_bucketed(df, "k", hot_rows=hot)
+        assert sorted(map(str, kept.collect())) == sorted(map(str, df.collect()))
+        counts = kept.groupBy("k").count()
+        assert ("Exchange hashpartitioning" not in _executed(counts)) == grouped
+        assert sorted(map(str, counts.collect())) == sorted(map(str, df.groupBy("k").count().collect()))
