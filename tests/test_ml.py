@@ -115,3 +115,43 @@ def test_one_class_and_no_rows(data):
     one = ml.fit(data.where("bad_review = 1"), 1.0)
     assert one.intercept == float("inf") and ml.predict(one, data).where("prediction <> 1").count() == 0
     assert ml.grid_search(data.limit(0))[1].where("mean_auc <> 0").count() == 0
+
+
+def test_joint_fit_sums_a_hessian_per_row_not_per_model(data, monkeypatch):
+    """Models of near optima take one Hessian a row, in the cells; the optima are those of dense Newton steps."""
+    curved = []
+    sums = newton._sums
+    monkeypatch.setattr(newton, "_sums", lambda *a: curved.append(len(a[-1])) or sums(*a))
+    rows = ml.label_counts(data, "fold")
+    parts = [newton.Part(c, ml._balanced(ml._without(rows, f)), {"fold": f}) for f in range(5) for c in (1.0, 10.0)]
+    models = newton.fit_all(data, parts, "bad_review", 4)
+    kept = data.collect()
+    x, y, fold = (np.array(v) for v in ([r.features.toArray() for r in kept], [r.bad_review for r in kept], [r.fold for r in kept]))
+    for part, m in zip(parts, models):
+        here = fold != part.without["fold"]
+        assert np.allclose([*m.coefficients, m.intercept], _dense(x[here], y[here], part.C), atol=1e-8)
+    assert curved and sum(curved) < len(parts)
+
+
+def test_models_far_from_each_other_get_their_own_hessians(spark):
+    """A fold whose labels are turned, and C of ten powers: the common model is near none of them."""
+    rng = np.random.default_rng(11)
+    x, fold = rng.normal(size=(400, 3)) * [1.0, 5.0, 0.2], np.arange(400) % 2
+    y = (rng.random(400) < 1 / (1 + np.exp(-(x @ [2.0, -1.0, 1.0]) * np.where(fold == 0, 1, -1)))).astype(int)
+    frame = spark.createDataFrame([([*map(float, r)], int(v), int(f)) for r, v, f in zip(x, y, fold)],
+                                  "features array<double>, bad_review int, fold int")
+    rows = ml.label_counts(frame, "fold")
+    parts = [newton.Part(c, ml._balanced(ml._without(rows, f)), {"fold": f}) for f in range(2) for c in (1e-6, 1.0, 1e4)]
+    for part, m in zip(parts, newton.fit_all(frame, parts, "bad_review", 3)):
+        here = fold != part.without["fold"]
+        assert np.allclose([*m.coefficients, m.intercept], _dense(x[here], y[here], part.C), atol=1e-6)
+
+
+def test_equal_rows_have_equal_scores(spark):
+    rng = np.random.default_rng(2)
+    x = [*map(float, rng.normal(size=7))]
+    frame = spark.createDataFrame([(x, i % 2, i % 3) for i in range(50)], "features array<double>, y int, inner_fold int").coalesce(1)
+    model = newton.LinearModel(tuple(map(float, rng.normal(size=7))), 0.1)
+    got = newton.scores(frame, {(None, i, 1.0): model for i in range(3)}, "y", "inner_fold").collect()
+    z = 0.1 + sum(a * b for a, b in zip(x, model.coefficients))
+    assert len(got) == 50 and len({r.score for r in got}) == 1 and abs(got[0].score - 1 / (1 + np.exp(-z))) < 1e-12
