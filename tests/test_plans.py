@@ -198,3 +198,17 @@ def test_hot_key_is_read_without_buckets(spark):
         counts = kept.groupBy("k").count()
         assert ("Exchange hashpartitioning" not in _executed(counts)) == grouped
         assert sorted(map(str, counts.collect())) == sorted(map(str, df.groupBy("k").count().collect()))
+
+
+def test_class_weight_computes_only_the_label(spark, monkeypatch):
+    """The query reads one column of the order level: the others are neither computed nor written."""
+    from pyspark.sql import functions as F
+
+    from ordermart.operators import orderlevel
+
+    rows = spark.createDataFrame([("a", 0), ("b", 1), ("c", 1), ("d", 1)], "order_id string, bad_review int")
+    level = rows.withColumn("customer_city", F.raise_error(F.col("order_id")).cast("string"))
+    monkeypatch.setattr(pipeline, "featured", lambda spark, sf_dir: rows)
+    monkeypatch.setattr(orderlevel, "order_level", lambda df, dedupe=False: level)
+    got = {r.bad_review: (r.n_rows, r.weight) for r in E.queries()["class_weight"](spark, "none").collect()}
+    assert got == {0.0: (1.0, 2.0), 1.0: (3.0, 0.6667)}
