@@ -38,6 +38,14 @@ def threshold(spark):
     spark.conf.set(key, before)
 
 
+def test_counts_of_known_size_are_broadcast(spark, threshold):
+    threshold("100k")
+    df = session.cut_lineage(spark.range(200_000).select("id", F.when(F.col("id") % 8 > 0, (F.col("id") % 8).cast("string")).alias("c")))
+    out = encode.frequency_encode(df, ["c"])
+    assert "SortMergeJoin" not in _plan(out) and "BroadcastHashJoin" in _plan(out)
+    assert {(r[0], r[1]) for r in out.groupBy("c_freq").count().collect()} == {(25_000, 175_000), (None, 25_000)}
+
+
 def test_scores_are_moved_once(spark):
     """Counted scores give the areas of the scores; a NULL label counts for neither side."""
     rng = np.random.default_rng(3)
