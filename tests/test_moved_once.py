@@ -38,6 +38,19 @@ def threshold(spark):
     spark.conf.set(key, before)
 
 
+def test_items_are_not_dealt_by_seller(spark, threshold):
+    """Sellers are broadcast after the joins by order; a seller that comes twice or has no key included."""
+    threshold("-1")
+    t = pipeline.tables(spark, SF)
+    odd = t["sellers"].where("seller_id = '3'").unionByName(t["sellers"].where("seller_id = '5'").withColumn("seller_id", F.lit(None).cast("string")))
+    t["sellers"] = t["sellers"].unionByName(odd)
+    zg = geo.build_zip_geo(t["geolocation"], t["customers"], t["sellers"])
+    sides = [t[n] for n in ("orders", "customers", "order_items", "products", "sellers", "payments", "reviews")]
+    few, many = mart.orders_master(*sides, zg), mart.orders_master(*sides, zg, seller_rows=0)
+    assert "hashpartitioning(seller_id" not in _plan(few) and "hashpartitioning(seller_id" in _plan(many)
+    assert _rows(few) == _rows(many)
+
+
 def test_counts_of_known_size_are_broadcast(spark, threshold):
     threshold("100k")
     df = session.cut_lineage(spark.range(200_000).select("id", F.when(F.col("id") % 8 > 0, (F.col("id") % 8).cast("string")).alias("c")))
