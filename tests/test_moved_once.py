@@ -51,6 +51,19 @@ def test_items_are_not_dealt_by_seller(spark, threshold):
     assert _rows(few) == _rows(many)
 
 
+def test_written_mart_holds_no_date_twice(spark, monkeypatch):
+    m, seen = pipeline.orders_master(spark, SF), []
+    monkeypatch.setattr(impute, "cut_bucketed", lambda df, key, codec=None: seen.append(df.columns) or session.cut_bucketed(df, key, codec))
+    out = impute.impute_all(m, by_order=True)
+    assert not set(impute.DATE_COLS) & set(seen[0])
+    assert out.columns == [*m.columns, "has_review_message"] and impute.fill_dates(m.where("seller_id IS NOT NULL")).columns == m.columns
+
+
+def test_payment_fill_joins_the_mart_once(spark):
+    """The modes and the fill read a written mart."""
+    assert "Join" not in _plan(impute.fill_payment(pipeline.orders_master(spark, SF)))
+
+
 def test_counts_of_known_size_are_broadcast(spark, threshold):
     threshold("100k")
     df = session.cut_lineage(spark.range(200_000).select("id", F.when(F.col("id") % 8 > 0, (F.col("id") % 8).cast("string")).alias("c")))
