@@ -51,6 +51,12 @@ def test_items_are_not_dealt_by_seller(spark, threshold):
     assert _rows(few) == _rows(many)
 
 
+def test_items_of_other_orders_are_not_looked_up(spark):
+    kept = pipeline.orders_master(spark, SF, "delivered")
+    assert "LeftSemi" in _plan(kept)
+    assert _rows(kept) == _rows(pipeline.orders_master(spark, SF).where("order_status = 'delivered'"))
+
+
 def test_written_mart_holds_no_date_twice(spark, monkeypatch):
     m, seen = pipeline.orders_master(spark, SF), []
     monkeypatch.setattr(impute, "cut_bucketed", lambda df, key, codec=None: seen.append(df.columns) or session.cut_bucketed(df, key, codec))
@@ -64,6 +70,30 @@ def test_payment_fill_joins_the_mart_once(spark):
     assert "Join" not in _plan(impute.fill_payment(pipeline.orders_master(spark, SF)))
 
 
+def test_deduped_order_level_moves_no_row(spark):
+    from ordermart.operators import features
+
+    out = pipeline.order_level(spark, SF, dedupe=True, checkpoint=False)
+    assert "Exchange hashpartitioning" not in _plan(out)
+    same = orderlevel.order_level(features.add_features(impute.impute_all(pipeline.orders_master(spark, SF))), dedupe=True)
+    _near(*[{r.order_id: r for r in d.collect()} for d in (out, same)])
+
+
+def test_fit_on_train_moves_no_row_by_order(spark, monkeypatch):
+    """The mart is written once, dealt by the order: the order level of all rows is aggregated in place."""
+    levels = []
+
+    def cut(df, *args, **kwargs):
+        if "bad_review" in df.columns:
+            levels.append(_plan(df))
+        return session.cut_lineage(df, *args, **kwargs)
+
+    monkeypatch.setattr(fitted, "cut_lineage", cut)
+    out = E.queries()["fit_on_train"](spark, SF)
+    assert len(levels) == 1 and "hashpartitioning(order_id" not in levels[0]
+    assert "ObjectHashAggregate" not in _plan(out)
+
+
 def test_counts_of_known_size_are_broadcast(spark, threshold):
     threshold("100k")
     df = session.cut_lineage(spark.range(200_000).select("id", F.when(F.col("id") % 8 > 0, (F.col("id") % 8).cast("string")).alias("c")))
@@ -72,6 +102,16 @@ def test_counts_of_known_size_are_broadcast(spark, threshold):
     assert {(r[0], r[1]) for r in out.groupBy("c_freq").count().collect()} == {(25_000, 175_000), (None, 25_000)}
 
 
+@pytest.mark.parametrize("query, columns", [("distinct_values", ["payment_type"]), ("frequency_encode", E.O.FREQ_COLS),
+                                            ("metrics", ["order_delay_time", "bad_review"])])
+def test_only_the_columns_read_are_computed(spark, monkeypatch, query, columns):
+    ids = spark.createDataFrame([("a",), ("b",), ("c",)], "order_id string")
+    level = ids.withColumns({c: F.lit(1) for c in columns} | {"avg_price": F.raise_error(F.col("order_id")).cast("double")})
+    monkeypatch.setattr(pipeline, "featured", lambda spark, sf_dir: ids)
+    monkeypatch.setattr(orderlevel, "order_level", lambda df: level)
+    assert E.queries()[query](spark, "none").count() >= 1
+
+
 def test_scores_are_moved_once(spark):
     """Counted scores give the areas of the scores; a NULL label counts for neither side."""
     rng = np.random.default_rng(3)
