@@ -125,3 +125,17 @@ def test_scores_are_moved_once(spark):
     want = {(r.outer, r.inner): r.auc for r in newton.areas(newton.scores(data, *args), "outer", "inner", "C").collect()}
     got = {list(models)[r.model][:2]: r.auc for r in once.collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in got)
+
+
+def test_fills_are_not_in_the_joins_method(spark):
+    """The JVM compiles no method above 8000 bytes."""
+    key = "spark.sql.adaptive.enabled"
+    spark.conf.set(key, "false")
+    try:
+        plan = pipeline.order_level(spark, SF, checkpoint=False)._jdf.queryExecution().executedPlan()
+        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        stages = debug.codegenStringSeq(plan)
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    finally:
+        spark.conf.set(key, "true")
+    assert max(sizes) > 1000 and max(sizes) <= 8000
